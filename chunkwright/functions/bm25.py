@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import let, tokens
@@ -18,82 +18,122 @@ from .text import let, tokens
 _K1, _B, _NEGATIVE_SHARE = 1.5, 0.75, 0.25
 
 
-def with_token_sets(
-    df: DataFrame, query: str, golden_texts: str, distractor_texts: str, stop_words: Sequence[str] = ()
-) -> DataFrame:
-    """Add __docs and __asked (tokens) and __doc_terms and __asked_terms (distinct tokens)."""
-    texts = F.concat(F.array(F.array_join(golden_texts, "\n")), F.col(distractor_texts))
-    return (
-        df.withColumn("__docs", F.transform(texts, lambda t: tokens(t, stop_words)))
-        .withColumn("__asked", tokens(F.col(query), stop_words))
-        .withColumn("__doc_terms", F.transform("__docs", F.array_distinct))
-        .withColumn("__asked_terms", F.array_distinct("__asked"))
+def token_sets(
+    query: Column, golden_texts: Column, distractor_texts: Column, stop_words: Sequence[str] = ()
+) -> Column:
+    """STRUCT<docs, asked, doc_terms, asked_terms>: tokens and distinct tokens, golden document first."""
+    texts = F.concat(F.array(F.array_join(golden_texts, "\n")), distractor_texts)
+    split = F.struct(
+        F.transform(texts, lambda t: tokens(t, stop_words)).alias("docs"),
+        tokens(query, stop_words).alias("asked"),
+    )
+    return let(
+        split,
+        lambda s: F.struct(
+            s["docs"].alias("docs"),
+            s["asked"].alias("asked"),
+            F.transform(s["docs"], F.array_distinct).alias("doc_terms"),
+            F.array_distinct(s["asked"]).alias("asked_terms"),
+        ),
     )
 
 
-def with_okapi_scores(df: DataFrame, out: str = "scores") -> DataFrame:
-    """Add ``out``: one score per document, golden first. Needs ``with_token_sets``."""
-    # __layers[n] holds the terms found in more than n documents.
-    layered = F.expr(
-        "aggregate(__doc_terms, array_repeat(cast(array() as array<string>), size(__doc_terms)), "
-        "(layers, terms) -> transform(layers, (layer, n) -> array_union(layer, "
-        "IF(n = 0, terms, array_intersect(get(layers, n - 1), terms)))))"
-    )
-    df = (
-        df.withColumn("__total", F.size("__docs"))
-        .withColumn("__in_more_than", F.transform(layered, F.size))
-        .withColumn(
-            "__avg_length",
-            F.aggregate("__docs", F.lit(0), lambda acc, d: acc + F.size(d)) / F.col("__total"),
-        )
-    )
-    # Documents holding the term: n + 1 for terms in more than n but not in more than n + 1.
-    idf = "ln(__total - {0} + 0.5D) - ln({0} + 0.5D)"
-    summed = F.expr(
-        "aggregate(transform(__in_more_than, (c, n) -> "
-        f"(c - coalesce(get(__in_more_than, n + 1), 0)) * ({idf.format('(n + 1)')})), "
-        "0D, (acc, x) -> acc + x)"
-    )
-    floor = F.when(F.col("__in_more_than")[0] > 0, _NEGATIVE_SHARE * summed / F.col("__in_more_than")[0])
-    found_in = F.expr(
-        "transform(__asked, w -> struct(w, size(filter(__doc_terms, d -> array_contains(d, w))) AS n))"
-    )
+def _terms_in_more_than(doc_terms: Column) -> Column:
+    """Element n: how many distinct terms are found in more than n documents."""
+
+    def add_document(layers: Column, terms: Column) -> Column:
+        def grow(layer: Column, n: Column) -> Column:
+            again = F.array_intersect(F.get(layers, n - 1), terms)
+            return F.array_union(layer, F.when(n == 0, terms).otherwise(again))
+
+        return F.transform(layers, grow)
+
+    empty = F.array_repeat(F.array().cast("array<string>"), F.size(doc_terms))
+    return F.transform(F.aggregate(doc_terms, empty, add_document), F.size)
+
+
+def _idf(total: Column, holding: Column) -> Column:
+    return F.ln(total - holding + 0.5) - F.ln(holding + 0.5)
+
+
+def _negative_idf(total: Column, in_more_than: Column) -> Column:
+    """Replacement for a negative idf, from the mean over the distinct terms."""
+
+    def share(count: Column, n: Column) -> Column:
+        exactly = count - F.coalesce(F.get(in_more_than, n + 1), F.lit(0))
+        return exactly * _idf(total, n + 1)
 
+    summed = F.aggregate(F.transform(in_more_than, share), F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(in_more_than[0] > 0, _NEGATIVE_SHARE * summed / in_more_than[0])
+
+
+def okapi_scores(sets: Column) -> Column:
+    """One score per document; query tokens count as often as they are repeated."""
+    docs, doc_terms = sets["docs"], sets["doc_terms"]
+    total = F.size(docs)
+    average = F.aggregate(docs, F.lit(0), lambda acc, d: acc + F.size(d)) / total
+
+    def weights(negative: Column) -> Column:
+        found = F.transform(
+            sets["asked"],
+            lambda w: F.struct(
+                w.alias("w"), F.size(F.filter(doc_terms, lambda d: F.array_contains(d, w))).alias("n")
+            ),
+        )
 
-    def weights(floor: Column) -> Column:
         def weight(f: Column) -> Column:
-            idf = F.ln(F.col("__total") - f["n"] + 0.5) - F.ln(f["n"] + 0.5)
-            return F.struct(f["w"].alias("w"), F.when(idf < 0, floor).otherwise(idf).alias("idf"))
+            idf = _idf(total, f["n"])
+            return F.struct(f["w"].alias("w"), F.when(idf < 0, negative).otherwise(idf).alias("idf"))
 
-        return F.transform(F.filter(found_in, lambda f: f["n"] > 0), weight)
+        return F.transform(F.filter(found, lambda f: f["n"] > 0), weight)
 
-    def document_score(document: Column, terms: Column, average: Column) -> Column:
-        length = F.size(document)
-        norm = _K1 * (1 - _B + _B * length / average)
+    def score(document: Column, terms: Column, average: Column) -> Column:
+        norm = _K1 * (1 - _B + _B * F.size(document) / average)
 
-        def add(total: Column, t: Column) -> Column:
-            tf = length - F.size(F.array_remove(document, t["w"]))
-            return total + t["idf"] * tf * (_K1 + 1) / (tf + norm)
+        def add(acc: Column, t: Column) -> Column:
+            tf = F.size(document) - F.size(F.array_remove(document, t["w"]))
+            return acc + t["idf"] * tf * (_K1 + 1) / (tf + norm)
 
         return F.aggregate(terms, F.lit(0.0), add)
 
-    scores = let(
-        F.struct(
-            let(floor, weights).alias("weights"), F.col("__avg_length").alias("average")
-        ),
-        lambda s: F.transform(
-            "__docs", lambda d: document_score(d, s["weights"], s["average"])
-        ),
-    )
-    return df.withColumn(out, scores).drop("__total", "__in_more_than", "__avg_length")
+    negative = let(_terms_in_more_than(doc_terms), lambda m: _negative_idf(total, m))
+    bound = F.struct(let(negative, weights).alias("weights"), average.alias("average"))
+    return let(bound, lambda b: F.transform(docs, lambda d: score(d, b["weights"], b["average"])))
 
 
-def with_overlap_scores(df: DataFrame, out: str = "scores") -> DataFrame:
-    """Add ``out``: distinct query tokens per document, the simpler scorer."""
-    return df.withColumn(
-        out,
-        F.transform(
-            "__doc_terms",
-            lambda terms: F.size(F.array_intersect("__asked_terms", terms)).cast("double"),
-        ),
+def overlap_scores(sets: Column) -> Column:
+    """Distinct query tokens per document, the simpler scorer."""
+    return F.transform(
+        sets["doc_terms"],
+        lambda terms: F.size(F.array_intersect(sets["asked_terms"], terms)).cast("double"),
     )
+
+
+def figures(sets: Column, scores: Column) -> Column:
+    """STRUCT of the scores and what the gate looks at."""
+
+    def share(terms: Column) -> Column:
+        asked = sets["asked_terms"]
+        return F.size(F.array_intersect(asked, terms)) / F.greatest(F.size(asked), F.lit(1))
+
+    def finish(s: Column) -> Column:
+        golden, best = s["scores"][0], F.coalesce(F.array_max(s["others"]), F.lit(0.0))
+        best_slot = F.array_position(s["others"], best).cast("int")
+        return F.struct(
+            s["scores"].alias("scores"),
+            golden.alias("golden_score"),
+            best.alias("best_distractor_score"),
+            (1 + F.size(F.filter(s["others"], lambda x: x > golden))).alias("golden_rank"),
+            (golden - best).alias("margin"),
+            share(sets["doc_terms"][0]).alias("golden_coverage"),
+            F.when(F.size(s["others"]) > 0, share(F.get(sets["doc_terms"], best_slot)))
+            .otherwise(0.0)
+            .alias("best_distractor_coverage"),
+        )
+
+    def others(scores: Column) -> Column:
+        return F.struct(
+            scores.alias("scores"), F.slice(scores, F.lit(2), F.size(scores)).alias("others")
+        )
+
+    return let(scores, lambda s: let(others(s), finish))

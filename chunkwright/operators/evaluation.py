@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bm25 import with_okapi_scores, with_overlap_scores, with_token_sets
+from ..functions.bm25 import figures, okapi_scores, overlap_scores, token_sets
+from ..functions.text import let
 from ..options import Options
 from .sampling import escalation_sample
 
@@ -17,40 +18,15 @@ def score_queries(queries: DataFrame, options: Options, scorer: str = "bm25") ->
     """Add scores, golden_rank, margin and both coverages. Row-local, no shuffle.
 
     ``scores`` holds the golden document first, then the distractors in order.
+    The figures leave through ``inline``, which later filters on them cannot be
+    pushed below, so they are computed once.
     """
-    sets = with_token_sets(
-        queries.withColumn("__golden_texts", F.col("golden.chunk_text")).withColumn(
-            "__distractor_texts", F.col("distractors.chunk_text")
-        ),
-        "query",
-        "__golden_texts",
-        "__distractor_texts",
-        options.stop_words,
-    )
-    scored = {"bm25": with_okapi_scores, "overlap": with_overlap_scores}[scorer](sets)
-    others = F.slice("scores", F.lit(2), F.size("scores"))
-    scored = scored.withColumn("golden_score", F.col("scores")[0]).withColumn(
-        "best_distractor_score", F.coalesce(F.array_max(others), F.lit(0.0))
-    )
-    asked = F.greatest(F.size("__asked_terms"), F.lit(1))
-
-    def share(terms: Column) -> Column:
-        return F.size(F.array_intersect("__asked_terms", terms)) / asked
-
-    best_slot = F.array_position(others, F.col("best_distractor_score")).cast("int")
-    return (
-        scored.withColumn(
-            "golden_rank",
-            1 + F.size(F.filter("scores", lambda s: s > F.col("golden_score"))),
-        )
-        .withColumn("margin", F.col("golden_score") - F.col("best_distractor_score"))
-        .withColumn("golden_coverage", share(F.col("__doc_terms")[0]))
-        .withColumn(
-            "best_distractor_coverage",
-            F.when(F.size("scores") > 1, share(F.get("__doc_terms", best_slot))).otherwise(0.0),
-        )
-        .drop("__golden_texts", "__distractor_texts", "__docs", "__asked", "__doc_terms", "__asked_terms")
+    score = {"bm25": okapi_scores, "overlap": overlap_scores}[scorer]
+    sets = token_sets(
+        F.col("query"), F.col("golden.chunk_text"), F.col("distractors.chunk_text"), options.stop_words
     )
+    row = let(sets, lambda s: figures(s, score(s)))
+    return queries.select("*", F.inline(F.array(row)))
 
 
 def nonllm_accept(options: Options) -> Column:

@@ -12,6 +12,7 @@ from ..session import settle
 
 log = logging.getLogger(__name__)
 
+_END_MARK = "end-of-line-7d1f0c52"
 _ORDER = ["path_idx", "file", "block", "line"]
 
 
@@ -23,20 +24,30 @@ def parse_chunks(lines: DataFrame, value: str = "value") -> DataFrame:
     """
 
     def path(key: str) -> str:
-        return f"try_variant_get(__json, '$.{key}', 'variant')"
+        return f"try_variant_get(__object, '$.{key}', 'variant')"
 
     def pick(first: str, second: str) -> Column:
         return F.expr(f"CASE WHEN {path(first)} IS NOT NULL THEN {path(first)} ELSE {path(second)} END")
 
+    # The JSON parser stops after the first value; the mark behind it is found at
+    # its place only when nothing else follows in the line.
+    marked = F.concat(F.lit("["), F.col(value), F.lit(f',"{_END_MARK}"]'))
     parsed = (
-        lines.withColumn("__json", F.try_parse_json(F.col(value)))
+        lines.withColumn("__json", F.try_parse_json(marked))
+        .withColumn(
+            "__object",
+            F.expr(
+                f"IF(try_variant_get(__json, '$[1]', 'string') = '{_END_MARK}', "
+                "try_variant_get(__json, '$[0]', 'variant'), NULL)"
+            ),
+        )
         .withColumn("__text", pick("chunk_text", "chunk"))
         .withColumn("__vector", pick("embedding", "content_vector"))
         .withColumn("embedding", F.expr("try_variant_get(__vector, '$', 'array<double>')"))
     )
     error = (
-        F.when(F.col("__json").isNull(), "not JSON")
-        .when(~F.coalesce(F.schema_of_variant("__json").startswith("OBJECT"), F.lit(False)), "not an object")
+        F.when(F.col("__object").isNull(), "not JSON")
+        .when(~F.coalesce(F.schema_of_variant("__object").startswith("OBJECT"), F.lit(False)), "not an object")
         .when(F.expr(f"{path('doc_id')} IS NULL"), "no doc_id")
         .when(F.expr(f"{path('chunk_id')} IS NULL"), "no chunk_id")
         .when(F.expr("is_variant_null(__text)"), "chunk_text is null")
@@ -45,8 +56,8 @@ def parse_chunks(lines: DataFrame, value: str = "value") -> DataFrame:
         .when(F.exists("embedding", lambda x: x.isNull()), "embedding holds a value that is no number")
     )
     return (
-        parsed.withColumn("doc_id", F.expr("try_variant_get(__json, '$.doc_id', 'string')"))
-        .withColumn("chunk_id", F.expr("try_variant_get(__json, '$.chunk_id', 'string')"))
+        parsed.withColumn("doc_id", F.expr("try_variant_get(__object, '$.doc_id', 'string')"))
+        .withColumn("chunk_id", F.expr("try_variant_get(__object, '$.chunk_id', 'string')"))
         .withColumn(
             "chunk_text",
             F.when(F.col("__text").isNull(), F.lit("")).otherwise(
@@ -54,7 +65,7 @@ def parse_chunks(lines: DataFrame, value: str = "value") -> DataFrame:
             ),
         )
         .withColumn("error", error)
-        .drop("__json", "__text", "__vector")
+        .drop("__json", "__object", "__text", "__vector")
     )
 
 

@@ -459,3 +459,10 @@ _PROMPTS = ORACLES["build_prompt"].split("\nSELECT bundle_id, query_type, 'Write
 ORACLES["pending_requests"] = _with(
     "stored", "SELECT DISTINCT request_key, 'Write" + _PROMPTS
 ) + " WHERE request_key NOT IN (SELECT request_key FROM stored)"
+ORACLES["whole_run"] = _with(
+    "figures,gated,queries",
+    "SELECT q.bundle_id, q.query_type, q.query, g.golden_rank::INTEGER AS golden_rank, round(g.margin, 4) AS margin, "
+    "g.ok AS accepted FROM queries q JOIN gated g USING (bundle_id, query_type) WHERE q.bundle_id IN ("
+    + _sample("valid", "ord", "SELECT greatest(1, floor(count(*) * 0.25)::BIGINT) FROM valid")
+    + ")",
+)
