@@ -24,8 +24,10 @@ from ..functions.vectors import MIN_NORM, SIM_DIGITS
 from ..options import Options
 from .sampling import sample_exact
 
-SLACK = 1e-6  # added to every distance bound to cover rounding
-_ROWS = 1024  # rows per matrix product
+SLACK = 1e-4  # added to every distance bound; covers rounding of cosines near 1
+_TIE = 1e-9  # the same for a difference of two cosines
+_ROWS = 1024  # rows per matrix product when the other side is no larger than the pivots
+_PRODUCT = 4_000_000  # entries of a similarity matrix held at once
 
 
 def points_of(df: DataFrame) -> DataFrame:
@@ -52,6 +54,11 @@ def list_column(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
 
 
+def slice_rows(width: int) -> int:
+    """Rows to multiply at a time against ``width`` others."""
+    return max(16, _PRODUCT // max(width, 1))
+
+
 def similarities(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Cosines of unit rows, rounded so that copies tie whatever the block shape."""
     return np.round(left @ right.T, SIM_DIGITS)
@@ -63,7 +70,7 @@ def choose_pivots(points: DataFrame, rows: int, options: Options) -> np.ndarray:
     dim = len(first[0]["embedding"]) if first else 1
     limit = max(1, min(options.max_pivots, options.broadcast_bytes // (8 * dim)))
     wanted = min(limit, math.isqrt(rows))
-    if rows <= options.block_rows or wanted < 2:
+    if rows <= options.rows_per_block(dim) or wanted < 2:
         return np.eye(1, dim)
     sample = sample_exact(points, "ord", options.seed, wanted).select("embedding").collect()
     return np.unique(unit_rows(np.array([r["embedding"] for r in sample], dtype=float)), axis=0)
@@ -79,7 +86,8 @@ def assign_homes(points: DataFrame, pivots: np.ndarray) -> DataFrame:
                 part = batch.slice(start, _ROWS)
                 unit = unit_rows(matrix(part.column("embedding")))
                 cosine = unit @ shared.value.T
-                cell = cosine.argmax(axis=1)
+                # Rounded, so that copies always choose the same cell.
+                cell = np.round(cosine, SIM_DIGITS).argmax(axis=1)
                 best = cosine[np.arange(len(cell)), cell]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -103,10 +111,13 @@ def collapse_copies(homes: DataFrame) -> DataFrame:
     all rows arrives as one row per task.
     """
     return homes.groupBy("cell", "unit").agg(
-        F.min("ord").alias("ord"), F.min("dist").alias("dist")
+        F.min("ord").alias("ord"), F.min("dist").alias("dist"), F.count("*").alias("copies")
     )
 
 
+Compare = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], Iterator[dict[str, np.ndarray]]]
+
+
 @dataclass(frozen=True)
 class Cells:
     """Per-cell figures; at most one entry per pivot, so safe to hold on the driver."""
@@ -115,17 +126,17 @@ class Cells:
     rows: dict[int, int]
     low: np.ndarray
     high: np.ndarray
-    inner_first: dict[int, int]
+    first: dict[int, int]
 
     @staticmethod
-    def measure(homes: DataFrame, pivots: np.ndarray, inner_radius: float = 0.0) -> "Cells":
+    def measure(homes: DataFrame, pivots: np.ndarray) -> "Cells":
         figures = (
             homes.groupBy("cell")
             .agg(
                 F.count("*").alias("rows"),
                 F.min("dist").alias("low"),
                 F.max("dist").alias("high"),
-                F.min(F.when(F.col("dist") <= inner_radius, F.col("ord"))).alias("inner_first"),
+                F.min("ord").alias("first"),
             )
             .collect()
         )
@@ -138,7 +149,7 @@ class Cells:
             {f["cell"]: f["rows"] for f in figures},
             low,
             high,
-            {f["cell"]: f["inner_first"] for f in figures if f["inner_first"] is not None},
+            {f["cell"]: f["first"] for f in figures},
         )
 
 
@@ -149,7 +160,7 @@ def with_visits(df: DataFrame, cells: Cells, radius: float | str, skip_home: boo
     The result has (ord, unit, cell) with ``cell`` the visited one.
     """
     context = df.sparkSession.sparkContext
-    between = np.sqrt(np.maximum(2 - 2 * cells.pivots @ cells.pivots.T, 1e-18))
+    between = np.sqrt(np.maximum(2 - 2 * cells.pivots @ cells.pivots.T, 0))
     shared = context.broadcast((cells.pivots, between, cells.low, cells.high))
     per_row = isinstance(radius, str)
     columns = ["ord", "unit", "cell"] + ([radius] if per_row else [])
@@ -166,9 +177,9 @@ def with_visits(df: DataFrame, cells: Cells, radius: float | str, skip_home: boo
                 ) + SLACK
                 cosine = unit @ pivots.T
                 rows = np.arange(len(home))
-                to_plane = (cosine[rows, home][:, None] - cosine) / gaps[home]
+                lead = cosine[rows, home][:, None] - cosine
                 dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
-                visit = (to_plane <= reach) & (dist - reach <= high) & (dist + reach >= low)
+                visit = (lead <= reach * gaps[home] + _TIE) & (dist - reach <= high) & (dist + reach >= low)
                 if skip_home:
                     visit[rows, home] = False
                 which, target = np.nonzero(visit)
@@ -195,16 +206,18 @@ def block_join(
     visitors: DataFrame,
     member_rows: dict[int, int],
     options: Options,
-    compare: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict[str, np.ndarray]],
+    compare: Compare,
+    dim: int,
     schema: str,
 ) -> DataFrame:
     """Bring members and visitors of a cell together, one block of each at a time.
 
     Both sides carry (ord, unit, cell). ``compare`` gets the ord and matrix of a
-    member block and of a visitor block and returns only what passes its test.
+    member block and of a visitor block and yields only what passes its test,
+    slice by slice, so neither all products nor all results are held at once.
     """
     visitor_rows = rows_per_cell(visitors)
-    size = options.block_rows
+    size = options.rows_per_block(dim)
     plan = [
         (cell, -(-rows // size), -(-visitor_rows[cell] // size))
         for cell, rows in member_rows.items()
@@ -234,13 +247,16 @@ def block_join(
     )
     names = [field.split()[0] for field in schema.split(",")]
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))  # at most one block of each side
         is_member = table.column("is_member").to_numpy()
         ords = table.column("ord").to_numpy()
         vectors = matrix(table.column("unit"))
-        found = compare(ords[is_member], vectors[is_member], ords[~is_member], vectors[~is_member])
-        return pa.table({name: pa.array(found[name]) for name in names})
-
-    return left.unionByName(right).groupBy("cell", "member_block", "visitor_block").applyInArrow(
-        run, schema
-    )
+        for found in compare(ords[is_member], vectors[is_member], ords[~is_member], vectors[~is_member]):
+            yield pa.RecordBatch.from_arrays([pa.array(found[name]) for name in names], names)
+
+    keys = ["cell", "member_block", "visitor_block"]
+    groups = sum(member_blocks * visitor_blocks for _, member_blocks, visitor_blocks in plan)
+    configured = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(groups, max(configured, groups // 4)))
+    return left.unionByName(right).repartition(tasks, *keys).groupBy(*keys).applyInArrow(run, schema)

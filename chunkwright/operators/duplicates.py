@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..options import Options
 from ..session import settle
 from .cells import (
-    SLACK,
     Cells,
     assign_homes,
     block_join,
     choose_pivots,
     collapse_copies,
+    matrix,
     points_of,
     similarities,
+    slice_rows,
     with_visits,
 )
 from .neighbors import knn_join
 from .sampling import sample_exact
 
-_ROWS = 1024
-
 
 def _radius(threshold: float) -> float:
     """Chord length between unit vectors whose cosine is ``threshold``."""
@@ -34,36 +35,60 @@ def _radius(threshold: float) -> float:
 
 def _pairs_above(threshold: float):
     def compare(member_ord, members, visitor_ord, visitors):
-        left, right, sims = [], [], []
-        for start in range(0, len(visitor_ord), _ROWS):
-            ords = visitor_ord[start : start + _ROWS]
-            sim = similarities(visitors[start : start + _ROWS], members)
+        step = slice_rows(len(member_ord))
+        for start in range(0, len(visitor_ord), step):
+            ords = visitor_ord[start : start + step]
+            sim = similarities(visitors[start : start + step], members)
             v, m = np.nonzero((sim >= threshold) & (member_ord[None, :] < ords[:, None]))
-            left.append(member_ord[m])
-            right.append(ords[v])
-            sims.append(sim[v, m])
-        return {
-            "left_ord": np.concatenate(left) if left else np.empty(0, np.int64),
-            "right_ord": np.concatenate(right) if right else np.empty(0, np.int64),
-            "sim": np.concatenate(sims) if sims else np.empty(0),
-        }
+            yield {"left_ord": member_ord[m], "right_ord": ords[v], "sim": sim[v, m]}
 
     return compare
 
 
 def _has_earlier(threshold: float):
     def compare(member_ord, members, visitor_ord, visitors):
-        hits = [np.empty(0, np.int64)]
-        for start in range(0, len(visitor_ord), _ROWS):
-            ords = visitor_ord[start : start + _ROWS]
-            sim = similarities(visitors[start : start + _ROWS], members)
+        step = slice_rows(len(member_ord))
+        for start in range(0, len(visitor_ord), step):
+            ords = visitor_ord[start : start + step]
+            sim = similarities(visitors[start : start + step], members)
             near = (sim >= threshold) & (member_ord[None, :] < ords[:, None])
-            hits.append(ords[near.any(axis=1)])
-        return {"ord": np.concatenate(hits)}
+            yield {"ord": ords[near.any(axis=1)]}
 
     return compare
 
 
+def _mark_near_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> DataFrame:
+    """Add ``near_leader``: an earlier row among the first rows of the cells is within the limit.
+
+    One leader per cell, so as many vectors as there are pivots are shared. All
+    but the leader of a dense crowd of near copies are settled here in one pass
+    over the rows, and are never compared with each other.
+    """
+    firsts_of_cells = list(cells.first.values())
+    leaders = firsts.filter(F.col("ord").isin(firsts_of_cells)).select("ord", "unit").collect()
+    shared = firsts.sparkSession.sparkContext.broadcast(
+        (np.array([r["ord"] for r in leaders]), np.array([r["unit"] for r in leaders]))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leader_ord, leader_unit = shared.value
+        for batch in batches:
+            step = slice_rows(len(leader_ord))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                ords = part.column("ord").to_numpy()
+                sim = similarities(matrix(part.column("unit")), leader_unit)
+                near = ((sim >= threshold) & (leader_ord[None, :] < ords[:, None])).any(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("ord"), part.column("unit"), part.column("cell"), pa.array(near)],
+                    ["ord", "unit", "cell", "near_leader"],
+                )
+
+    return firsts.select("ord", "unit", "cell").mapInArrow(
+        run, "ord bigint, unit array<double>, cell int, near_leader boolean"
+    )
+
+
 def _distinct_directions(chunks: DataFrame, options: Options) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """(homes of all rows, one settled row per distinct direction, pivots)."""
     points = points_of(chunks)
@@ -98,12 +123,15 @@ def near_duplicate_pairs(
         cells.rows,
         options,
         _pairs_above(threshold),
+        pivots.shape[1],
         "left_ord bigint, right_ord bigint, sim double",
     )
     # The zero vector has no direction; its copies are not similar to each other.
+    repeated = firsts.filter(
+        (F.col("copies") > 1) & (F.aggregate("unit", F.lit(0.0), lambda a, x: a + F.abs(x)) > 0)
+    )
     copies = (
-        homes.filter(F.aggregate("unit", F.lit(0.0), lambda a, x: a + F.abs(x)) > 0)
-        .join(firsts.select("cell", "unit", F.col("ord").alias("left_ord")), ["cell", "unit"])
+        homes.join(repeated.select("cell", "unit", F.col("ord").alias("left_ord")), ["cell", "unit"])
         .filter(F.col("ord") > F.col("left_ord"))
         .select("left_ord", F.col("ord").alias("right_ord"), F.lit(1.0).alias("sim"))
     )
@@ -111,36 +139,20 @@ def near_duplicate_pairs(
 
 
 def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) -> tuple[DataFrame, DataFrame]:
-    """Split (ord, unit, cell, dist) rows by whether an earlier row is within the limit.
-
-    Members of a cell within half the limit of its pivot are all within the limit
-    of each other, so all but the first of them are settled by one minimum per
-    cell. A dense crowd of near copies is thus never compared pair by pair; only
-    rows still open visit other cells.
-    """
+    """Split (ord, unit, cell, dist) rows by whether an earlier row is within the limit."""
     threshold = options.duplicate_cosine
-    half = _radius(threshold) / 2 - SLACK
-    cells = Cells.measure(firsts, pivots, half)
-    # One row per cell, so never more rows than there are pivots.
-    leaders = F.broadcast(
-        firsts.sparkSession.createDataFrame(
-            list(cells.inner_first.items()), "cell int, leader bigint"
-        )
-    )
-    with_leader = firsts.join(leaders, "cell", "left")
-    settled_inside = F.coalesce(
-        (F.col("dist") <= half) & (F.col("ord") > F.col("leader")), F.lit(False)
-    )
-    open_rows = with_leader.filter(~settled_inside)
+    cells = Cells.measure(firsts, pivots)
+    marked = settle(_mark_near_leaders(firsts, cells, threshold))
     later = block_join(
         firsts.select("ord", "unit", "cell"),
-        with_visits(open_rows, cells, _radius(threshold)),
+        with_visits(marked.filter(~F.col("near_leader")), cells, _radius(threshold)),
         cells.rows,
         options,
         _has_earlier(threshold),
+        pivots.shape[1],
         "ord bigint",
     ).distinct()
-    later = settle(later.unionByName(with_leader.filter(settled_inside).select("ord")))
+    later = settle(later.unionByName(marked.filter("near_leader").select("ord")))
     return firsts.join(later, "ord", "left_anti"), firsts.join(later, "ord", "left_semi")
 
 
@@ -177,6 +189,7 @@ def dedup_greedy(chunks: DataFrame, options: Options, max_rounds: int | None = N
                 cells.rows,
                 options,
                 _has_earlier(options.duplicate_cosine),
+                pivots.shape[1],
                 "ord bigint",
             ).distinct()
         )
@@ -201,11 +214,10 @@ def dedup_size_guard(rows: int, options: Options, indexed: bool = True) -> None:
         )
 
 
-def kept_rows(chunks: DataFrame, options: Options) -> DataFrame:
-    """Apply the configured duplicate policy."""
-    if options.duplicate_policy == "greedy":
-        return dedup_greedy(chunks, options)
-    return dedup_any_earlier(chunks, options)
+def dropped_rows(chunks: DataFrame, options: Options) -> DataFrame:
+    """``ord`` of the rows the configured duplicate policy removes."""
+    dedup = dedup_greedy if options.duplicate_policy == "greedy" else dedup_any_earlier
+    return chunks.select("ord").join(dedup(chunks, options), "ord", "left_anti")
 
 
 def dedup_sampled(

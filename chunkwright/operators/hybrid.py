@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import key_terms, letter_words
 from ..options import Options
+from ..session import settle
 from .sampling import top_k
 
 # Usual BM25 parameters of text indexes, and the RRF constant.
@@ -20,9 +21,10 @@ def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     its rarest term only, and the other terms are tested on the row itself, so
     a common word never joins all its rows with all its queries.
     """
-    with_terms = golden.select("ord", key_terms(F.col("chunk_text")).alias("key_terms")).filter(F.col("key_terms") != "")
+    terms_of = settle(golden.select("ord", key_terms(F.col("chunk_text")).alias("key_terms")))
+    with_terms = terms_of.filter(F.col("key_terms") != "")
     queries = with_terms.select("key_terms").distinct()
-    docs = corpus.select("ord", letter_words(F.col("chunk_text")).alias("words"))
+    docs = settle(corpus.select("ord", letter_words(F.col("chunk_text")).alias("words")))
     docs_total, avg_words = docs.agg(F.count("*"), F.avg(F.size("words"))).first()
 
     query_terms = queries.select("key_terms", F.explode(F.split("key_terms", " ")).alias("term"))
@@ -33,7 +35,7 @@ def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         .groupBy("term")
         .agg(F.count("*").alias("df"))
     )
-    weighted = (
+    weighted = settle(
         query_terms.join(frequency, "term")
         .groupBy("key_terms")
         .agg(

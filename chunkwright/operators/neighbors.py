@@ -21,6 +21,7 @@ from .cells import (
     points_of,
     rows_per_cell,
     similarities,
+    slice_rows,
     unit_rows,
     with_visits,
 )
@@ -48,15 +49,13 @@ def _entries(sim: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _nearest_members(k: int):
     def compare(member_ord, members, visitor_ord, visitors):
-        parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
-        for start in range(0, len(visitor_ord), 512):
-            sim = similarities(visitors[start : start + 512], members)
+        step = slice_rows(len(member_ord))
+        for start in range(0, len(visitor_ord), step):
+            sim = similarities(visitors[start : start + step], members)
             v, m = _entries(sim, k)
-            keep = _best(v, member_ord[m], sim[v, m], k) if len(v) else v
+            keep = _best(v, member_ord[m], sim[v, m], k)
             v, m = v[keep], m[keep]
-            parts.append((visitor_ord[start + v], member_ord[m], sim[v, m]))
-        visitor, member, sims = (np.concatenate(column) for column in zip(*parts))
-        return {"visitor_ord": visitor, "ord": member, "sim": sims}
+            yield {"visitor_ord": visitor_ord[start + v], "ord": member_ord[m], "sim": sim[v, m]}
 
     return compare
 
@@ -79,7 +78,7 @@ def _knn_broadcast(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         golden_ord, golden_unit = shared.value
-        step = max(64, 4_000_000 // len(golden_ord))
+        step = slice_rows(len(golden_ord))
         row, ord_, sim = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         for batch in batches:
             for start in range(0, batch.num_rows, step):
@@ -137,7 +136,13 @@ def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options, r
     home_found = settle(
         _ranked(
             block_join(
-                members, firsts.select("ord", "unit", "cell"), cells.rows, options, _nearest_members(depth), _FOUND
+                members,
+                firsts.select("ord", "unit", "cell"),
+                cells.rows,
+                options,
+                _nearest_members(depth),
+                pivots.shape[1],
+                _FOUND,
             ),
             "visitor_ord",
             depth,
@@ -161,6 +166,7 @@ def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options, r
         cells.rows,
         options,
         _nearest_members(depth),
+        pivots.shape[1],
         _FOUND,
     )
     found = _ranked(home_found.unionByName(far_found), "visitor_ord", depth).drop("rank")
@@ -209,7 +215,15 @@ def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> D
     firsts = settle(collapse_copies(homes))
     visits = settle(_nearest_cells(firsts, centers, options.ivf_nprobe))
     found = _ranked(
-        block_join(members, visits, rows_per_cell(members), options, _nearest_members(k + 1), _FOUND),
+        block_join(
+            members,
+            visits,
+            rows_per_cell(members),
+            options,
+            _nearest_members(k + 1),
+            centers.shape[1],
+            _FOUND,
+        ),
         "visitor_ord",
         k + 1,
     ).drop("rank")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import whitespace_token_count
 from ..options import Options
 from ..session import settle
-from .duplicates import kept_rows
+from .duplicates import dropped_rows
 
 
 def with_token_count(chunks: DataFrame) -> DataFrame:
@@ -31,11 +31,13 @@ def annotate(chunks: DataFrame, options: Options) -> DataFrame:
     """Add n_tokens, status and reject_reason to every chunk.
 
     The cheap length test runs first; only survivors enter the vector join,
-    and only as (ord, embedding).
+    and only as (ord, embedding). What comes back are the dropped keys, written
+    down so that Spark knows their size: few of them are broadcast, and the
+    chunks themselves are not shuffled.
     """
     counted = with_token_count(chunks)
     survivors = counted.filter(length_ok(options)).select("ord", "embedding")
-    kept = kept_rows(survivors, options).withColumn("is_kept", F.lit(True))
+    dropped = settle(dropped_rows(survivors, options)).withColumn("is_dropped", F.lit(True))
     duplicate = (
         F.lit("Near-duplicate chunk.")
         if options.duplicate_policy == "greedy"
@@ -43,12 +45,12 @@ def annotate(chunks: DataFrame, options: Options) -> DataFrame:
     )
     reason = F.when(
         ~length_ok(options), F.format_string("Token length (%d) out of bounds.", F.col("n_tokens"))
-    ).when(F.col("is_kept").isNull(), duplicate)
+    ).when(F.col("is_dropped"), duplicate)
     return (
-        counted.join(kept, "ord", "left")
+        counted.join(dropped, "ord", "left")
         .withColumn("reject_reason", reason)
         .withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit("Validated")))
-        .drop("is_kept")
+        .drop("is_dropped")
     )
 
 

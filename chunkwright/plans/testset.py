@@ -41,7 +41,8 @@ def select_bundles(
     pool = validated.length_ok if options.distractor_pool == "pre_dedup" else validated.valid
     golden = sample_golden(validated.valid, options)
     search = search_strategy(options.strategy, search_results)
-    neighbors = search(golden, pool, options.num_distractors, options)
+    # Written down: a few rows per golden chunk, whose size decides the join with the texts.
+    neighbors = settle(search(golden, pool, options.num_distractors, options))
     return build_bundles(drop_vectors(golden), neighbors, drop_vectors(pool))
 
 

@@ -143,10 +143,15 @@ def load_order(chunks: DataFrame, order_by: Sequence[str] = ("doc_id", "chunk_id
     """Add ``ord`` BIGINT following ``order_by``.
 
     A range-partitioned sort and the increasing row id give the order without a
-    single-task window. The result is written down, so the ids stay fixed.
+    single-task window. The place in the input breaks ties, so a key repeated many
+    times is spread too. The result is written down, so the ids stay fixed.
     """
     columns = [c for c in chunks.columns if c not in _ORDER or c in order_by]
-    ordered = chunks.select(*columns).orderBy(*order_by)
+    ordered = (
+        chunks.select(*columns, F.monotonically_increasing_id().alias("__place"))
+        .orderBy(*order_by, "__place")
+        .drop("__place")
+    )
     return settle(ordered.withColumn("ord", F.monotonically_increasing_id()))
 
 
