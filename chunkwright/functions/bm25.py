@@ -1,7 +1,8 @@
 """BM25 of a query over its own few documents, inside one row.
 
 Every query brings its corpus along (golden text and distractors), so scoring
-needs no shuffle at all: the whole computation is array expressions on the row.
+needs no shuffle at all: the whole computation is array expressions on the row,
+built as SQL text.
 """
 
 from __future__ import annotations
@@ -17,123 +18,85 @@ from .text import let, tokens
 # frequency is replaced by a quarter of the mean over all terms.
 _K1, _B, _NEGATIVE_SHARE = 1.5, 0.75, 0.25
 
+# ``s`` is the struct of token sets; element n of ``more`` tells how many distinct
+# terms are found in more than n documents.
+_LAYERS = (
+    "aggregate(s.doc_terms, array_repeat(cast(array() AS array<string>), size(s.docs)), "
+    "(layers, terms) -> transform(layers, (layer, n) -> array_union(layer, "
+    "IF(n = 0, terms, array_intersect(get(layers, n - 1), terms)))))"
+)
 
-def token_sets(
-    query: Column, golden_texts: Column, distractor_texts: Column, stop_words: Sequence[str] = ()
-) -> Column:
-    """STRUCT<docs, asked, doc_terms, asked_terms>: tokens and distinct tokens, golden document first."""
-    texts = F.concat(F.array(F.array_join(golden_texts, "\n")), distractor_texts)
-    split = F.struct(
-        F.transform(texts, lambda t: tokens(t, stop_words)).alias("docs"),
-        tokens(query, stop_words).alias("asked"),
-    )
-    return let(
-        split,
-        lambda s: F.struct(
-            s["docs"].alias("docs"),
-            s["asked"].alias("asked"),
-            F.transform(s["docs"], F.array_distinct).alias("doc_terms"),
-            F.array_distinct(s["asked"]).alias("asked_terms"),
-        ),
-    )
-
-
-def _terms_in_more_than(doc_terms: Column) -> Column:
-    """Element n: how many distinct terms are found in more than n documents."""
-
-    def add_document(layers: Column, terms: Column) -> Column:
-        def grow(layer: Column, n: Column) -> Column:
-            again = F.array_intersect(F.get(layers, n - 1), terms)
-            return F.array_union(layer, F.when(n == 0, terms).otherwise(again))
-
-        return F.transform(layers, grow)
-
-    empty = F.array_repeat(F.array().cast("array<string>"), F.size(doc_terms))
-    return F.transform(F.aggregate(doc_terms, empty, add_document), F.size)
-
-
-def _idf(total: Column, holding: Column) -> Column:
-    return F.ln(total - holding + 0.5) - F.ln(holding + 0.5)
-
-
-def _negative_idf(total: Column, in_more_than: Column) -> Column:
-    """Replacement for a negative idf, from the mean over the distinct terms."""
 
-    def share(count: Column, n: Column) -> Column:
-        exactly = count - F.coalesce(F.get(in_more_than, n + 1), F.lit(0))
-        return exactly * _idf(total, n + 1)
+def _idf(holding: str) -> str:
+    return f"(ln(size(s.docs) - {holding} + 0.5D) - ln({holding} + 0.5D))"
 
-    summed = F.aggregate(F.transform(in_more_than, share), F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(in_more_than[0] > 0, _NEGATIVE_SHARE * summed / in_more_than[0])
 
-
-def okapi_scores(sets: Column) -> Column:
+def _okapi_scores() -> str:
     """One score per document; query tokens count as often as they are repeated."""
-    docs, doc_terms = sets["docs"], sets["doc_terms"]
-    total = F.size(docs)
-    average = F.aggregate(docs, F.lit(0), lambda acc, d: acc + F.size(d)) / total
-
-    def weights(negative: Column) -> Column:
-        found = F.transform(
-            sets["asked"],
-            lambda w: F.struct(
-                w.alias("w"), F.size(F.filter(doc_terms, lambda d: F.array_contains(d, w))).alias("n")
-            ),
-        )
-
-        def weight(f: Column) -> Column:
-            idf = _idf(total, f["n"])
-            return F.struct(f["w"].alias("w"), F.when(idf < 0, negative).otherwise(idf).alias("idf"))
-
-        return F.transform(F.filter(found, lambda f: f["n"] > 0), weight)
+    idf_sum = (
+        f"aggregate(transform(more, (c, n) -> (c - coalesce(get(more, n + 1), 0)) * {_idf('(n + 1)')}), "
+        "0D, (acc, x) -> acc + x)"
+    )
+    negative = let(
+        "more",
+        f"transform({_LAYERS}, layer -> size(layer))",
+        f"IF(more[0] > 0, {_NEGATIVE_SHARE}D * {idf_sum} / more[0], 0D)",
+    )
+    found = "transform(s.asked, w -> named_struct('w', w, 'n', size(filter(s.doc_terms, d -> array_contains(d, w)))))"
+    weights = let(
+        "negative",
+        negative,
+        f"transform(filter({found}, f -> f.n > 0), f -> "
+        f"named_struct('w', f.w, 'idf', IF({_idf('f.n')} < 0, negative, {_idf('f.n')})))",
+    )
+    average = "aggregate(s.docs, 0, (acc, d) -> acc + size(d)) / size(s.docs)"
+    tf = "(size(doc) - size(array_remove(doc, t.w)))"
+    norm = f"{_K1}D * ({1 - _B}D + {_B}D * size(doc) / b.average)"
+    counted = f"transform(b.weights, t -> named_struct('idf', t.idf, 'tf', {tf}))"
+    score = f"aggregate({counted}, 0D, (acc, c) -> acc + c.idf * c.tf * {_K1 + 1}D / (c.tf + {norm}))"
+    return let(
+        "b",
+        f"named_struct('weights', {weights}, 'average', {average})",
+        f"transform(s.docs, doc -> {score})",
+    )
 
-    def score(document: Column, terms: Column, average: Column) -> Column:
-        norm = _K1 * (1 - _B + _B * F.size(document) / average)
 
-        def add(acc: Column, t: Column) -> Column:
-            tf = F.size(document) - F.size(F.array_remove(document, t["w"]))
-            return acc + t["idf"] * tf * (_K1 + 1) / (tf + norm)
+_OVERLAP_SCORES = (
+    "transform(s.doc_terms, terms -> cast(size(array_intersect(s.asked_terms, terms)) AS double))"
+)
+SCORERS = {"bm25": _okapi_scores(), "overlap": _OVERLAP_SCORES}
 
-        return F.aggregate(terms, F.lit(0.0), add)
 
-    negative = let(_terms_in_more_than(doc_terms), lambda m: _negative_idf(total, m))
-    bound = F.struct(let(negative, weights).alias("weights"), average.alias("average"))
-    return let(bound, lambda b: F.transform(docs, lambda d: score(d, b["weights"], b["average"])))
+def _figures() -> str:
+    """STRUCT of the scores ``f`` and what the gate looks at."""
 
+    def share(terms: str) -> str:
+        return f"size(array_intersect(s.asked_terms, {terms})) / greatest(size(s.asked_terms), 1)"
 
-def overlap_scores(sets: Column) -> Column:
-    """Distinct query tokens per document, the simpler scorer."""
-    return F.transform(
-        sets["doc_terms"],
-        lambda terms: F.size(F.array_intersect(sets["asked_terms"], terms)).cast("double"),
+    best_terms = "get(s.doc_terms, cast(array_position(g.others, g.best) AS int))"
+    return let(
+        "g",
+        "named_struct('others', slice(f, 2, size(f)), "
+        "'best', coalesce(array_max(slice(f, 2, size(f))), 0D))",
+        "named_struct('scores', f, 'golden_score', f[0], 'best_distractor_score', g.best, "
+        "'golden_rank', 1 + size(filter(g.others, x -> x > f[0])), 'margin', f[0] - g.best, "
+        f"'golden_coverage', {share('s.doc_terms[0]')}, "
+        f"'best_distractor_coverage', IF(size(g.others) > 0, {share(best_terms)}, 0D))",
     )
 
 
-def figures(sets: Column, scores: Column) -> Column:
-    """STRUCT of the scores and what the gate looks at."""
-
-    def share(terms: Column) -> Column:
-        asked = sets["asked_terms"]
-        return F.size(F.array_intersect(asked, terms)) / F.greatest(F.size(asked), F.lit(1))
-
-    def finish(s: Column) -> Column:
-        golden, best = s["scores"][0], F.coalesce(F.array_max(s["others"]), F.lit(0.0))
-        best_slot = F.array_position(s["others"], best).cast("int")
-        return F.struct(
-            s["scores"].alias("scores"),
-            golden.alias("golden_score"),
-            best.alias("best_distractor_score"),
-            (1 + F.size(F.filter(s["others"], lambda x: x > golden))).alias("golden_rank"),
-            (golden - best).alias("margin"),
-            share(sets["doc_terms"][0]).alias("golden_coverage"),
-            F.when(F.size(s["others"]) > 0, share(F.get(sets["doc_terms"], best_slot)))
-            .otherwise(0.0)
-            .alias("best_distractor_coverage"),
-        )
-
-    def others(scores: Column) -> Column:
-        return F.struct(
-            scores.alias("scores"), F.slice(scores, F.lit(2), F.size(scores)).alias("others")
-        )
-
-    return let(scores, lambda s: let(others(s), finish))
+def query_figures(
+    query: str, golden_texts: str, distractor_texts: str, scorer: str, stop_words: Sequence[str] = ()
+) -> Column:
+    """Scores (golden document first), rank, margin and coverages of a query as one struct."""
+    texts = f"concat(array(array_join({golden_texts}, '\\n')), {distractor_texts})"
+    split = (
+        f"named_struct('docs', transform({texts}, t -> {tokens('t', stop_words)}), "
+        f"'asked', {tokens(query, stop_words)})"
+    )
+    sets = (
+        "named_struct('docs', split.docs, 'asked', split.asked, "
+        "'doc_terms', transform(split.docs, d -> array_distinct(d)), "
+        "'asked_terms', array_distinct(split.asked))"
+    )
+    return F.expr(let("split", split, let("s", sets, let("f", SCORERS[scorer], _figures()))))

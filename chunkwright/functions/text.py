@@ -1,8 +1,12 @@
-"""Text expressions. All of them stay in the JVM and look at one row only."""
+"""Text expressions. All of them stay in the JVM and look at one row only.
+
+They are kept as SQL text: one call builds a whole expression, and expressions
+nest by plain substitution. Arguments named ``text`` or ``words`` are SQL too.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,82 +21,74 @@ KEY_TERM_STOP_WORDS = (
 ).split()
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once.
+def let(name: str, value: str, use: str) -> str:
+    """``use`` with ``name`` standing for ``value``, which is computed once.
 
     A column named inside a lambda may be inlined there by the optimizer and
     then computed per element; a bound lambda variable is not.
     """
-    return F.transform(F.array(value), use)[0]
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
+def _array(words: Sequence[str]) -> str:
+    quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in words)
+    return f"array({quoted})"
 
 
-def whitespace_token_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WHITESPACE_TOKEN))
+def whitespace_token_count(text: str) -> Column:
+    return F.expr(f"regexp_count({text}, r'{WHITESPACE_TOKEN}')")
 
 
-def tokens(text: Column, stop_words: Sequence[str] = ()) -> Column:
+def tokens(text: str, stop_words: Sequence[str] = ()) -> str:
     """Lower-cased ASCII letter and digit runs, in order, repeats kept."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(ASCII_TOKEN), F.lit(0))
+    found = f"regexp_extract_all(lower(coalesce({text}, '')), r'{ASCII_TOKEN}', 0)"
     if not stop_words:
         return found
-    stop = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(found, lambda t: ~F.array_contains(stop, t))
+    return f"filter({found}, tok -> NOT array_contains({_array(stop_words)}, tok))"
 
 
-def letter_words(text: Column) -> Column:
+def letter_words(text: str) -> str:
     """Lower-cased whole words made of ASCII letters only (``v1`` is no such word)."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
-    return F.filter(words, lambda w: w.rlike("^[a-z]+$"))
+    found = f"regexp_extract_all(lower(coalesce({text}, '')), r'{WORD}', 0)"
+    return f"filter({found}, word -> word RLIKE '^[a-z]+$')"
 
 
-def key_words(text: Column) -> Column:
+def key_words(text: str) -> str:
     """``letter_words`` of three letters or more that are no stop words."""
-    stop = F.array(*[F.lit(w) for w in KEY_TERM_STOP_WORDS])
-    return F.filter(
-        letter_words(text), lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w)
-    )
+    stop = _array(KEY_TERM_STOP_WORDS)
+    return f"filter({letter_words(text)}, word -> length(word) > 2 AND NOT array_contains({stop}, word))"
 
 
-def term_counts(words: Column) -> Column:
+def term_counts(words: str) -> str:
     """ARRAY<STRUCT<n, pos, term>>, one element per distinct word.
 
     Sort-based run lengths inside the row, so a long text costs n log n and no
     word leaves its row. ``pos`` is the place of the first appearance.
     """
-
-    def run_starts(ordered: Column) -> Column:
-        marked = F.transform(
-            ordered,
-            lambda w, i: F.when(w["term"].eqNullSafe(F.get(ordered, i - 1)["term"]), -1).otherwise(i),
-        )
-        return F.filter(marked, lambda i: i >= 0)
-
-    def runs(ordered: Column, starts: Column) -> Column:
-        return F.transform(
-            starts,
-            lambda s, r: F.struct(
-                (F.coalesce(F.get(starts, r + 1), F.size(ordered)) - s).alias("n"),
-                F.get(ordered, s)["pos"].alias("pos"),
-                F.get(ordered, s)["term"].alias("term"),
-            ),
-        )
-
-    ordered = F.sort_array(
-        F.transform(words, lambda w, i: F.struct(w.alias("term"), i.alias("pos")))
+    ordered = f"sort_array(transform({words}, (w, i) -> named_struct('term', w, 'pos', i)))"
+    starts = "filter(transform(run, (w, i) -> IF(w.term <=> get(run, i - 1).term, -1, i)), i -> i >= 0)"
+    counted = (
+        "transform(begin, (b, i) -> named_struct('n', coalesce(get(begin, i + 1), size(run)) - b, "
+        "'pos', get(run, b).pos, 'term', get(run, b).term))"
     )
-    return let(ordered, lambda o: let(run_starts(o), lambda s: runs(o, s)))
+    return let("run", ordered, let("begin", starts, counted))
 
 
-def top_terms(counts: Column, max_terms: int) -> Column:
+def top_terms(counts: str, max_terms: int) -> str:
     """The most frequent terms, first seen wins a tie, space-joined."""
-    ranked = F.sort_array(
-        F.transform(
-            counts,
-            lambda t: F.struct((-t["n"]).alias("neg"), t["pos"].alias("pos"), t["term"].alias("term")),
-        )
-    )
-    return F.array_join(F.slice(ranked, 1, max_terms)["term"], " ")
+    ranked = f"sort_array(transform({counts}, c -> named_struct('neg', -c.n, 'pos', c.pos, 'term', c.term)))"
+    return f"array_join(slice({ranked}, 1, {max_terms}).term, ' ')"
 
 
-def key_terms(text: Column, max_terms: int = 5) -> Column:
+def key_terms(text: str, max_terms: int = 5) -> str:
     return top_terms(term_counts(key_words(text)), max_terms)
+
+
+def distinctive_terms(own: str, foreign: str, max_terms: int) -> str:
+    """``key_terms`` of one text without the words of another."""
+    parts = (
+        f"named_struct('words', {key_words(own)}, "
+        f"'only', array_except({key_words(own)}, {letter_words(foreign)}))"
+    )
+    kept = f"filter({term_counts('p.words')}, c -> array_contains(p.only, c.term))"
+    return let("p", parts, top_terms(kept, max_terms))

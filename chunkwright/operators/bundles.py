@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..functions.text import key_words, let, letter_words, term_counts, top_terms
+from ..functions.text import distinctive_terms
 from ..options import Options
 
 _SEPARATOR = "\n---\n"
@@ -139,19 +139,14 @@ def extractive_queries(requests: DataFrame, options: Options, max_terms: int = 5
     The most frequent key words of the golden text that no distractor holds. Row
     by row inside the JVM; a request without such a word gets no answer.
     """
-    own = F.array_join("golden.chunk_text", " ")
-    foreign = letter_words(F.array_join("distractors.chunk_text", " "))
-    query = let(
-        F.struct(key_words(own).alias("words"), F.array_except(key_words(own), foreign).alias("only")),
-        lambda t: top_terms(
-            F.filter(term_counts(t["words"]), lambda c: F.array_contains(t["only"], c["term"])), max_terms
-        ),
+    query = distinctive_terms(
+        "array_join(golden.chunk_text, ' ')", "array_join(distractors.chunk_text, ' ')", max_terms
     )
     # Empty results leave through explode: a filter on the query would be pushed
     # below the projection and compute it twice.
     return (
         requests.select(
-            "request_key", F.explode(F.filter(F.array(query), lambda q: q != "")).alias("query")
+            "request_key", F.expr(f"explode(filter(array({query}), q -> q <> ''))").alias("query")
         )
         .groupBy("request_key")
         .agg(F.min("query").alias("query"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import MIN_NORM, SIM_DIGITS
 from ..options import Options
-from .sampling import sample_exact
+from .sampling import bucket_counts, cut_sample
 
 SLACK = 1e-4  # added to every distance bound; covers rounding of cosines near 1
 _TIE = 1e-9  # the same for a difference of two cosines
@@ -64,15 +64,21 @@ def similarities(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.round(left @ right.T, SIM_DIGITS)
 
 
-def choose_pivots(points: DataFrame, rows: int, options: Options) -> np.ndarray:
-    """Unit pivots sampled from the data; about sqrt(rows), never above the bound."""
+def choose_pivots(points: DataFrame, options: Options) -> np.ndarray:
+    """Unit pivots sampled from the data; about sqrt(rows), never above the bound.
+
+    ``points`` may be a wider table than the one to be joined: any pivots are
+    correct, and a plain table is read without the filters of the other.
+    """
     first = points.select("embedding").limit(1).collect()
     dim = len(first[0]["embedding"]) if first else 1
+    counts = bucket_counts(points, "ord", options.seed)
+    rows = sum(n for _, n in counts)
     limit = max(1, min(options.max_pivots, options.broadcast_bytes // (8 * dim)))
     wanted = min(limit, math.isqrt(rows))
     if rows <= options.rows_per_block(dim) or wanted < 2:
         return np.eye(1, dim)
-    sample = sample_exact(points, "ord", options.seed, wanted).select("embedding").collect()
+    sample = cut_sample(points, "ord", options.seed, counts, wanted).select("embedding").collect()
     return np.unique(unit_rows(np.array([r["embedding"] for r in sample], dtype=float)), axis=0)
 
 

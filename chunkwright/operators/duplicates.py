@@ -89,10 +89,12 @@ def _mark_near_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> Dat
     )
 
 
-def _distinct_directions(chunks: DataFrame, options: Options) -> tuple[DataFrame, DataFrame, np.ndarray]:
+def _distinct_directions(
+    chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """(homes of all rows, one settled row per distinct direction, pivots)."""
     points = points_of(chunks)
-    pivots = choose_pivots(points, points.count(), options)
+    pivots = choose_pivots(points if pivot_source is None else points_of(pivot_source), options)
     homes = assign_homes(points, pivots)
     return homes, settle(collapse_copies(homes)), pivots
 
@@ -142,7 +144,7 @@ def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) ->
     """Split (ord, unit, cell, dist) rows by whether an earlier row is within the limit."""
     threshold = options.duplicate_cosine
     cells = Cells.measure(firsts, pivots)
-    marked = settle(_mark_near_leaders(firsts, cells, threshold))
+    marked = _mark_near_leaders(firsts, cells, threshold)
     later = block_join(
         firsts.select("ord", "unit", "cell"),
         with_visits(marked.filter(~F.col("near_leader")), cells, _radius(threshold)),
@@ -156,26 +158,27 @@ def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) ->
     return firsts.join(later, "ord", "left_anti"), firsts.join(later, "ord", "left_semi")
 
 
-def dedup_any_earlier(chunks: DataFrame, options: Options) -> DataFrame:
+def dedup_any_earlier(
+    chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
+) -> DataFrame:
     """``ord`` of the kept rows: those with no earlier row within the limit, kept or not."""
-    zero, firsts, pivots = _split_zero(chunks, options)
+    zero, firsts, pivots = _split_zero(chunks, options, pivot_source)
     kept, _ = _without_earlier(firsts, pivots, options)
     return kept.select("ord").unionByName(zero)
 
 
-def dedup_greedy(chunks: DataFrame, options: Options, max_rounds: int | None = None) -> DataFrame:
+def dedup_greedy(
+    chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
+) -> DataFrame:
     """``ord`` of the rows a first-come scan keeps: a dropped row drops nobody.
 
     Each round keeps every open row without an earlier open row nearby, then
     drops the open rows near those. That is the serial scan's answer; a round
     costs one cell join over what is still open, and no list of pairs is built.
     """
-    zero, open_rows, pivots = _split_zero(chunks, options)
+    zero, open_rows, pivots = _split_zero(chunks, options, pivot_source)
     kept = zero
-    rounds = 0
     while not open_rows.isEmpty():
-        if max_rounds is not None and rounds >= max_rounds:
-            raise RuntimeError(f"undecided rows left after {rounds} rounds")
         winners, rest = _without_earlier(open_rows, pivots, options)
         winners, rest = settle(winners), settle(rest)
         kept = kept.unionByName(winners.select("ord"))
@@ -194,15 +197,14 @@ def dedup_greedy(chunks: DataFrame, options: Options, max_rounds: int | None = N
             ).distinct()
         )
         open_rows = settle(rest.join(dropped, "ord", "left_anti"))
-        rounds += 1
     return kept
 
 
-def _split_zero(chunks: DataFrame, options: Options):
+def _split_zero(chunks: DataFrame, options: Options, pivot_source: DataFrame | None):
     """Rows without a vector or with the zero vector are nobody's duplicate."""
     length = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + F.abs(x))
     has_direction = F.coalesce(length > 0, F.lit(False))
-    _, firsts, pivots = _distinct_directions(chunks.filter(has_direction), options)
+    _, firsts, pivots = _distinct_directions(chunks.filter(has_direction), options, pivot_source)
     return chunks.filter(~has_direction).select("ord"), firsts, pivots
 
 
@@ -214,10 +216,12 @@ def dedup_size_guard(rows: int, options: Options, indexed: bool = True) -> None:
         )
 
 
-def dropped_rows(chunks: DataFrame, options: Options) -> DataFrame:
+def dropped_rows(
+    chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
+) -> DataFrame:
     """``ord`` of the rows the configured duplicate policy removes."""
     dedup = dedup_greedy if options.duplicate_policy == "greedy" else dedup_any_earlier
-    return chunks.select("ord").join(dedup(chunks, options), "ord", "left_anti")
+    return chunks.select("ord").join(dedup(chunks, options, pivot_source), "ord", "left_anti")
 
 
 def dedup_sampled(

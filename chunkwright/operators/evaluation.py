@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bm25 import figures, okapi_scores, overlap_scores, token_sets
-from ..functions.text import let
+from ..functions.bm25 import query_figures
 from ..options import Options
 from .sampling import escalation_sample
 
@@ -21,11 +20,9 @@ def score_queries(queries: DataFrame, options: Options, scorer: str = "bm25") ->
     The figures leave through ``inline``, which later filters on them cannot be
     pushed below, so they are computed once.
     """
-    score = {"bm25": okapi_scores, "overlap": overlap_scores}[scorer]
-    sets = token_sets(
-        F.col("query"), F.col("golden.chunk_text"), F.col("distractors.chunk_text"), options.stop_words
+    row = query_figures(
+        "query", "golden.chunk_text", "distractors.chunk_text", scorer, options.stop_words
     )
-    row = let(sets, lambda s: figures(s, score(s)))
     return queries.select("*", F.inline(F.array(row)))
 
 

@@ -21,10 +21,10 @@ def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     its rarest term only, and the other terms are tested on the row itself, so
     a common word never joins all its rows with all its queries.
     """
-    terms_of = settle(golden.select("ord", key_terms(F.col("chunk_text")).alias("key_terms")))
+    terms_of = settle(golden.select("ord", F.expr(key_terms("chunk_text")).alias("key_terms")))
     with_terms = terms_of.filter(F.col("key_terms") != "")
     queries = with_terms.select("key_terms").distinct()
-    docs = settle(corpus.select("ord", letter_words(F.col("chunk_text")).alias("words")))
+    docs = settle(corpus.select("ord", F.expr(letter_words("chunk_text")).alias("words")))
     docs_total, avg_words = docs.agg(F.count("*"), F.avg(F.size("words"))).first()
 
     query_terms = queries.select("key_terms", F.explode(F.split("key_terms", " ")).alias("term"))

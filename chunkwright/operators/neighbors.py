@@ -25,7 +25,7 @@ from .cells import (
     unit_rows,
     with_visits,
 )
-from .sampling import sample_exact, top_k
+from .sampling import bucket_counts, cut_sample, top_k
 
 _FARTHEST = 2.0  # chord length across the unit sphere
 
@@ -118,14 +118,14 @@ def _to_golden(homes: DataFrame, firsts: DataFrame, found: DataFrame, k: int) ->
     return _ranked(pairs, "golden_ord", k)
 
 
-def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options, rows: int) -> DataFrame:
+def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> DataFrame:
     """Exact search when the golden side is too big to broadcast.
 
     Golden rows with the same direction are searched once. The first round looks
     into the home cell and yields a radius; the second visits only the cells that
     can hold something nearer.
     """
-    pivots = choose_pivots(corpus, rows, options)
+    pivots = choose_pivots(corpus, options)
     members = settle(assign_homes(corpus, pivots))
     cells = Cells.measure(members, pivots)
     homes = assign_homes(golden, pivots)
@@ -188,7 +188,7 @@ def knn_join(golden: DataFrame, corpus: DataFrame, k: int, options: Options) ->
         )
     if rows <= options.broadcast_rows and rows * len(first[0]["embedding"]) * 8 <= options.broadcast_bytes:
         return _knn_broadcast(golden, corpus, k)
-    return _knn_cells(golden, corpus, k, options, corpus.count())
+    return _knn_cells(golden, corpus, k, options)
 
 
 def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> DataFrame:
@@ -200,16 +200,18 @@ def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> D
     from pyspark.ml.functions import array_to_vector
 
     golden, corpus = points_of(golden), points_of(corpus)
-    total = corpus.count()
-    nlist = max(1, min(options.ivf_nlist, total // 32))
-    training = sample_exact(corpus, "ord", options.seed, 256 * nlist)
+    counts = bucket_counts(corpus, "ord", options.seed)
+    total = sum(n for _, n in counts)
+    nlist = min(options.ivf_nlist, total // 32)
     if nlist > 1:
+        training = cut_sample(corpus, "ord", options.seed, counts, 256 * nlist)
         model = KMeans(k=nlist, seed=options.seed, maxIter=10, distanceMeasure="cosine").fit(
             training.select(array_to_vector("embedding").alias("features"))
         )
         centers = np.unique(unit_rows(np.array(model.clusterCenters())), axis=0)
     else:
-        centers = choose_pivots(corpus, 1, options)
+        dim = len(corpus.select("embedding").first()["embedding"])
+        centers = np.eye(1, dim)
     members = settle(assign_homes(corpus, centers).select("ord", "unit", "cell"))
     homes = assign_homes(golden, centers)
     firsts = settle(collapse_copies(homes))

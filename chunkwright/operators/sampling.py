@@ -28,29 +28,22 @@ def sample_size(total: int, options: Options) -> int:
     return max(1, min(int(total * options.sample_rate), total))
 
 
-def sample_exact(
-    df: DataFrame, key: str, seed: int, size: int | None = None, options: Options | None = None
-) -> DataFrame:
-    """Exactly ``size`` rows, the ones with the smallest MD5 of ``seed:key``.
+def bucket_counts(df: DataFrame, key: str, seed: int) -> list[tuple[str, int]]:
+    """Rows per leading hash digits of the key, in hash order; reads the key column only."""
+    bucket = F.substring(sample_hash(seed, F.col(key)), 1, _PREFIX_HEX).alias("bucket")
+    return sorted((r["bucket"], r["count"]) for r in df.select(bucket).groupBy("bucket").count().collect())
+
 
-    A first pass over the key column counts rows per leading hash digits. Rows
-    in buckets below the cut are taken by a plain filter; only the one bucket
-    the cut falls into (1/65,536 of the rows) is sorted. No row but those few
-    goes through a single task, however large the sample is.
+def cut_sample(df: DataFrame, key: str, seed: int, counts: list[tuple[str, int]], size: int) -> DataFrame:
+    """The ``size`` rows with the smallest hash.
+
+    Buckets below the cut are taken by a plain filter; only the one bucket the
+    cut falls into (1/65,536 of the rows) is sorted. No row but those few goes
+    through a single task, however large the sample is.
     """
-    hashed = sample_hash(seed, F.col(key))
-    counts = sorted(
-        (row["bucket"], row["count"])
-        for row in df.select(F.substring(hashed, 1, _PREFIX_HEX).alias("bucket"))
-        .groupBy("bucket")
-        .count()
-        .collect()
-    )
-    total = sum(n for _, n in counts)
-    if size is None:
-        size = sample_size(total, options or Options())
-    if size >= total:
+    if size >= sum(n for _, n in counts):
         return df
+    hashed = sample_hash(seed, F.col(key))
     taken = 0
     for bucket, n in counts:
         if taken + n > size:
@@ -67,6 +60,16 @@ def sample_exact(
     return below.unionByName(edge)
 
 
+def sample_exact(
+    df: DataFrame, key: str, seed: int, size: int | None = None, options: Options | None = None
+) -> DataFrame:
+    """Exactly ``size`` rows, the ones with the smallest MD5 of ``seed:key``."""
+    counts = bucket_counts(df, key, seed)
+    if size is None:
+        size = sample_size(sum(n for _, n in counts), options or Options())
+    return cut_sample(df, key, seed, counts, size)
+
+
 def sample_documents(
     df: DataFrame, seed: int, options: Options | None = None, size: int | None = None
 ) -> DataFrame:

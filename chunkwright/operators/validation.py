@@ -14,7 +14,7 @@ from .duplicates import dropped_rows
 
 
 def with_token_count(chunks: DataFrame) -> DataFrame:
-    return chunks.withColumn("n_tokens", whitespace_token_count(F.col("chunk_text")))
+    return chunks.withColumn("n_tokens", whitespace_token_count("chunk_text"))
 
 
 def length_ok(options: Options) -> Column:
@@ -37,7 +37,7 @@ def annotate(chunks: DataFrame, options: Options) -> DataFrame:
     """
     counted = with_token_count(chunks)
     survivors = counted.filter(length_ok(options)).select("ord", "embedding")
-    dropped = settle(dropped_rows(survivors, options)).withColumn("is_dropped", F.lit(True))
+    dropped = settle(dropped_rows(survivors, options, pivot_source=chunks)).withColumn("is_dropped", F.lit(True))
     duplicate = (
         F.lit("Near-duplicate chunk.")
         if options.duplicate_policy == "greedy"

@@ -260,7 +260,7 @@ def vector_search(v: Views) -> DataFrame:
 
 @register
 def key_terms(v: Views) -> DataFrame:
-    return v.table("documents").select("doc_id", text.key_terms(F.col("text")).alias("terms"))
+    return v.table("documents").select("doc_id", F.expr(text.key_terms("text")).alias("terms"))
 
 
 @register
@@ -380,7 +380,7 @@ ROW = ["bundle_id", "query_type"]
 @register
 def tokenize(v: Views) -> DataFrame:
     return v.table("documents").select(
-        "doc_id", F.array_join(text.tokens(F.col("text")), " ").alias("tokens")
+        "doc_id", F.array_join(F.expr(text.tokens("text")), " ").alias("tokens")
     )
 
 

@@ -23,6 +23,7 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Views":
@@ -32,7 +33,9 @@ class Views:
         return cls._known[key]
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     @property
     def documents(self) -> DataFrame:
