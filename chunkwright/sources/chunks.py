@@ -81,10 +81,8 @@ def quarantine(parsed: DataFrame) -> DataFrame:
 def _read_text(
     spark: SparkSession, path: str, glob: str, path_idx: int, whole: bool, recursive: bool = False
 ) -> DataFrame:
-    reader = spark.read.option("wholetext", whole).option("recursiveFileLookup", recursive)
     return (
-        reader.option("pathGlobFilter", glob)
-        .text(path)
+        spark.read.text(path, wholetext=whole, pathGlobFilter=glob, recursiveFileLookup=recursive)
         .select(
             "value",
             F.lit(path_idx).alias("path_idx"),

@@ -60,10 +60,8 @@ def incremental_load(
     for suffix, whole in suffixes.items():
         paths = [p for p in fresh if p.endswith("." + suffix)]
         if paths:
-            part = (
-                spark.read.option("wholetext", whole)
-                .text(paths)
-                .select("value", F.col("_metadata.file_path").alias("source"))
+            part = spark.read.text(paths, wholetext=whole).select(
+                "value", F.col("_metadata.file_path").alias("source")
             )
             lines = part if lines is None else lines.unionByName(part)
     if lines is not None:
