@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import key_terms, letter_words
+from ..functions.text import key_terms, let, letter_words, term_counts
 from ..options import Options
 from ..session import settle
 from .sampling import top_k
@@ -17,49 +17,45 @@ _K1, _B, _RRF = 1.2, 0.75, 60
 def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """(golden_ord, ord, score, rank): corpus rows that hold all key terms of the golden row.
 
-    Golden rows with the same key terms are searched once. A query is joined on
-    its rarest term only, and the other terms are tested on the row itself, so
-    a common word never joins all its rows with all its queries.
+    Golden rows with the same key terms are searched once. Candidates are the
+    rows holding a query's rarest term, so a common word never joins all its
+    rows with all its queries; the other terms are then looked up by
+    (row, term), which can only keep a candidate or drop it.
     """
     terms_of = settle(golden.select("ord", F.expr(key_terms("chunk_text")).alias("key_terms")))
     with_terms = terms_of.filter(F.col("key_terms") != "")
-    queries = with_terms.select("key_terms").distinct()
-    docs = settle(corpus.select("ord", F.expr(letter_words("chunk_text")).alias("words")))
-    docs_total, avg_words = docs.agg(F.count("*"), F.avg(F.size("words"))).first()
-
-    query_terms = queries.select("key_terms", F.explode(F.split("key_terms", " ")).alias("term"))
-    wanted = query_terms.select("term").distinct()
-    frequency = (
-        docs.select(F.explode(F.array_distinct("words")).alias("term"))
-        .join(wanted, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
+    query_terms = with_terms.select("key_terms").distinct().select(
+        "key_terms", F.explode(F.split("key_terms", " ")).alias("term")
+    )
+    counted = let("w", letter_words("chunk_text"), f"named_struct('words', size(w), 'terms', {term_counts('w')})")
+    docs = settle(corpus.select("ord", F.expr(f"inline(array({counted}))")))
+    docs_total, avg_words = docs.agg(F.count("*"), F.avg("words")).first()
+    postings = settle(
+        docs.select("ord", "words", F.inline("terms"))
+        .join(query_terms.select("term").distinct(), "term", "left_semi")
+        .select("term", "ord", F.col("n").alias("tf"), "words")
     )
-    weighted = settle(
+    frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
+    queries = settle(
         query_terms.join(frequency, "term")
         .groupBy("key_terms")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("df", "term"))).alias("terms")  # five at most
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("terms"))  # five at most
         .filter(F.size("terms") == F.size(F.split("key_terms", " ")))
-        .withColumn("rarest", F.col("terms")[0]["term"])
     )
-    rarest = weighted.select(F.col("rarest").alias("term")).distinct()
-    postings = docs.select(
-        "ord", "words", F.explode(F.array_distinct("words")).alias("term")
-    ).join(rarest, "term", "left_semi")
-    hits = postings.join(weighted, F.col("term") == F.col("rarest")).filter(
-        F.forall("terms", lambda t: F.array_contains("words", t["term"]))
+    rarest = F.col("terms")[0]["term"].alias("term")
+    candidates = (
+        queries.select("key_terms", "terms", rarest)
+        .join(postings.select("term", "ord"), "term")
+        .select("key_terms", "ord", F.size("terms").alias("asked"), F.inline("terms"))
     )
-
-    def weight(acc, t):
-        tf = (F.size("words") - F.size(F.array_remove("words", t["term"]))).cast("double")
-        idf = F.ln(1 + (docs_total - t["df"] + 0.5) / (t["df"] + 0.5))
-        length = _K1 * (1 - _B + _B * F.size("words") / F.lit(avg_words))
-        return acc + idf * tf * (_K1 + 1) / (tf + length)
-
-    scored = hits.select(
-        "key_terms", "ord", F.round(F.aggregate("terms", F.lit(0.0), weight), 10).alias("score")
+    idf = F.ln(1 + (docs_total - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    length = _K1 * (1 - _B + _B * F.col("words") / F.lit(avg_words))
+    weight = idf * F.col("tf") * (_K1 + 1) / (F.col("tf") + length)
+    scored = (
+        candidates.join(postings, ["ord", "term"])
+        .groupBy("key_terms", "ord", "asked")
+        .agg(F.count("*").alias("held"), F.round(F.sum(weight), 10).alias("score"))
+        .filter(F.col("held") == F.col("asked"))
     )
     lists = (
         top_k(scored, ["key_terms"], [F.desc("score"), F.asc("ord")], k + 1)

@@ -18,9 +18,9 @@ def with_token_count(chunks: DataFrame) -> DataFrame:
 
 
 def length_ok(options: Options) -> Column:
-    return F.coalesce(
-        F.col("n_tokens").between(options.min_tokens, options.max_tokens), F.lit(False)
-    )
+    """Bounds inclusive. Names n_tokens once: a filter computes it as often as it is named."""
+    low, high = options.min_tokens, options.max_tokens
+    return F.coalesce(F.abs(2 * F.col("n_tokens") - (low + high)) <= high - low, F.lit(False))
 
 
 def token_length_filter(chunks: DataFrame, options: Options) -> DataFrame:

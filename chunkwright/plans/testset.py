@@ -19,7 +19,7 @@ from ..operators.neighbors import search_strategy
 from ..operators.sampling import sample_golden
 from ..operators.validation import Validated, drop_vectors, stage_guard, validate
 from ..options import Options
-from ..session import settle
+from ..session import settle, spread
 from ..sources.chunks import check_dims
 from ..sources.sinks import write_ground_truth, write_rejected
 
@@ -61,7 +61,7 @@ def build_testset(
     check_dims(chunks, options.embed_dim)
     validated = validate(chunks, options)
     bundles = select_bundles(validated, options, search_results)
-    requests = settle(build_requests(bundles, options))
+    requests = spread(settle(build_requests(bundles, options)))
     pending = None
     if completions is None:
         completions = extractive_queries(requests, options)

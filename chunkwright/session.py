@@ -40,3 +40,13 @@ def settle(df: DataFrame) -> DataFrame:
     path = fresh_dir(spark, "settled")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a table that has fewer partitions than there are cores.
+
+    For settled tables ahead of costly row-by-row expressions. Such a table is
+    small, so the extra shuffle is; tables with enough partitions stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

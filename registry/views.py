@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chunkwright.operators import bundles, neighbors, validation
 from chunkwright.options import Options
-from chunkwright.session import settle
+from chunkwright.session import settle, spread
 
 # Small blocks make even the small tables spread over several cells and blocks.
 OPTIONS = Options(block_rows=128)
@@ -84,7 +84,7 @@ class Views:
 
     @cached_property
     def requests(self) -> DataFrame:
-        return settle(bundles.build_requests(self.bundles, OPTIONS))
+        return spread(settle(bundles.build_requests(self.bundles, OPTIONS)))
 
     @cached_property
     def completions(self) -> DataFrame:
@@ -92,7 +92,7 @@ class Views:
 
     @cached_property
     def queries(self) -> DataFrame:
-        return settle(bundles.assemble_queries(self.requests, self.completions))
+        return spread(settle(bundles.assemble_queries(self.requests, self.completions)))
 
     @property
     def stored_completions(self) -> DataFrame:
