@@ -59,9 +59,17 @@ def slice_rows(width: int) -> int:
     return max(16, _PRODUCT // max(width, 1))
 
 
-def similarities(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Cosines of unit rows, rounded so that copies tie whatever the block shape."""
-    return np.round(left @ right.T, SIM_DIGITS)
+def at_least(cosine: np.ndarray, limit: float | np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of the entries that reach ``limit``.
+
+    Values are rounded, so that copies tie whatever the block shape; only the
+    few entries near or above the limit are, not the whole product.
+    """
+    row, column = np.nonzero(cosine >= limit - _TIE)
+    value = np.round(cosine[row, column], SIM_DIGITS)
+    bound = limit[row, 0] - _TIE if isinstance(limit, np.ndarray) else limit
+    keep = value >= bound
+    return row[keep], column[keep], value[keep]
 
 
 def choose_pivots(points: DataFrame, options: Options) -> np.ndarray:

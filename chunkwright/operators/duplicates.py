@@ -15,12 +15,12 @@ from ..session import settle
 from .cells import (
     Cells,
     assign_homes,
+    at_least,
     block_join,
     choose_pivots,
     collapse_copies,
     matrix,
     points_of,
-    similarities,
     slice_rows,
     with_visits,
 )
@@ -38,9 +38,10 @@ def _pairs_above(threshold: float):
         step = slice_rows(len(member_ord))
         for start in range(0, len(visitor_ord), step):
             ords = visitor_ord[start : start + step]
-            sim = similarities(visitors[start : start + step], members)
-            v, m = np.nonzero((sim >= threshold) & (member_ord[None, :] < ords[:, None]))
-            yield {"left_ord": member_ord[m], "right_ord": ords[v], "sim": sim[v, m]}
+            v, m, sim = at_least(visitors[start : start + step] @ members.T, threshold)
+            earlier = member_ord[m] < ords[v]
+            v, m = v[earlier], m[earlier]
+            yield {"left_ord": member_ord[m], "right_ord": ords[v], "sim": sim[earlier]}
 
     return compare
 
@@ -50,9 +51,8 @@ def _has_earlier(threshold: float):
         step = slice_rows(len(member_ord))
         for start in range(0, len(visitor_ord), step):
             ords = visitor_ord[start : start + step]
-            sim = similarities(visitors[start : start + step], members)
-            near = (sim >= threshold) & (member_ord[None, :] < ords[:, None])
-            yield {"ord": ords[near.any(axis=1)]}
+            v, m, _ = at_least(visitors[start : start + step] @ members.T, threshold)
+            yield {"ord": ords[np.unique(v[member_ord[m] < ords[v]])]}
 
     return compare
 
@@ -77,8 +77,9 @@ def _mark_near_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> Dat
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 ords = part.column("ord").to_numpy()
-                sim = similarities(matrix(part.column("unit")), leader_unit)
-                near = ((sim >= threshold) & (leader_ord[None, :] < ords[:, None])).any(axis=1)
+                row, leader, _ = at_least(matrix(part.column("unit")) @ leader_unit.T, threshold)
+                near = np.zeros(len(ords), dtype=bool)
+                near[row[leader_ord[leader] < ords[row]]] = True
                 yield pa.RecordBatch.from_arrays(
                     [part.column("ord"), part.column("unit"), part.column("cell"), pa.array(near)],
                     ["ord", "unit", "cell", "near_leader"],

@@ -14,13 +14,13 @@ from ..session import settle
 from .cells import (
     Cells,
     assign_homes,
+    at_least,
     block_join,
     choose_pivots,
     collapse_copies,
     matrix,
     points_of,
     rows_per_cell,
-    similarities,
     slice_rows,
     unit_rows,
     with_visits,
@@ -39,23 +39,23 @@ def _best(rows, ords, sims, k):
     return order[place < k]
 
 
-def _entries(sim: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) of all entries that can be among the k best of their row, ties included."""
-    if sim.shape[1] > k:
-        cut = np.partition(sim, sim.shape[1] - k, axis=1)[:, sim.shape[1] - k]
-        return np.nonzero(sim >= cut[:, None])
-    return np.nonzero(np.ones(sim.shape, dtype=bool))
+def _entries(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, value) of all entries that can be among the k best of their row, ties included."""
+    if cosine.shape[1] > k:
+        cut = np.partition(cosine, cosine.shape[1] - k, axis=1)[:, cosine.shape[1] - k]
+    else:
+        cut = np.full(len(cosine), -np.inf)
+    return at_least(cosine, cut[:, None])
 
 
 def _nearest_members(k: int):
     def compare(member_ord, members, visitor_ord, visitors):
         step = slice_rows(len(member_ord))
         for start in range(0, len(visitor_ord), step):
-            sim = similarities(visitors[start : start + step], members)
-            v, m = _entries(sim, k)
-            keep = _best(v, member_ord[m], sim[v, m], k)
+            v, m, sim = _entries(visitors[start : start + step] @ members.T, k)
+            keep = _best(v, member_ord[m], sim, k)
             v, m = v[keep], m[keep]
-            yield {"visitor_ord": visitor_ord[start + v], "ord": member_ord[m], "sim": sim[v, m]}
+            yield {"visitor_ord": visitor_ord[start + v], "ord": member_ord[m], "sim": sim[keep]}
 
     return compare
 
@@ -84,12 +84,12 @@ def _knn_broadcast(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 part_ord = part.column("ord").to_numpy()
-                scores = similarities(golden_unit, unit_rows(matrix(part.column("embedding"))))
+                scores = golden_unit @ unit_rows(matrix(part.column("embedding"))).T
                 scores[golden_ord[:, None] == part_ord[None, :]] = -np.inf
-                r, c = _entries(scores, k)
+                r, c, values = _entries(scores, k)
                 row = np.concatenate([row, r])
                 ord_ = np.concatenate([ord_, part_ord[c]])
-                sim = np.concatenate([sim, scores[r, c]])
+                sim = np.concatenate([sim, values])
                 keep = _best(row, ord_, sim, k)
                 row, ord_, sim = row[keep], ord_[keep], sim[keep]
         real = np.isfinite(sim)

@@ -39,7 +39,7 @@ class Options:
     strategy: str = "exact"  # or "ivf", "hybrid", "external"
     on_missing_score: str = "accept"  # or "reject"
     stop_words: tuple[str, ...] = ()
-    block_rows: int | None = None  # None: as many as fit into block_bytes
+    block_rows: int = 8192  # fewer where block_bytes says so
     block_bytes: int = 64 * 1024 * 1024
     max_pivots: int = 1024
     broadcast_bytes: int = 64 * 1024 * 1024
@@ -58,7 +58,7 @@ class Options:
                 raise ValueError(f"{field}={getattr(self, field)!r}; expected one of {values}")
 
     def rows_per_block(self, dim: int) -> int:
-        return self.block_rows or max(256, self.block_bytes // (8 * max(dim, 1)))
+        return min(self.block_rows, max(256, self.block_bytes // (8 * max(dim, 1))))
 
     def config_hash(self) -> str:
         """Hash of the settings that make a stored answer stale when they change."""
