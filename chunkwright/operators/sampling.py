@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_share, sample_hash
 from ..options import Options
+from ..session import settle
 
 _PREFIX_HEX = 4  # 65,536 buckets: the bound on what the counting pass returns
 
@@ -81,7 +82,7 @@ def sample_documents(
     pick = F.min(F.struct(sample_hash(seed, F.col("ord")).alias("hash"), F.col("ord")))
     picks = df.groupBy("doc_id").agg(pick.alias("pick")).select("doc_id", F.col("pick.ord").alias("ord"))
     chosen = sample_exact(picks, "doc_id", seed, size, options)
-    return df.join(chosen.select("ord"), "ord", "left_semi")
+    return df.join(settle(chosen.select("ord")), "ord", "left_semi")
 
 
 def sample_golden(df: DataFrame, options: Options) -> DataFrame:

@@ -154,9 +154,15 @@ def load_order(chunks: DataFrame, order_by: Sequence[str] = ("doc_id", "chunk_id
 
 
 def unique_keys(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(first row of every (doc_id, chunk_id), later rows of the same key)."""
+    """(first row of every (doc_id, chunk_id), later rows of the same key).
+
+    The keys are compared without texts and vectors. The later rows are few as a
+    rule and their ``ord`` is written down, so Spark can broadcast it instead of
+    shuffling the chunks.
+    """
     first = chunks.groupBy("doc_id", "chunk_id").agg(F.min("ord").alias("ord")).select("ord")
-    return chunks.join(first, "ord", "left_semi"), chunks.join(first, "ord", "left_anti")
+    later = settle(chunks.select("ord").join(first, "ord", "left_anti"))
+    return chunks.join(later, "ord", "left_anti"), chunks.join(later, "ord", "left_semi")
 
 
 def check_dims(chunks: DataFrame, expected: int | None = None) -> int | None:
@@ -186,6 +192,8 @@ def load_chunks(
         parsed = scan_object_store(spark, paths[0])
     else:
         raise ValueError(f"unknown input type {input_type!r}")
+    # The raw text is kept only for what goes to quarantine.
+    parsed = parsed.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value")))
     ordered = load_order(parsed, _ORDER).drop(*_ORDER)
     chunks, repeated = unique_keys(good_rows(ordered))
     check_dims(chunks, embed_dim)
