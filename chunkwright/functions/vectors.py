@@ -20,9 +20,3 @@ def l2_normalize(vector: Column) -> Column:
         lambda s: F.transform(s["v"], lambda x: x / s["n"]),
     )
     return scaled[0]
-
-
-def dot(left: Column, right: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(left, right, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x
-    )

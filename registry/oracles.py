@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from chunkwright.functions.text import KEY_TERM_STOP_WORDS
-from chunkwright.options import Options
 
 from .views import COPY_OFFSET, OPTIONS
 
@@ -237,14 +236,10 @@ def _knn(table: str) -> str:
     )
 
 
-_FIELDS = (
-    "SELECT doc_id, chunk_id, chunk_text, {width} AS width, "
-    "CASE WHEN lang = 'fr' THEN 'not JSON' WHEN embedding IS NULL THEN 'no embedding' ELSE '' END AS error FROM docs"
-)
 _ALL_FIELDS = (
     "SELECT CASE WHEN lang = 'fr' THEN NULL ELSE doc_id END AS doc_id, CASE WHEN lang = 'fr' THEN NULL ELSE chunk_id END "
     "AS chunk_id, CASE WHEN lang = 'fr' THEN '' ELSE chunk_text END AS chunk_text, "
-    "CASE WHEN lang = 'fr' OR embedding IS NULL THEN NULL ELSE len(embedding) END AS width, "
+    "CASE WHEN lang = 'fr' OR embedding IS NULL THEN NULL ELSE len(embedding)::INTEGER END AS width, "
     "CASE WHEN lang = 'fr' THEN 'not JSON' WHEN embedding IS NULL THEN 'no embedding' ELSE '' END AS error FROM docs"
 )
 _PLAIN = "SELECT doc_id, chunk_id, chunk_text, len(embedding)::INTEGER AS width, '' AS error FROM chunks"
@@ -255,7 +250,7 @@ _BM25 = ["golden_score", "best_distractor_score", "golden_coverage", "best_distr
 _TRUTH = _with(
     "gated,queries",
     "SELECT q.query, q.doc_id AS expected_doc_ids, q.chunk_id, q.query_type, 'nonllm' AS evaluation, "
-    "round(g.margin, 4) AS margin FROM queries q JOIN gated g USING (bundle_id, query_type) WHERE g.ok",
+    "round(g.margin, 4) + 0.0 AS margin FROM queries q JOIN gated g USING (bundle_id, query_type) WHERE g.ok",
 )
 
 
@@ -302,7 +297,7 @@ ORACLES: dict[str, str] = {
     "drop_vectors": _with("chunks", "SELECT doc_id, chunk_id, chunk_text, ord FROM chunks"),
     "stage_guard": _with("chunks", "SELECT doc_id, chunk_id FROM chunks"),
     "l2_normalize": _with(
-        "units", "SELECT ord, (generate_subscripts(u, 1) - 1)::INTEGER AS pos, round(unnest(u), 6) AS x FROM units"
+        "units", "SELECT ord, (generate_subscripts(u, 1) - 1)::INTEGER AS pos, round(unnest(u), 6) + 0.0 AS x FROM units"
     ),
     "cosine_matrix_join": _with("chunks", _pairs("chunks", 0.3)),
     "near_duplicate_pairs": _with("copied", _pairs("copied", 0.98)),
@@ -420,14 +415,14 @@ ORACLES: dict[str, str] = {
         "scored", "SELECT bundle_id, query_type, slot::INTEGER AS slot, hits::DOUBLE AS score FROM scored"
     ),
     "golden_rank": _with("figures", "SELECT bundle_id, query_type, golden_rank::INTEGER AS golden_rank FROM figures"),
-    "score_margin": _with("figures", "SELECT bundle_id, query_type, round(margin, 4) AS margin FROM figures"),
+    "score_margin": _with("figures", "SELECT bundle_id, query_type, round(margin, 4) + 0.0 AS margin FROM figures"),
     "coverage": _with(
         "figures", "SELECT bundle_id, query_type, round(golden_coverage, 4) AS golden_coverage, "
         "round(best_distractor_coverage, 4) AS best_distractor_coverage FROM figures",
     ),
     "nonllm_accept": _with("gated", "SELECT bundle_id, query_type, ok AS accepted FROM gated"),
     "nonllm_metrics": _with(
-        "figures", "SELECT bundle_id, query_type, golden_rank::INTEGER AS bm25_rank, round(margin, 4) AS bm25_margin, "
+        "figures", "SELECT bundle_id, query_type, golden_rank::INTEGER AS bm25_rank, round(margin, 4) + 0.0 AS bm25_margin, "
         + ", ".join(f"round({c}, 4) AS {c}" for c in _BM25) + " FROM figures",
     ),
     "evaluation_mode": _with(
@@ -461,7 +456,7 @@ ORACLES["pending_requests"] = _with(
 ) + " WHERE request_key NOT IN (SELECT request_key FROM stored)"
 ORACLES["whole_run"] = _with(
     "figures,gated,queries",
-    "SELECT q.bundle_id, q.query_type, q.query, g.golden_rank::INTEGER AS golden_rank, round(g.margin, 4) AS margin, "
+    "SELECT q.bundle_id, q.query_type, q.query, g.golden_rank::INTEGER AS golden_rank, round(g.margin, 4) + 0.0 AS margin, "
     "g.ok AS accepted FROM queries q JOIN gated g USING (bundle_id, query_type) WHERE q.bundle_id IN ("
     + _sample("valid", "ord", "SELECT greatest(1, floor(count(*) * 0.25)::BIGINT) FROM valid")
     + ")",
