@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination
+from .sentencepiece import decode, encode, share_model
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +29,24 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: The public model all registered tokenizer queries read; a parameter of the operator.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = share_model(docs, MODEL)
+    both_ways = decode(encode(docs, model, parity=True), model)
+    return both_ways.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        "same_ids",
+        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_sentencepiece": op2_sentencepiece,
 }
