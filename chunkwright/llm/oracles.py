@@ -32,4 +32,44 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1}
+_PLAIN = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
+
+OP9 = rf"""
+WITH d AS (SELECT doc_id, text, source, {_PLAIN} AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM d WHERE len(w) > 8)
+),
+again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, words) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM again) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM d) WHERE n > 0
+),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines GROUP BY doc_id),
+hosts AS (SELECT source, count(DISTINCT text) AS docs FROM lines GROUP BY source),
+frequent AS (
+  SELECT source, lower(trim(line)) AS line FROM lines JOIN hosts USING (source)
+  GROUP BY source, lower(trim(line)), docs HAVING count(DISTINCT text) > 20 AND count(DISTINCT text) > 0.01 * docs
+),
+gone AS (
+  SELECT doc_id, count(*) AS n_gone_lines, sum(n) AS gone_words
+  FROM lines l JOIN frequent f ON l.source = f.source AND lower(trim(l.line)) = f.line GROUP BY doc_id
+),
+figures AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(length(array_to_string(w, '')), 0)::BIGINT AS word_chars,
+         coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0)::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_gone_lines, 0)::BIGINT AS n_gone_lines,
+         (len(w) - coalesce(gone_words, 0))::BIGINT AS n_left
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN gone USING (doc_id)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (n_left < 20 OR n_left < 0.5 * n_words) AS kept
+FROM figures
+"""
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op9_line_rules": OP9}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import find_contamination
+from .line_rules import apply_line_rules
 from .sentencepiece import decode, encode, share_model
 
 
@@ -46,7 +47,26 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    judged = apply_line_rules(docs)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & ~F.col("depleted")).alias("kept"),
+        F.size("gone_lines").cast("bigint").alias("n_gone_lines"),
+        "n_left",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
+    "op9_line_rules": op9_line_rules,
 }
