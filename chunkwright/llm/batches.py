@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,21 +11,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+#: Bytes worked on at once by a task.
+BATCH_BYTES = 4 << 20
+
+
 def add_columns(
-    df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list], drop: tuple[str, ...] = ()
+    df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list], batch_bytes: int = BATCH_BYTES
 ) -> DataFrame:
     """``df`` with the columns of the DDL string ``fields`` as ``compute`` returns them per batch.
 
-    A column of ``df`` with the name of a new one (in any case) is replaced; those in ``drop`` go.
+    A column of ``df`` with the name of a new one (in any case) is replaced.
     ``compute`` gets the whole batch and returns one Arrow array per new field.
     """
     new = T.StructType.fromDDL(fields)
-    taken = {f.name.lower() for f in new} | {d.lower() for d in drop}
+    taken = {f.name.lower() for f in new}
     kept = [f for f in df.schema if f.name.lower() not in taken]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, batch_bytes):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + list(compute(batch)), names=names + new.names
             )
@@ -32,6 +37,15 @@ def add_columns(
     return df.mapInArrow(run, T.StructType(kept + list(new)))
 
 
+def small(batches: Iterator[pa.RecordBatch], batch_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``batch_bytes``, whatever the session's setting in rows."""
+    for batch in batches:
+        parts = min(batch.num_rows, math.ceil(batch.nbytes / batch_bytes))
+        step = math.ceil(batch.num_rows / parts) if parts else 1
+        for first in range(0, batch.num_rows, step):
+            yield batch.slice(first, step)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """Texts of a string column as UTF-8 bytes."""
     return column.cast(pa.binary()).to_pylist()

@@ -13,6 +13,8 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain, repeat
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +26,12 @@ from .batches import add_columns, lists
 
 #: Model files above this size are refused; the model is the only thing that is broadcast.
 MODEL_BYTES = 64 << 20
+#: Bytes of rows worked on at once; the more, the fewer words are met again.
+BATCH_BYTES = 12 << 20
+#: Words a worker keeps at most; beyond that it starts anew.
+KNOWN_WORDS = 600_000
 #: Bytes of text handed to the encoder at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 18
 MARK = "▁"
 # Fixed values of the model format: field numbers and enum values of its protobuf.
 PIECE, TRAINER, NORMALIZER = 1, 2, 3
@@ -133,7 +139,7 @@ def rebuild(model: Model):
             unk_token=None if unknown is None else model.pieces[unknown][0],
             fuse_unk=True,
             byte_fallback=model.byte_fallback,
-            cache_capacity=100_000,
+            cache_capacity=0,  # words that come again are kept by the worker
         )
     tokenizer = Tokenizer(core)
     steps = [normalizers.Precompiled(model.charsmap)] if model.charsmap else []
@@ -193,34 +199,6 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
-def encode(docs: DataFrame, model: Broadcast, threads: int = 2, parity: bool = False) -> DataFrame:
-    """``docs`` with ``ids`` (array<int>), and with ``same_ids`` if ``parity`` is asked for.
-
-    A null text has null ``ids``, an empty one none. Special pieces in a text are ordinary text.
-    ``same_ids`` says whether the ``sentencepiece`` library gives the same ids (null for null).
-    Input columns of these names are replaced, others kept; repeated rows are encoded each.
-    """
-
-    def compute(batch: pa.RecordBatch) -> list:
-        tokenizer = _tokenizer(model.value, threads)
-        column = batch.column("text")
-        given = [t or "" for t in column.to_pylist()]
-        flat, sizes, same = [], [], []
-        for part in _slices(given):
-            coded = [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            flat += coded
-            sizes += [len(c) for c in coded]
-            if parity:
-                known = _reference(model.value).encode(part, num_threads=threads)
-                same += [np.array_equal(a, b) for a, b in zip(coded, known)]
-        ids = lists(np.concatenate(flat) if flat else np.zeros(0, np.int32), np.array(sizes, np.int64), pa.int32())
-        null = column.is_null()
-        out = [pc.if_else(null, pa.scalar(None, ids.type), ids)]
-        return out + ([pc.if_else(null, None, pa.array(same, pa.bool_()))] if parity else [])
-
-    return add_columns(docs, "ids array<int>" + (", same_ids boolean" if parity else ""), compute)
-
-
 @lru_cache(maxsize=4)
 def _piece_bytes(data: bytes) -> pa.Array:
     """What each id stands for in a decoded text."""
@@ -231,29 +209,126 @@ def _piece_bytes(data: bytes) -> pa.Array:
     return pa.array(shown, pa.binary())
 
 
-def decode(coded: DataFrame, model: Broadcast, threads: int = 2) -> DataFrame:
-    """``coded`` with ``decoded``, the text of ``ids``; null for null.
+def _coded(texts: list[str], data: bytes, threads: int, parity: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the texts end to end, their counts, and whether the other library agrees (yes if not asked)."""
+    tokenizer = _tokenizer(data, threads)
+    flat, sizes, same = [np.zeros(0, np.int32)], [], []
+    for part in _slices(texts):
+        coded = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        sizes += map(len, coded)
+        flat.append(np.fromiter(chain.from_iterable(coded), np.int32))
+        same += map(eq, coded, _reference(data).encode(part, num_threads=threads)) if parity else repeat(True, len(part))
+    return np.concatenate(flat), np.array(sizes, np.int64), np.array(same, bool)
+
+
+class _Words:
+    """Ids of the words a worker has met, end to end, and whether the other library agrees on them."""
+
+    def __init__(self, data: bytes, threads: int, parity: bool):
+        self.settings = (data, threads, parity)
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.counts, self.same = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """Places of the words; those not met before are encoded."""
+        if len(self.place) + len(words) > KNOWN_WORDS:
+            self.clear()
+        new = [w for w in words if w not in self.place]
+        if new:
+            more = _coded(new, *self.settings)
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.ids, self.counts, self.same = map(np.concatenate, zip((self.ids, self.counts, self.same), more))
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+
+@lru_cache(maxsize=4)
+def _words(data: bytes, threads: int, parity: bool) -> _Words:
+    return _Words(data, threads, parity)
+
+
+def _by_word(texts: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`_coded`, for texts with single blanks between words: a word is encoded once."""
+    split = pc.split_pattern(texts, " ")
+    ends = split.offsets.to_numpy() - split.offsets[0].as_py()
+    distinct = split.flatten().dictionary_encode()
+    words = _words(data, threads, parity)
+    used = words.find(distinct.dictionary.to_pylist())[distinct.indices.to_numpy()]
+    lengths = words.counts[used]
+    stops = np.cumsum(lengths)
+    starts = (np.cumsum(words.counts) - words.counts)[used]
+    flat = words.ids[np.repeat(starts - (stops - lengths), lengths) + np.arange(stops[-1] if len(stops) else 0)]
+    totals = np.concatenate(([0], stops))
+    wrong = np.concatenate(([0], np.cumsum(~words.same[used])))
+    return flat, totals[ends[1:]] - totals[ends[:-1]], wrong[ends[1:]] == wrong[ends[:-1]]
+
+
+def _encoded(column: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[pa.Array, pa.Array]:
+    texts, model = pc.fill_null(column, ""), _model(data)
+    if model.splits_at_blanks and model.dummy_prefix and not model.charsmap:
+        odd = pc.match_substring_regex(texts, r"  |\A | \z").to_numpy(zero_copy_only=False)
+    else:
+        odd = np.ones(len(texts), bool)
+    parts = [
+        _by_word(texts.filter(pa.array(~odd)), data, threads, parity),
+        _coded(texts.filter(pa.array(odd)).to_pylist(), data, threads, parity),
+    ]
+    place = np.empty(len(texts), np.int64)
+    place[np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))] = np.arange(len(texts))
+    ids = pa.concat_arrays([lists(flat, sizes, pa.int32()) for flat, sizes, _ in parts]).take(pa.array(place))
+    null = column.is_null()
+    same = pa.array(np.concatenate([p[2] for p in parts])[place])
+    return pc.if_else(null, pa.scalar(None, ids.type), ids), pc.if_else(null, None, same)
+
 
-    The pieces of a batch are laid end to end and cut at the rows. Ids whose bytes are no valid
-    UTF-8 go through the library's decoder, which replaces what it cannot read.
+def _decoded(column: pa.Array, data: bytes, threads: int) -> pa.Array:
+    """The pieces laid end to end and cut at the rows.
+
+    Ids whose bytes are no valid UTF-8 go through the library's decoder, which replaces what it cannot read.
+    """
+    offsets = column.offsets.to_numpy()
+    values = column.values.slice(offsets[0], offsets[-1] - offsets[0])
+    joined = pc.take(_piece_bytes(data), values)
+    starts = np.frombuffer(joined.buffers()[1], np.int32) if len(joined) else np.zeros(1, np.int32)
+    ends = starts[offsets - offsets[0]]
+    rows = pa.Array.from_buffers(pa.binary(), len(column), [None, pa.py_buffer(ends.tobytes()), joined.buffers()[2]])
+    try:
+        texts = rows.cast(pa.string())
+        if _model(data).dummy_prefix:
+            texts = pc.replace_substring_regex(texts, r"\A ", "")
+    except pa.ArrowInvalid:
+        ids = [row or [] for row in column.to_pylist()]
+        texts = pa.array(_tokenizer(data, threads).decode_batch(ids, skip_special_tokens=False), pa.string())
+    return pc.if_else(column.is_null(), None, texts)
+
+
+def encode(docs: DataFrame, model: Broadcast, threads: int = 2, verify: bool = False) -> DataFrame:
+    """``docs`` with ``ids`` (array<int>), and with ``same_ids`` and ``round_trip`` if ``verify``.
+
+    A null text has null ``ids``, an empty one none. Special pieces in a text are ordinary text.
+    ``same_ids``: the ``sentencepiece`` library gives the same ids; ``round_trip``: decoding gives
+    the text again. Both are null for a null text. Input columns of these names are replaced,
+    others kept; repeated rows are encoded each.
     """
 
     def compute(batch: pa.RecordBatch) -> list:
-        data, column = model.value, batch.column("ids")
-        prefix = _model(data).dummy_prefix
-        joined = pc.take(_piece_bytes(data), column.values)
-        starts = np.frombuffer(joined.buffers()[1], np.int32) if len(joined) else np.zeros(1, np.int32)
-        ends = starts[column.offsets.to_numpy()]
-        rows = pa.Array.from_buffers(
-            pa.binary(), batch.num_rows, [None, pa.py_buffer(ends.tobytes()), joined.buffers()[2]]
-        )
-        try:
-            texts = rows.cast(pa.string())
-            if prefix:
-                texts = pc.replace_substring_regex(texts, r"\A ", "")
-        except pa.ArrowInvalid:
-            ids = [row or [] for row in column.to_pylist()]
-            texts = pa.array(_tokenizer(data, threads).decode_batch(ids, skip_special_tokens=False), pa.string())
-        return [pc.if_else(column.is_null(), None, texts)]
+        column = batch.column("text")
+        ids, same = _encoded(column, model.value, threads, verify)
+        if not verify:
+            return [ids]
+        back = pc.equal(_decoded(ids, model.value, threads), column)
+        return [ids, same, back]
+
+    fields = "ids array<int>" + (", same_ids boolean, round_trip boolean" if verify else "")
+    return add_columns(docs, fields, compute, BATCH_BYTES)
+
+
+def decode(coded: DataFrame, model: Broadcast, threads: int = 2) -> DataFrame:
+    """``coded`` with ``decoded``, the text of ``ids``; null for null, empty for no ids."""
+
+    def compute(batch: pa.RecordBatch) -> list:
+        return [_decoded(batch.column("ids"), model.value, threads)]
 
     return add_columns(coded, "decoded string", compute)
