@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .sentencepiece import encode, share_model
+from .toxicity import fit_from_labels, held_out, score
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,8 +65,17 @@ def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = fit_from_labels(docs, table(spark, folder, "labels"))
+    return score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op9_line_rules": op9_line_rules,
+    "op10_toxicity": op10_toxicity,
 }
