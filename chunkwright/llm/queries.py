@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .sentencepiece import encode, share_model
@@ -47,6 +48,14 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.filter(~held_out()))
+    return language.identify(docs.drop("lang"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     judged = apply_line_rules(docs)
@@ -76,6 +85,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
+    "op7_language": op7_language,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
 }
