@@ -11,6 +11,7 @@ from . import language
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .sentencepiece import encode, share_model
+from .sharding import shuffle_to_shards
 from .toxicity import fit_from_labels, held_out, score
 
 
@@ -48,6 +49,23 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
+        F.crc32("text").alias("text_crc32"),
+    )
+    return shuffle_to_shards(docs, shards=16, seed=20).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(~held_out()))
@@ -85,6 +103,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_sharding": op3_sharding,
     "op7_language": op7_language,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
