@@ -12,6 +12,7 @@ from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .sentencepiece import encode, share_model
 from .sharding import shuffle_to_shards
+from .surrogates import replace_entities
 from .toxicity import fit_from_labels, held_out, score
 
 
@@ -66,6 +67,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_entities(docs, key="registered-query").select("doc_id", "text", "n_entities")
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(~held_out()))
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_sharding": op3_sharding,
+    "op5_surrogates": op5_surrogates,
     "op7_language": op7_language,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
