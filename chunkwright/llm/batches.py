@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -55,3 +57,56 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.List
     """A list column from its flat values and the length of each row's list."""
     offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
+
+
+#: Bytes that are no letter or digit become blanks, A-Z lower case, all from 0x80 on stay.
+NORMAL = bytes(
+    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
+)
+_TABLE = np.frombuffer(NORMAL, np.uint8)
+
+
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 of a string column end to end, and where each row starts, then the end; null is empty."""
+    filled = pc.fill_null(column, "") if column.null_count else column
+    offsets = np.frombuffer(filled.buffers()[1], np.int32)[filled.offset : filled.offset + len(filled) + 1]
+    data = filled.buffers()[2]
+    values = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    return values, (offsets - offsets[0]).astype(np.int64)
+
+
+def word_hashes(column: pa.Array, lanes: int = 1, normal: bool = False) -> tuple[list[np.ndarray], np.ndarray]:
+    """64-bit hashes of all words, ``lanes`` independent ones each, and where each row's words start, then the end.
+
+    Words are runs without ASCII white space; with ``normal``, of lower-cased letters and digits.
+    """
+    values, starts = flat_bytes(column)
+    if normal:
+        values = _TABLE[values]
+    offsets = pa.py_buffer(starts.astype(np.int32).tobytes())
+    texts = pa.Array.from_buffers(pa.string(), len(column), [None, offsets, pa.py_buffer(values.tobytes())])
+    split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts))
+    ends = split.offsets.to_numpy().astype(np.int64)
+    known = split.values.dictionary_encode()
+    names = known.dictionary.to_numpy(zero_copy_only=False)
+    used = known.indices.to_numpy()
+    empty = np.diff(ends) == 1
+    if empty.any():  # an empty text is split into one empty word
+        blank = np.zeros(len(used) + 1, np.int64)
+        lone = np.flatnonzero(empty)[[names[used[e]] == "" for e in ends[:-1][empty]]]
+        blank[ends[lone] + 1] = 1
+        kept = blank[1:] == 0
+        used, ends = used[kept], ends - np.cumsum(blank)[ends]
+    out = []
+    for lane in range(lanes):
+        key = f"{lane:016d}"
+        hashed = hash_array(names, hash_key=key, categorize=False) if len(names) else np.zeros(0, np.uint64)
+        out.append(hashed[used])
+    return out, ends
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """The bits of 64-bit numbers stirred."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import language
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
+from .order_minhash import near_duplicates
 from .sentencepiece import encode, share_model
 from .sharding import shuffle_to_shards
 from .surrogates import replace_entities
@@ -80,6 +81,10 @@ def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_line_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     judged = apply_line_rules(docs)
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op5_surrogates": op5_surrogates,
     "op7_language": op7_language,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
 }
