@@ -34,6 +34,39 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 
 _PLAIN = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
 
+#: Each 100-byte string as hexadecimal digits, two a byte.
+OP6 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS s
+  FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 100)) AS i FROM d WHERE length(h) >= 200)
+),
+later AS (
+  SELECT doc_id, i FROM starts QUALIFY row_number() OVER (PARTITION BY md5(s) ORDER BY doc_id, i) > 1
+),
+edges AS (
+  SELECT doc_id, i, max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p
+  FROM later
+),
+runs AS (
+  SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS r
+  FROM edges
+),
+spans AS (SELECT doc_id, r, min(i) AS a, max(i) + 100 AS b FROM runs GROUP BY doc_id, r),
+gaps AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b, r FROM spans
+),
+kept AS (
+  SELECT g.doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS k
+  FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id
+),
+totals AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last FROM spans GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_removed IS NULL THEN h ELSE coalesce(k, '') || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = rf"""
 WITH d AS (SELECT doc_id, text, source, {_PLAIN} AS w FROM documents),
 windows AS (
@@ -72,4 +105,4 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM figures
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op9_line_rules": OP9}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op6_suffix_dedup": OP6, "op9_line_rules": OP9}

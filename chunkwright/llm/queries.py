@@ -13,6 +13,7 @@ from .line_rules import apply_line_rules
 from .order_minhash import near_duplicates
 from .sentencepiece import encode, share_model
 from .sharding import shuffle_to_shards
+from .suffix_dedup import remove_repeated_bytes
 from .surrogates import replace_entities
 from .toxicity import fit_from_labels, held_out, score
 
@@ -73,6 +74,11 @@ def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return replace_entities(docs, key="registered-query").select("doc_id", "text", "n_entities")
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = remove_repeated_bytes(table(spark, folder, "documents").select("doc_id", "text"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs.filter(~held_out()))
@@ -116,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_sharding": op3_sharding,
     "op5_surrogates": op5_surrogates,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_line_rules": op9_line_rules,
