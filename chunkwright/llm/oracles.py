@@ -34,6 +34,26 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 
 _PLAIN = r"coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), [])"
 
+OP4 = rf"""
+WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+starts AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) > 12)
+),
+later AS (SELECT doc_id, i FROM starts QUALIFY doc_id > min(doc_id) OVER (PARTITION BY s)),
+gone AS (
+  SELECT doc_id, p FROM (SELECT doc_id, unnest(generate_series(i, i + 12)) AS p FROM later) GROUP BY doc_id, p
+),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+),
+counts AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 #: Each 100-byte string as hexadecimal digits, two a byte.
 OP6 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -105,4 +125,4 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM figures
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op6_suffix_dedup": OP6, "op9_line_rules": OP9}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_recompression": OP4, "op6_suffix_dedup": OP6, "op9_line_rules": OP9}

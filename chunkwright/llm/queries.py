@@ -11,6 +11,7 @@ from . import language
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .order_minhash import near_duplicates
+from .recompression import remove_repeated_words
 from .sentencepiece import encode, share_model
 from .sharding import shuffle_to_shards
 from .suffix_dedup import remove_repeated_bytes
@@ -69,6 +70,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    out = remove_repeated_words(table(spark, folder, "documents").select("doc_id", "text"), size=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return replace_entities(docs, key="registered-query").select("doc_id", "text", "n_entities")
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_sharding": op3_sharding,
+    "op4_recompression": op4_recompression,
     "op5_surrogates": op5_surrogates,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_language": op7_language,
