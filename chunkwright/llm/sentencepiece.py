@@ -130,7 +130,8 @@ def rebuild(model: Model):
 
     unknown = next((i for i, p in enumerate(model.pieces) if p[2] == UNKNOWN), None)
     if model.kind == UNIGRAM:
-        vocab = [(p, score) for p, score, _ in model.pieces]
+        # Only normal pieces may be found in a text; byte pieces keep the names that fallback looks for.
+        vocab = [(p if kind in (NORMAL, BYTE) else f"\ufffe{i}", s) for i, (p, s, kind) in enumerate(model.pieces)]
         core = models.Unigram(vocab, unk_id=unknown, byte_fallback=model.byte_fallback)
     else:
         core = models.BPE(
@@ -149,8 +150,13 @@ def rebuild(model: Model):
         steps.append(normalizers.Prepend(MARK))
     steps.append(normalizers.Replace(" ", MARK))
     tokenizer.normalizer = normalizers.Sequence(steps)
+    splits = []
     if model.splits_at_blanks:
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+        splits.append(pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated"))
+    if model.kind == UNIGRAM and model.byte_fallback:  # the name of a byte, written in a text, is no byte
+        splits.append(pre_tokenizers.Split(Regex("<(?=0x[0-9A-F]{2}>)"), "isolated"))
+    if splits:
+        tokenizer.pre_tokenizer = pre_tokenizers.Sequence(splits)
     ends = [decoders.Strip(" ", 1, 0)] if model.dummy_prefix else []
     tokenizer.decoder = decoders.Sequence(
         [decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *ends]
@@ -203,7 +209,7 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
 def _piece_bytes(data: bytes) -> pa.Array:
     """What each id stands for in a decoded text."""
     shown = [
-        bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode()
+        bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind == NORMAL else b""
         for p, _, kind in _model(data).pieces
     ]
     return pa.array(shown, pa.binary())
