@@ -16,9 +16,10 @@ WHITESPACE_TOKEN = r"(?U)[^\s\x1c-\x1f]+"
 WORD = r"[\p{L}\p{N}_]+"
 ASCII_TOKEN = r"[a-zA-Z0-9]+"
 KEY_TERM_STOP_WORDS = (
-    "the a an and or but in on at to for of with by is are was were be been being "
-    "have has had do does did will would could should"
-).split()
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by",
+    "is", "are", "was", "were", "be", "been", "being", "have", "has", "had", "do", "does",
+    "did", "will", "would", "could", "should",
+)
 
 
 def let(name: str, value: str, use: str) -> str:

@@ -33,15 +33,18 @@ def _radius(threshold: float) -> float:
     return math.sqrt(max(2 - 2 * threshold, 0.0))
 
 
-def _pairs_above(threshold: float):
+def _earliest(threshold: float):
+    """For each visitor its earliest member within the limit."""
+
     def compare(member_ord, members, visitor_ord, visitors):
         step = slice_rows(len(member_ord))
         for start in range(0, len(visitor_ord), step):
             ords = visitor_ord[start : start + step]
             v, m, sim = at_least(visitors[start : start + step] @ members.T, threshold)
-            earlier = member_ord[m] < ords[v]
-            v, m = v[earlier], m[earlier]
-            yield {"left_ord": member_ord[m], "right_ord": ords[v], "sim": sim[earlier]}
+            order = np.lexsort((member_ord[m], v))
+            order = order[member_ord[m[order]] < ords[v[order]]]
+            first = order[np.unique(v[order], return_index=True)[1]]
+            yield {"left_ord": member_ord[m[first]], "right_ord": ords[v[first]], "sim": sim[first]}
 
     return compare
 
@@ -103,11 +106,10 @@ def _distinct_directions(
 def near_duplicate_pairs(
     chunks: DataFrame, options: Options, max_neighbors: int | None = None
 ) -> DataFrame:
-    """(left_ord, right_ord, sim) with left before right and cosine at or above the limit.
+    """(left_ord, right_ord, sim): every row that has an earlier one within the limit, with its earliest.
 
-    Exact copies of a vector are paired with the first copy only, and pairs of
-    different vectors are given between first copies: every other pair follows
-    from these, and the output cannot grow with the square of a group of copies.
+    One row per later row, so a crowd of copies gives as many rows as it has members, and whether two
+    copies are equal to the last bit makes no difference. It is all that removing duplicates needs.
 
     With ``max_neighbors`` the pairs are those among each row's nearest
     neighbours, as a capped index search finds them.
@@ -125,20 +127,30 @@ def near_duplicate_pairs(
         with_visits(firsts, cells, _radius(threshold)),
         cells.rows,
         options,
-        _pairs_above(threshold),
+        _earliest(threshold),
         pivots.shape[1],
         "left_ord bigint, right_ord bigint, sim double",
     )
+    best = F.min(F.struct("left_ord", "sim")).alias("best")
+    between = settle(between.groupBy("right_ord").agg(best).select("right_ord", "best.*"))
+    # An exact copy has the earliest match of its first copy, or else that copy itself.
     # The zero vector has no direction; its copies are not similar to each other.
     repeated = firsts.filter(
         (F.col("copies") > 1) & (F.aggregate("unit", F.lit(0.0), lambda a, x: a + F.abs(x)) > 0)
     )
+    matched = repeated.join(between, repeated["ord"] == between["right_ord"], "left").select(
+        "cell",
+        "unit",
+        F.col("ord").alias("first_ord"),
+        F.coalesce("left_ord", "ord").alias("left_ord"),
+        F.coalesce("sim", F.lit(1.0)).alias("sim"),
+    )
     copies = (
-        homes.join(repeated.select("cell", "unit", F.col("ord").alias("left_ord")), ["cell", "unit"])
-        .filter(F.col("ord") > F.col("left_ord"))
-        .select("left_ord", F.col("ord").alias("right_ord"), F.lit(1.0).alias("sim"))
+        homes.join(matched, ["cell", "unit"])
+        .filter(F.col("ord") > F.col("first_ord"))
+        .select("left_ord", F.col("ord").alias("right_ord"), "sim")
     )
-    return between.unionByName(copies)
+    return between.select("left_ord", "right_ord", "sim").unionByName(copies)
 
 
 def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) -> tuple[DataFrame, DataFrame]:
@@ -209,14 +221,6 @@ def _split_zero(chunks: DataFrame, options: Options, pivot_source: DataFrame | N
     return chunks.filter(~has_direction).select("ord"), firsts, pivots
 
 
-def dedup_size_guard(rows: int, options: Options, indexed: bool = True) -> None:
-    """Refuse an unindexed all-pairs comparison from the guard size on."""
-    if not indexed and rows >= options.dedup_guard_rows:
-        raise RuntimeError(
-            f"all-pairs comparison of {rows} rows refused (limit {options.dedup_guard_rows})"
-        )
-
-
 def dropped_rows(
     chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
 ) -> DataFrame:
@@ -225,10 +229,12 @@ def dropped_rows(
     return chunks.select("ord").join(dedup(chunks, options, pivot_source), "ord", "left_anti")
 
 
-def dedup_sampled(
-    chunks: DataFrame, options: Options, sample_rows: int = 1000, neighbors: int = 10
-) -> DataFrame:
-    """Pairs found by searching the nearest ``neighbors`` (self included) of a row sample."""
+def dedup_sampled(chunks: DataFrame, options: Options, *, sample_rows: int, neighbors: int) -> DataFrame:
+    """Pairs found by searching the nearest ``neighbors`` (self included) of a row sample.
+
+    A sampling operator: pairs of rows outside the sample of ``sample_rows``, and those
+    beyond the nearest ``neighbors``, are not looked for.
+    """
     sample = sample_exact(chunks, "ord", options.seed, sample_rows)
     near = knn_join(sample, chunks, neighbors - 1, options)
     return (

@@ -74,13 +74,15 @@ def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
 def hybrid_search(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> DataFrame:
     """(golden_ord, ord, sim, rank): reciprocal rank fusion of both searches.
 
-    The vector list has k + 5 rows and the text list k + 10, as requested from a
-    search service; ``sim`` is the sum of 1 / (60 + rank) over the lists.
+    ``sim`` is the sum of 1 / (60 + rank) over the vector list of
+    ``k + options.hybrid_vector_extra`` rows and the text list of
+    ``k + options.hybrid_text_extra``. A row below the end of a list gets nothing
+    from it, so longer lists can change which rows are the best k.
     """
     from .neighbors import knn_join
 
-    by_vector = knn_join(golden, corpus, k + 5, options).select("golden_ord", "ord", "rank")
-    by_text = text_search(golden, corpus, k + 10).select("golden_ord", "ord", "rank")
+    by_vector = knn_join(golden, corpus, k + options.hybrid_vector_extra, options).select("golden_ord", "ord", "rank")
+    by_text = text_search(golden, corpus, k + options.hybrid_text_extra).select("golden_ord", "ord", "rank")
     fused = (
         by_vector.unionByName(by_text)
         .groupBy("golden_ord", "ord")

@@ -192,9 +192,11 @@ def knn_join(golden: DataFrame, corpus: DataFrame, k: int, options: Options) ->
 
 
 def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> DataFrame:
-    """Approximate: k-means cells trained on a bounded sample, the nearest ``nprobe`` searched.
+    """Approximate: k-means cells, the nearest ``ivf_nprobe`` searched.
 
-    With ``nprobe`` at least the number of cells the result is exact.
+    There are ``ivf_nlist`` centres, or one per row where the corpus has fewer rows. They are
+    trained on ``ivf_training_rows`` sampled rows per centre; every row lands in a cell. With
+    ``ivf_nprobe`` at least the number of cells the result is exact.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
@@ -202,9 +204,9 @@ def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> D
     golden, corpus = points_of(golden), points_of(corpus)
     counts = bucket_counts(corpus, "ord", options.seed)
     total = sum(n for _, n in counts)
-    nlist = min(options.ivf_nlist, total // 32)
+    nlist = min(options.ivf_nlist, total)
     if nlist > 1:
-        training = cut_sample(corpus, "ord", options.seed, counts, 256 * nlist)
+        training = cut_sample(corpus, "ord", options.seed, counts, options.ivf_training_rows * nlist)
         model = KMeans(k=nlist, seed=options.seed, maxIter=10, distanceMeasure="cosine").fit(
             training.select(array_to_vector("embedding").alias("features"))
         )
@@ -259,11 +261,11 @@ def vector_search(golden: DataFrame, corpus: DataFrame, results: DataFrame, k: i
     """Distractors from a ranked results table of an outside search service.
 
     ``results`` has (golden_ord, ord, rank, score). The row itself and rows the
-    corpus does not hold are left out before the cut at k; the score stays.
+    corpus does not hold are left out before the cut at k, however long a
+    service's list is; the score stays.
     """
     usable = (
         results.filter(F.col("ord") != F.col("golden_ord"))
-        .filter(F.col("rank") <= k + 5)
         .join(golden.select(F.col("ord").alias("golden_ord")), "golden_ord", "left_semi")
         .join(corpus.select("ord"), "ord", "left_semi")
         .withColumnRenamed("rank", "service_rank")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import json
 from dataclasses import dataclass
 
 
@@ -26,7 +25,6 @@ class Options:
     template_version: str = "1"
     ivf_nlist: int = 1024
     ivf_nprobe: int = 64
-    dedup_guard_rows: int = 50_000
     min_margin: float = 0.5
     min_golden_coverage: float = 0.6
     min_coverage_gap: float = 0.2
@@ -41,7 +39,10 @@ class Options:
     stop_words: tuple[str, ...] = ()
     block_rows: int = 8192  # fewer where block_bytes says so
     block_bytes: int = 64 * 1024 * 1024
-    max_pivots: int = 1024
+    max_pivots: int = 1024  # cells of the vector joins; bounds cost, never the result
+    hybrid_vector_extra: int = 5  # rows of either list beyond those asked for
+    hybrid_text_extra: int = 10
+    ivf_training_rows: int = 256  # sampled for each of the ivf_nlist centres
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 20_000
 
@@ -61,16 +62,22 @@ class Options:
         return min(self.block_rows, max(256, self.block_bytes // (8 * max(dim, 1))))
 
     def config_hash(self) -> str:
-        """Hash of the settings that make a stored answer stale when they change."""
-        settings = {
-            "min_tokens": self.min_tokens,
-            "max_tokens": self.max_tokens,
-            "duplicate_cosine": self.duplicate_cosine,
-            "temperature": self.temperature,
-            "answer_tokens": self.answer_tokens,
-            "query_types": list(self.query_types),
-            "model": self.model,
-            "template_version": self.template_version,
-        }
-        text = json.dumps(settings, sort_keys=True)
-        return hashlib.sha256(text.encode()).hexdigest()[:16]
+        """Short digest of the ``_STALE`` settings: other values of theirs need other answers."""
+        digest = hashlib.blake2b(digest_size=8)
+        for name in _STALE:
+            part = f"{name}={getattr(self, name)!r}".encode()
+            digest.update(len(part).to_bytes(4, "big") + part)
+        return digest.hexdigest()
+
+
+#: Settings that make a stored answer stale when they change.
+_STALE = (
+    "model",
+    "template_version",
+    "query_types",
+    "temperature",
+    "answer_tokens",
+    "min_tokens",
+    "max_tokens",
+    "duplicate_cosine",
+)

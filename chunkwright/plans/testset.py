@@ -68,7 +68,7 @@ def build_testset(
     else:
         pending = pending_requests(requests, completions)
     queries = assemble_queries(requests, completions)
-    evaluated = evaluate_queries(queries, options, mode, judge_scores)
+    evaluated = settle(evaluate_queries(queries, options, mode, judge_scores))
     return TestSet(
         validated, bundles, requests, pending, evaluated, ground_truth_rows(evaluated, options)
     )
@@ -77,13 +77,23 @@ def build_testset(
 def run(
     chunks: DataFrame, options: Options, out: str, rejected_out: str | None = None, **inputs
 ) -> TestSet:
-    """``build_testset`` with its two files written, stopping at an empty stage."""
+    """``build_testset`` with its files written, stopping at an empty stage.
+
+    Requests without an answer yet are written to ``<out>_pending`` and every scored query, accepted
+    or not, to ``<out>_evaluated``. While no request has an answer, as in a first run with a model,
+    the run ends there.
+    """
     stage_guard(chunks, "load")
     result = build_testset(chunks, options, **inputs)
     write_rejected(result.validated.rejected, rejected_out)
     stage_guard(result.validated.valid, "validate")
     stage_guard(result.requests, "select")
+    if result.pending is not None:
+        result.pending.write.mode("overwrite").parquet(f"{out.rstrip('/')}_pending")
+        if result.evaluated.isEmpty() and not result.pending.isEmpty():
+            return result
     stage_guard(result.evaluated, "generate")
+    result.evaluated.write.mode("overwrite").parquet(f"{out.rstrip('/')}_evaluated")
     stage_guard(result.ground_truth, "evaluate")
     write_ground_truth(result.ground_truth, out)
     return result

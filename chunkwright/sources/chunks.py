@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,9 +104,16 @@ def scan_json_file(spark: SparkSession, path: str, path_idx: int = 0) -> DataFra
     return parse_chunks(_read_text(spark, path, "*.json", path_idx, whole=True))
 
 
-def scan_object_store(spark: SparkSession, uri: str) -> DataFrame:
+def scan_object_store(spark: SparkSession, uri: str, path_idx: int = 0) -> DataFrame:
     """All ``*.json`` objects below a prefix, nested ones too; tasks are the parallelism."""
-    return parse_chunks(_read_text(spark, uri, "*.json", 0, whole=True, recursive=True))
+    return parse_chunks(_read_text(spark, uri, "*.json", path_idx, whole=True, recursive=True))
+
+
+def scan_prefixes(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
+    """The objects below every prefix, in the order given."""
+    if not uris:
+        raise ValueError("no readable input paths")
+    return reduce(DataFrame.unionByName, (scan_object_store(spark, uri, idx) for idx, uri in enumerate(uris)))
 
 
 def _is_directory(spark: SparkSession, path: str) -> bool:
@@ -166,17 +174,22 @@ def unique_keys(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def check_dims(chunks: DataFrame, expected: int | None = None) -> int | None:
-    """Width shared by all vectors; ``ValueError`` when they differ or are not ``expected``."""
-    widths = [r["width"] for r in dims(chunks).orderBy(F.desc("rows")).limit(20).collect()]
+    """Width shared by all vectors; ``ValueError`` when they differ or are not ``expected``.
+
+    Chunks without a vector have no width and are left aside.
+    """
+    known = dims(chunks).filter(F.col("width").isNotNull()).orderBy(F.desc("rows"), "width")
+    widths = [r["width"] for r in known.limit(21).collect()]
     if len(widths) > 1:
-        raise ValueError(f"inconsistent embedding widths: {sorted(widths)}")
+        more = " and more" if len(widths) > 20 else ""
+        raise ValueError(f"inconsistent embedding widths: {sorted(widths[:20])}{more}")
     if widths and expected is not None and widths[0] != expected:
         raise ValueError(f"embedding width {widths[0]}, expected {expected}")
     return widths[0] if widths else None
 
 
 def dims(chunks: DataFrame) -> DataFrame:
-    """(width, rows)."""
+    """(width, rows); a missing vector has a NULL width."""
     return chunks.groupBy(F.size("embedding").alias("width")).agg(F.count("*").alias("rows"))
 
 
@@ -185,11 +198,11 @@ def load_chunks(
 ) -> tuple[DataFrame, DataFrame]:
     """(chunks with ``ord``, quarantined rows) for an input type."""
     if input_type == "documents":
-        raise NotImplementedError("splitting documents into chunks is not part of this toolkit")
+        raise ValueError("split documents with operators.extensions.chunk_documents and add their vectors first")
     if input_type == "chunks":
         parsed = scan_paths(spark, paths)
     elif input_type == "object_store_chunks":
-        parsed = scan_object_store(spark, paths[0])
+        parsed = scan_prefixes(spark, paths)
     else:
         raise ValueError(f"unknown input type {input_type!r}")
     # The raw text is kept only for what goes to quarantine.

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settle
 from .chunks import parse_chunks
 
 _MANIFEST = "source string, mtime timestamp, length bigint, batch bigint"
@@ -39,6 +41,16 @@ def changed_files(listing: DataFrame, manifest: DataFrame) -> DataFrame:
     return listing.join(manifest, ["source", "mtime", "length"], "left_anti")
 
 
+#: Paths the driver hands to one read.
+PATHS_AT_ONCE = 10_000
+
+
+def _path_batches(files: DataFrame) -> Iterator[list[str]]:
+    rows = (r["path"] for r in files.toLocalIterator())
+    while paths := list(islice(rows, PATHS_AT_ONCE)):
+        yield paths
+
+
 def incremental_load(
     spark: SparkSession, folder: str, state: str, version: int, suffixes: Mapping[str, bool] = CHUNK_FILES
 ) -> DataFrame:
@@ -49,23 +61,22 @@ def incremental_load(
     changed or vanished files are left behind by the join with the manifest.
     Running a version again gives the same state.
     """
-    listing = list_files(spark, folder, suffixes)
+    # Fixed once: files are parsed from the same list that enters the manifest, and a file
+    # that changes later differs from its entry and is read again by the next version.
+    listing = settle(list_files(spark, folder, suffixes))
     if version > 0:
         manifest = spark.read.schema(_MANIFEST).parquet(f"{state}/manifest/version={version - 1}")
     else:
         manifest = spark.createDataFrame([], _MANIFEST)
-    # The file list, like Spark's own listing of a folder, lives on the driver.
-    fresh = [r["path"] for r in changed_files(listing, manifest).select("path").collect()]
-    lines = None
+    fresh = settle(changed_files(listing, manifest).select("path"))
+    target, first = f"{state}/parsed/batch={version}", True
     for suffix, whole in suffixes.items():
-        paths = [p for p in fresh if p.endswith("." + suffix)]
-        if paths:
-            part = spark.read.text(paths, wholetext=whole).select(
+        for paths in _path_batches(fresh.filter(F.col("path").endswith("." + suffix))):
+            lines = spark.read.text(paths, wholetext=whole).select(
                 "value", F.col("_metadata.file_path").alias("source")
             )
-            lines = part if lines is None else lines.unionByName(part)
-    if lines is not None:
-        parse_chunks(lines).write.mode("overwrite").parquet(f"{state}/parsed/batch={version}")
+            parse_chunks(lines).write.mode("overwrite" if first else "append").parquet(target)
+            first = False
     live = listing.join(manifest, ["source", "mtime", "length"], "left").withColumn(
         "batch", F.coalesce("batch", F.lit(version))
     )

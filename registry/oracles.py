@@ -227,6 +227,11 @@ def _pairs(table: str, threshold: float, extra: str = "") -> str:
     )
 
 
+def _first_pairs(table: str, threshold: float) -> str:
+    """Every later row with its earliest match."""
+    return _pairs(table, threshold) + " QUALIFY row_number() OVER (PARTITION BY b.ord ORDER BY a.ord) = 1"
+
+
 def _knn(table: str) -> str:
     return (
         "SELECT a.ord AS golden_ord, b.ord, row_number() OVER (PARTITION BY a.ord ORDER BY "
@@ -265,6 +270,9 @@ ORACLES: dict[str, str] = {
     ),
     "scan_json_file": _with("chunks", _PLAIN),
     "scan_object_store": _with("chunks", _PLAIN),
+    "scan_object_store_prefixes": _with(
+        "chunks", "SELECT doc_id, chunk_id, chunk_text, len(embedding)::INTEGER AS width FROM chunks"
+    ),
     "scan_paths": _with("chunks", _PLAIN),
     "input_type_dispatch": _with(
         "chunks", "SELECT doc_id, chunk_id, chunk_text, len(embedding)::INTEGER AS width FROM chunks"
@@ -299,8 +307,8 @@ ORACLES: dict[str, str] = {
     "l2_normalize": _with(
         "units", "SELECT ord, (generate_subscripts(u, 1) - 1)::INTEGER AS pos, round(unnest(u), 6) + 0.0 AS x FROM units"
     ),
-    "cosine_matrix_join": _with("chunks", _pairs("chunks", 0.3)),
-    "near_duplicate_pairs": _with("copied", _pairs("copied", 0.98)),
+    "cosine_matrix_join": _with("chunks", _first_pairs("chunks", 0.3)),
+    "near_duplicate_pairs": _with("copied", _first_pairs("copied", 0.98)),
     "near_duplicate_pairs_capped": _with(
         "sims", "SELECT l AS left_ord, r AS right_ord, round(sim, 4) AS sim FROM (SELECT *, row_number() OVER "
         "(PARTITION BY l ORDER BY sim DESC, r) AS place FROM sims) WHERE place <= 20 AND sim >= 0.3 AND r > l",
@@ -327,7 +335,7 @@ ORACLES: dict[str, str] = {
         "sims",
         "SELECT DISTINCT least(l, r) AS left_ord, greatest(l, r) AS right_ord, round(sim, 4) AS sim FROM ("
         "SELECT *, row_number() OVER (PARTITION BY l ORDER BY sim DESC, r) AS place FROM sims WHERE l IN ("
-        + _sample("copied", "ord", "1000")
+        + _sample("copied", "ord", "300")
         + ")) WHERE place <= 9 AND sim >= 0.98",
     ),
     "knn_join": _with("copied", _knn("copied")),
@@ -337,7 +345,7 @@ ORACLES: dict[str, str] = {
         "valid",
         "SELECT golden_ord, ord, (row_number() OVER (PARTITION BY golden_ord ORDER BY service_rank))::INTEGER AS rank, sim "
         "FROM (SELECT l AS golden_ord, r AS ord, row_number() OVER (PARTITION BY l ORDER BY sims.sim DESC, r) AS service_rank, "
-        "round(sims.sim, 4) AS sim FROM sims WHERE l IN (SELECT ord FROM valid) QUALIFY service_rank <= 8) "
+        "round(sims.sim, 4) AS sim FROM sims WHERE l IN (SELECT ord FROM valid) QUALIFY service_rank <= 24) "
         "WHERE ord IN (SELECT ord FROM valid) QUALIFY rank <= 3",
     ),
     "key_terms": (
@@ -461,3 +469,35 @@ ORACLES["whole_run"] = _with(
     + _sample("valid", "ord", "SELECT greatest(1, floor(count(*) * 0.25)::BIGINT) FROM valid")
     + ")",
 )
+
+ORACLES["chunk_documents"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '\S+') AS toks FROM documents),
+s AS (SELECT doc_id, toks, unnest(generate_series(0, greatest(len(toks) - 21, 0) // 80)) AS k FROM t WHERE len(toks) > 0)
+SELECT doc_id::VARCHAR AS doc_id, doc_id || '#' || k AS chunk_id,
+       array_to_string(toks[k * 80 + 1 : k * 80 + 100], ' ') AS chunk_text FROM s
+"""
+ORACLES["stopword_ratio_filter"] = _with(
+    "docs",
+    "SELECT doc_id, chunk_id, round(ratio, 6) AS stopword_ratio FROM (SELECT doc_id, chunk_id, "
+    f"len(list_filter(words, lambda w: w IN ({_STOP}))) / greatest(len(words), 1) AS ratio FROM (SELECT doc_id, chunk_id, "
+    f"list_filter({_WORDS.format('chunk_text')}, lambda w: regexp_matches(w, '^[a-z]+$')) AS words FROM docs)) "
+    "WHERE ratio <= 0.3",
+)
+ORACLES["ranking_metrics"] = """
+WITH found AS (
+  SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents
+),
+wanted AS (SELECT source, doc_id FROM documents WHERE doc_id % 3 = 0),
+hits AS (SELECT w.source, f.rank FROM wanted w LEFT JOIN found f ON f.doc_id = w.doc_id AND f.rank <= 10),
+gains AS (
+  SELECT source, coalesce(sum(1 / log2(rank + 1)), 0) AS gain, coalesce(max(1 / rank), 0) AS mrr, count(*) AS n
+  FROM hits GROUP BY source
+)
+SELECT source AS query_key,
+       round(gain / list_sum(list_transform(generate_series(1, least(n, 10)), lambda r: 1 / log2(r + 1))), 6) AS ndcg,
+       round(mrr, 6) AS mrr
+FROM gains
+"""
+ORACLES["target_bundles"] = (
+    "SELECT lang, count(*) AS rows, 1 AS bundles_0, 3 AS bundles_1, 20 AS bundles_2 FROM documents GROUP BY lang"
+)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwright.functions import keys, text, vectors
-from chunkwright.operators import bundles, duplicates, evaluation, hybrid, neighbors, sampling, validation
+from chunkwright.operators import bundles, duplicates, evaluation, extensions, hybrid, neighbors, sampling, validation
 from chunkwright.options import Options
 from chunkwright.plans import testset
 from chunkwright.session import fresh_dir
@@ -75,6 +75,15 @@ def scan_object_store(v: Views) -> DataFrame:
     return _parsed(sources.scan_object_store(v.spark, _object_files(v, nested=True)))
 
 
+@register
+def scan_object_store_prefixes(v: Views) -> DataFrame:
+    """Two prefixes in one load."""
+    folder = _object_files(v, nested=True)
+    widths = [r[0] for r in v.chunks.select(F.length("chunk_id")).distinct().orderBy(F.col("length(chunk_id)")).collect()]
+    loaded, _ = sources.load_chunks(v.spark, [f"{folder}/part={w}" for w in widths], "object_store_chunks", 64)
+    return loaded.select(*KEY, "chunk_text", F.size("embedding").alias("width"))
+
+
 @register
 def scan_paths(v: Views) -> DataFrame:
     return _parsed(sources.scan_paths(v.spark, [_object_files(v, nested=False)]))
@@ -220,7 +229,7 @@ def dedup_fallback(v: Views) -> DataFrame:
 
 @register
 def dedup_sampled(v: Views) -> DataFrame:
-    return _pairs(duplicates.dedup_sampled(v.copied, OPTIONS))
+    return _pairs(duplicates.dedup_sampled(v.copied, OPTIONS, sample_rows=300, neighbors=10))
 
 
 def _neighbors(df: DataFrame) -> DataFrame:
@@ -528,3 +537,37 @@ def flagship(chunks: DataFrame, options: Options) -> DataFrame:
     return result.evaluated.select(
         *ROW, "query", "golden_rank", F.round("margin", 4).alias("margin"), "accepted"
     )
+
+
+# --- jobs around the test set ------------------------------------------------
+
+
+@register
+def chunk_documents(v: Views) -> DataFrame:
+    return extensions.chunk_documents(v.table("documents"), size=100, overlap=20)
+
+
+@register
+def stopword_ratio_filter(v: Views) -> DataFrame:
+    kept = extensions.with_stopword_ratio(extensions.stopword_ratio_filter(v.documents, 0.3))
+    return kept.select(*KEY, F.round("stopword_ratio", 6).alias("stopword_ratio"))
+
+
+@register
+def ranking_metrics(v: Views) -> DataFrame:
+    """Documents of one source as what is wanted, those of one language as what was found."""
+    docs = v.table("documents")
+    expected = docs.select(F.col("source").alias("query_key"), "doc_id").filter("doc_id % 3 = 0")
+    place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id"))
+    results = docs.select(F.col("source").alias("query_key"), "doc_id", place.alias("rank"))
+    found = extensions.ranking_metrics(expected, results, k=10)
+    return found.select("query_key", F.round("ndcg", 6).alias("ndcg"), F.round("mrr", 6).alias("mrr"))
+
+
+@register
+def target_bundles(v: Views) -> DataFrame:
+    """Bundles to sample for a range of wanted queries, per language of the documents."""
+    wanted = [sampling.target_bundles(Options(target_queries=n)) for n in (2, 5, 40)]
+    return v.table("documents").groupBy("lang").agg(
+        F.count("*").alias("rows"), *(F.lit(n).cast("int").alias(f"bundles_{k}") for k, n in enumerate(wanted))
+    )

@@ -123,5 +123,5 @@ class Views:
     @cached_property
     def search_results(self) -> DataFrame:
         """Stand-in for a search service that still knows the removed copies."""
-        found = neighbors.knn_join(self.validated.valid, self.copied, 8, OPTIONS)
+        found = neighbors.knn_join(self.validated.valid, self.copied, 24, OPTIONS)
         return settle(found.withColumnRenamed("sim", "score"))

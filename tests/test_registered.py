@@ -6,6 +6,8 @@ import pytest
 from check_oracles import compare, connect
 
 import __spark_entry__ as entry
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
@@ -23,13 +25,13 @@ def test_entry(spark):
 
 def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"knn_ivf"}
+    assert set(QUERIES) - set(ORACLES) == {"knn_ivf"}
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
-    sql = entry.oracle_sql().get(name)
+    df = QUERIES[name](spark, FOLDER)
+    sql = ORACLES.get(name)
     if sql is None:
         assert df.count() > 0
     else:

@@ -74,20 +74,20 @@ def test_rows_without_direction_are_kept(spark):
 
 
 @pytest.mark.parametrize("options", [Options(), SMALL])
-def test_pairs_are_complete_up_to_copies(spark, options):
+def test_pairs_name_the_earliest_match(spark, options):
     vectors = crowd(3, rows=150)
     sims = sims_of(vectors)
     options = replace(options, duplicate_cosine=0.9)
     found = {(r["left_ord"], r["right_ord"]) for r in duplicates.near_duplicate_pairs(frame(spark, vectors), options).collect()}
-    unit = unit_rows(np.asarray(vectors))
-    first = [next(i for i in range(j + 1) if (unit[i] == unit[j]).all()) for j in range(len(unit))]
-    wanted = {
-        (i, j)
-        for j in range(len(unit))
-        for i in range(j)
-        if sims[i, j] >= 0.9 and ((first[i] == i and first[j] == j) or first[j] == i)
-    }
-    assert found == wanted
+    earlier = {j: [i for i in range(j) if sims[i, j] >= 0.9] for j in range(len(vectors))}
+    assert found == {(i[0], j) for j, i in earlier.items() if i}
+
+
+@pytest.mark.parametrize("scale", [1.0, 2.0, 3.0])
+def test_copies_of_any_scale_are_pairs_with_the_first(spark, scale):
+    vector = np.array([0.1, 0.7, 0.3])
+    pairs = duplicates.near_duplicate_pairs(frame(spark, np.array([vector, vector * scale, vector, vector * scale])), Options())
+    assert sorted((r["left_ord"], r["right_ord"]) for r in pairs.collect()) == [(0, 1), (0, 2), (0, 3)]
 
 
 @pytest.mark.parametrize("options", [Options(), replace(SMALL, broadcast_rows=1)])
@@ -130,13 +130,6 @@ def test_capped_pairs(spark):
     assert {(r["left_ord"], r["right_ord"]) for r in pairs.collect()} == {(0, 1), (0, 2), (1, 2)}
 
 
-def test_size_guard():
-    duplicates.dedup_size_guard(49_999, Options(), indexed=False)
-    duplicates.dedup_size_guard(10**9, Options(), indexed=True)
-    with pytest.raises(RuntimeError):
-        duplicates.dedup_size_guard(50_000, Options(), indexed=False)
-
-
 def test_unknown_strategy():
     with pytest.raises(ValueError):
         neighbors.search_strategy("nearest")
