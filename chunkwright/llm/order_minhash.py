@@ -10,13 +10,14 @@ shifts that the required similarity leaves. Similarity is matched k-mers over al
 
 Texts with the same words are one node from the start. In a small bucket every pair is a candidate;
 in a large one every node meets the bucket's centre, the node whose sketches are shared most often,
-and what is not like it goes through further rounds. So work stays linear in the size of a bucket.
+and the nodes meet again by how they differ from it. So work stays linear in the size of a bucket.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,11 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .batches import add_columns, lists, mixed, word_hashes
 
-#: Nodes of a bucket up to which all pairs are candidates; larger buckets go through rounds.
-SMALL_BUCKET = 8
+#: Nodes of a bucket up to which all pairs are candidates, in the first round and in later ones;
+#: larger buckets go through rounds.
+SMALL_BUCKET, SMALL_LATER = 24, 40
+#: Sketches of what a node has more than a centre, and of what it lacks.
+MORE, LESS = 10, 6
 
 
 @dataclass(frozen=True)
@@ -63,17 +67,34 @@ def kmers(words: np.ndarray, size: int) -> np.ndarray:
 def sketch(found: np.ndarray, settings: OrderSettings) -> np.ndarray:
     """One number per sketch, from the k-mers with the smallest hashes in text order."""
     factors = _factors(settings.sketches)
-    values = mixed(found[None, :] * factors[:, None])
-    if len(found) > settings.depth:
-        places = np.sort(np.argpartition(values, settings.depth - 1, axis=1)[:, : settings.depth], axis=1)
-    else:
-        places = np.broadcast_to(np.arange(len(found)), values.shape)
+    values, rows = found[None, :] * factors[:, None], np.arange(settings.sketches)
+    depth = min(settings.depth, len(found))
+    places = np.empty((settings.sketches, depth), np.int64)
+    for k in range(depth):
+        places[:, k] = values.argmin(axis=1)
+        values[rows, places[:, k]] = _MOST
+    places.sort(axis=1)
     out = factors.copy()
     for k in range(places.shape[1]):
         out = mixed(out + found[places[:, k]])
     return out
 
 
+_MOST = np.uint64((1 << 64) - 1)
+
+
+def _least(found: np.ndarray, count: int, depth: int, salt: int) -> np.ndarray:
+    """Sketches of a set of k-mers without order; none if it is empty."""
+    if not len(found):
+        return np.zeros(0, np.uint64)
+    values = mixed(found ^ np.uint64(salt))[None, :] * _factors(count)[:, None]
+    values.sort(axis=1)
+    out = _factors(count) ^ np.uint64(salt)
+    for k in range(min(depth, values.shape[1])):
+        out = mixed(out + values[:, k])
+    return out
+
+
 def _factors(count: int) -> np.ndarray:
     return mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -134,19 +155,40 @@ def _powers(count: int) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
-    """The pairs (left, right) of nodes that are similar enough, with ``similarity``."""
-    left, right = (texts.select(F.col("node").alias(s), F.col("words").alias(f"{s}_words")) for s in ("left", "right"))
-    both = pairs.join(left, "left").join(right, "right")
+    """The pairs (node, other, star) with ``similarity`` (0 if too small) and ``apart``.
+
+    ``apart`` sketches how the node of a star differs from its centre: what it has more and what it lacks.
+    """
+    left = texts.select("node", F.col("words").alias("node_words"))
+    right = texts.select(F.col("node").alias("other"), F.col("words").alias("other_words"))
+    both = pairs.join(left, "node").join(right, "other")
 
     def compute(batch: pa.RecordBatch) -> list:
-        out = []
-        for one, two in zip(batch.column("left_words").to_pylist(), batch.column("right_words").to_pylist()):
-            a, b = (kmers(mixed(np.frombuffer(w, np.uint32).astype(np.uint64)), settings.kmer) for w in (one, two))
-            out.append(aligned(a, b, settings.similarity))
-        return [pa.array(out, pa.float64())]
+        found, apart = [], []
+        columns = (batch.column(c).to_pylist() for c in ("node_words", "other_words", "star"))
+        for one, two, star in zip(*columns):
+            a, b = _kmers_of(one, settings), _kmers_of(two, settings)
+            found.append(aligned(a, b, settings.similarity))
+            apart.append(_apart(a, b) if star else np.zeros(0, np.uint64))
+        sizes = np.array([len(x) for x in apart], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *apart])
+        return [pa.array(found, pa.float64()), lists(flat.view(np.int64), sizes, pa.int64())]
+
+    return add_columns(both, "similarity double, apart array<bigint>", compute).select(
+        "node", "other", "star", "similarity", "apart"
+    )
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    more, less = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+    out = _least(more, MORE, 1, 1)
+    # All that are unlike a centre lack the same of it; this tells only about those that are parts of it.
+    return np.concatenate((out, _least(less, LESS, 3, 2))) if 2 * len(more) < len(less) else out
+
 
-    found = add_columns(both, "similarity double", compute)
-    return found.select("left", "right", "similarity").filter("similarity > 0")
+@lru_cache(maxsize=1000)
+def _kmers_of(words: bytes, settings: OrderSettings) -> np.ndarray:
+    return kmers(mixed(np.frombuffer(words, np.uint32).astype(np.uint64)), settings.kmer)
 
 
 def _words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -163,44 +205,41 @@ def _words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> DataFrame:
-    """Links (left, right, similarity) between nodes (node, doc_id, sketches) that keep all classes connected."""
+    """Links (left, right) between nodes (node, doc_id, sketches) that keep all classes connected.
+
+    Two nodes that are alike, but not like their bucket's centre, share at least half of what sets
+    them apart from it. So the members of a large bucket meet again in buckets of these differences,
+    where independent edits of one text fall apart, and the next round has little to do.
+    """
     posts = nodes.select("node", F.explode("sketches").alias("bucket"))
-    shared = posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    open_ = settle(posts.join(settle(shared), "bucket"))
+    shared = settle(posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
+    open_ = settle(posts.join(shared, "bucket"))
     scores = settle(open_.groupBy("node").agg(F.sum("size").alias("score")))
-    wanted = nodes.select("doc_id", "node").join(scores.select("node"), "node")
-    texts = _words_of_nodes(docs, wanted)
-    links = None
+    texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(scores.select("node"), "node"))
+    tried, most = None, SMALL_BUCKET
     while True:
-        little = open_.filter(F.col("size") <= SMALL_BUCKET).select("bucket", "node")
-        pairs = (
-            little.withColumnRenamed("node", "left")
-            .join(little.withColumnRenamed("node", "right"), "bucket")
-            .filter("left < right")
-            .select("left", "right")
-        )
-        large = open_.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node")
-        centres = settle(
-            large.join(scores, "node")
-            .groupBy("bucket")
-            .agg(F.max(F.struct("score", "node")).getField("node").alias("centre"))
+        little = open_.filter(F.col("size") <= most).select("bucket", "node")
+        pairs = little.join(little.withColumnRenamed("node", "other"), "bucket").filter("node < other")
+        large = open_.filter(F.col("size") > most).select("bucket", "node")
+        best = F.max(F.struct("score", "node")).getField("node").alias("other")
+        centres = settle(large.join(scores, "node").groupBy("bucket").agg(best))
+        stars = large.join(centres, "bucket").filter("node != other")
+        new = (
+            pairs.select("node", "other", F.lit(False).alias("star"))
+            .unionByName(stars.select("node", "other", F.lit(True).alias("star")))
+            .groupBy("node", "other")
+            .agg(F.max("star").alias("star"))
         )
-        led = settle(large.join(centres, "bucket").filter("node != centre"))
-        stars = led.select(F.least("node", "centre").alias("left"), F.greatest("node", "centre").alias("right"))
-        tried = pairs.unionByName(stars).distinct()
-        if links is not None:
-            tried = tried.join(links.select("left", "right"), ["left", "right"], "left_anti")
-        found = settle(_verified(tried, texts, settings))
-        links = found if links is None else links.unionByName(found)
-        # Nodes like their bucket's centre are settled there; the others look for another centre.
-        ends = [F.least("node", "centre"), F.greatest("node", "centre")]
-        rest = led.join(
-            links, (ends[0] == links["left"]) & (ends[1] == links["right"]), "left_anti"
-        ).select("bucket", "node")
-        sizes = rest.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-        open_ = settle(rest.join(settle(sizes), "bucket"))
+        if tried is not None:
+            new = new.join(tried.select("node", "other"), ["node", "other"], "left_anti")
+        found = settle(_verified(new, texts, settings))
+        tried, most = found if tried is None else tried.unionByName(found), SMALL_LATER
+        differences = found.filter("star").select("node", "other", F.explode("apart").alias("sketch"))
+        posts = differences.select("node", F.xxhash64("other", "sketch").alias("bucket"))
+        shared = settle(posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
+        open_ = settle(posts.join(shared, "bucket"))
         if open_.isEmpty():
-            return links
+            return tried.filter("similarity > 0").select(F.col("node").alias("left"), F.col("other").alias("right"))
 
 
 def connected(links: DataFrame) -> DataFrame:
