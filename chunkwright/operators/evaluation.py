@@ -75,6 +75,31 @@ def judge_join(queries: DataFrame, judge_scores: DataFrame | None) -> DataFrame:
     return queries.join(one, "request_key", "left")
 
 
+def judge_requests(
+    queries: DataFrame,
+    options: Options,
+    mode: str = "llm",
+    answers: DataFrame | None = None,
+    judge_scores: DataFrame | None = None,
+) -> DataFrame:
+    """(query_key, query, answer, contexts): what ``mode`` sends to the judge and has no line in ``judge_scores``.
+
+    A line without a score is a judge that gave none; it is not asked again. In ``hybrid`` mode only the
+    escalated part of what the scores reject is sent.
+    """
+    asked = queries
+    if mode == "hybrid":
+        escalated = escalation_sample(F.col("request_key"), options)
+        asked = score_queries(queries, options).filter(~nonllm_accept(options) & escalated)
+    elif mode != "llm":
+        asked = queries.limit(0)
+    if judge_scores is not None:
+        asked = asked.join(judge_scores.select(F.col("query_key").alias("request_key")), "request_key", "left_anti")
+    return answer_join(asked.dropDuplicates(["request_key"]), answers).select(
+        F.col("request_key").alias("query_key"), "query", "answer", F.col("golden.chunk_text").alias("contexts")
+    )
+
+
 def judge_accept(options: Options) -> Column:
     good = F.col("judge_score") >= options.judge_threshold
     return F.coalesce(good, F.lit(options.on_missing_score == "accept"))

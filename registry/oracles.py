@@ -501,3 +501,13 @@ FROM gains
 ORACLES["target_bundles"] = (
     "SELECT lang, count(*) AS rows, 1 AS bundles_0, 3 AS bundles_1, 20 AS bundles_2 FROM documents GROUP BY lang"
 )
+ORACLES["judge_requests"] = _with(
+    "judged",
+    "SELECT DISTINCT request_key AS query_key, query, coalesce(answer, substr(chunk_text, 1, 256)) AS answer, "
+    "chunk_text AS context FROM judged WHERE NOT ok AND picked AND score IS NULL",
+)
+ORACLES["knn_ivf"] = _with(
+    "chunks",
+    "SELECT ord AS golden_ord, 3::BIGINT AS rows, true AS holds FROM chunks "
+    "UNION ALL SELECT -1, 3 * count(*), true FROM chunks",
+)

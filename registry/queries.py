@@ -12,7 +12,7 @@ from chunkwright.functions import keys, text, vectors
 from chunkwright.operators import bundles, duplicates, evaluation, extensions, hybrid, neighbors, sampling, validation
 from chunkwright.options import Options
 from chunkwright.plans import testset
-from chunkwright.session import fresh_dir
+from chunkwright.session import fresh_dir, settle
 from chunkwright.sources import chunks as sources
 from chunkwright.sources import incremental, sinks
 from chunkwright.streaming.ingest import stream_ingest as stream
@@ -250,8 +250,23 @@ def search_strategy(v: Views) -> DataFrame:
 
 @register
 def knn_ivf(v: Views) -> DataFrame:
+    """What holds for an approximate search: per row three others, ranked, none nearer than the true ones.
+
+    The row with ``golden_ord`` -1 says whether at least seven tenths of all true neighbours were found.
+    """
     options = replace(OPTIONS, ivf_nlist=16, ivf_nprobe=8)
-    return _neighbors(neighbors.knn_ivf(v.chunks, v.chunks, 3, options))
+    found = settle(neighbors.knn_ivf(v.chunks, v.chunks, 3, options))
+    exact = settle(neighbors.knn_join(v.chunks, v.chunks, 3, OPTIONS))
+    best = exact.select("golden_ord", "rank", F.col("sim").alias("best"))
+    per_row = found.join(best, ["golden_ord", "rank"]).groupBy("golden_ord").agg(
+        F.count("*").alias("rows"),
+        F.bool_and((F.col("ord") != F.col("golden_ord")) & (F.col("sim") <= F.col("best") + 1e-9)).alias("holds"),
+    )
+    hits = exact.join(found.select("golden_ord", "ord", F.lit(1).alias("hit")), ["golden_ord", "ord"], "left")
+    recall = hits.agg(
+        F.lit(-1).cast("bigint").alias("golden_ord"), F.count("*").alias("rows"), (F.count("hit") >= 0.7 * F.count("*")).alias("holds")
+    )
+    return per_row.unionByName(recall)
 
 
 @register
@@ -459,6 +474,13 @@ def answer_join(v: Views) -> DataFrame:
     return evaluation.answer_join(v.queries, v.answers).select(*ROW, "answer")
 
 
+@register
+def judge_requests(v: Views) -> DataFrame:
+    options = replace(OPTIONS, escalation_rate=0.5)
+    asked = evaluation.judge_requests(v.queries, options, "hybrid", v.answers, v.judge_scores)
+    return asked.select("query_key", "query", "answer", F.array_join("contexts", " ").alias("context"))
+
+
 @register
 def judge_accept(v: Views) -> DataFrame:
     judged = evaluation.judge_join(v.queries, v.judge_scores)
