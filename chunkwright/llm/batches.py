@@ -8,13 +8,24 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pandas.util import hash_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
 #: Bytes worked on at once by a task.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+
+
+#: Bytes of an Arrow batch between Spark and a worker.
+WIRE_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of the session are limited in bytes, as texts may be long; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = "".join(c for c in spark.conf.get(name) if c.isdigit() or c == "-")
+    if not 0 < int(digits) <= WIRE_BYTES:
+        spark.conf.set(name, str(WIRE_BYTES))
 
 
 def add_columns(
@@ -25,6 +36,7 @@ def add_columns(
     A column of ``df`` with the name of a new one (in any case) is replaced.
     ``compute`` gets the whole batch and returns one Arrow array per new field.
     """
+    bound_batches(df.sparkSession)
     new = T.StructType.fromDDL(fields)
     taken = {f.name.lower() for f in new}
     kept = [f for f in df.schema if f.name.lower() not in taken]
@@ -46,6 +58,7 @@ def small(batches: Iterator[pa.RecordBatch], batch_bytes: int = BATCH_BYTES) ->
         step = math.ceil(batch.num_rows / parts) if parts else 1
         for first in range(0, batch.num_rows, step):
             yield batch.slice(first, step)
+    pa.default_memory_pool().release_unused()  # workers live on, next to those of other stages
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
@@ -80,6 +93,8 @@ def word_hashes(column: pa.Array, lanes: int = 1, normal: bool = False) -> tuple
 
     Words are runs without ASCII white space; with ``normal``, of lower-cased letters and digits.
     """
+    from pandas.util import hash_array
+
     values, starts = flat_bytes(column)
     if normal:
         values = _TABLE[values]

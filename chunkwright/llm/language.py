@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import add_columns, lists, small
+from .batches import add_columns, bound_batches, lists, small
 
 BITS = 15
 ORDERS = 3
@@ -140,6 +140,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
         places = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int32()), pa.array(found[places])], names=["place", "n"])
 
+    bound_batches(docs.sparkSession)
     totals = docs.select("text").mapInArrow(count, "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
     out = np.zeros((1 << BITS) + 1, np.int64)
     found = totals.toArrow()

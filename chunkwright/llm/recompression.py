@@ -14,13 +14,14 @@ stands for itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .batches import add_columns, mixed, word_hashes
-from .repeats import Digests, Runs, Scheme, covered, least_in_ranges, runs_of_picks, text_of, with_repeats
+from .repeats import RESULT_BYTES, Digests, Runs, Scheme, covered, least_in_ranges, runs_of_picks, text_of, with_repeats
 
 WORDS = 13
 _PLACE = np.uint64((1 << 24) - 1)
@@ -128,15 +129,17 @@ def remove_repeated_words(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """
 
     def compute(batch: pa.RecordBatch) -> list:
-        kept, figures = [], []
-        for text, runs in zip(text_of(batch), batch.column("runs").to_pylist()):
-            words = text.split() if text else []
-            gone = covered(runs, len(words), size)
-            kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g) if gone.any() else b" ".join(words))
-            figures.append((len(words), int(gone.sum())))
-        texts = pa.array(kept, pa.binary()).cast(pa.string())
-        return [texts, *(pa.array([f[k] for f in figures], pa.int64()) for k in range(2))]
+        texts = [t.split() if t else [] for t in text_of(batch)]
+        lengths = np.array([len(words) for words in texts], np.int64)
+        gone = covered(batch, lengths, size)
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        removed = np.diff(np.concatenate(([0], np.cumsum(gone)))[ends])
+        left = [
+            b" ".join(compress(words, (~gone[at : at + len(words)]).tolist()) if lost else words)
+            for words, at, lost in zip(texts, ends.tolist(), removed.tolist())
+        ]
+        return [pa.array(left, pa.binary()).cast(pa.string()), *(pa.array(x, pa.int64()) for x in (lengths, removed))]
 
     found = with_repeats(docs, word_scheme(size))
-    out = add_columns(found, "kept string, n_words bigint, n_removed bigint", compute)
+    out = add_columns(found, "kept string, n_words bigint, n_removed bigint", compute, RESULT_BYTES)
     return out.select("doc_id", "kept", "n_words", "n_removed")

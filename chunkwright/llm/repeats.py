@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .batches import add_columns, as_bytes, mixed, small
+from .batches import add_columns, as_bytes, bound_batches, mixed, small
 
 _BASE = 0xD1B54A32D192ED03
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -107,6 +107,7 @@ class Scheme:
     runs: Callable[[pa.Array], Runs]
     cut: Callable[[bytes, list[tuple[int, int]]], list[bytes]]
     windows: Callable[[bytes, int], list[bytes]]
+    batch_bytes: int = 2 << 20
 
 
 #: Share of the documents in which frequent anchors are looked for. It decides where rows are sent, not what is found.
@@ -119,7 +120,7 @@ def _frequent(docs: DataFrame, scheme: Scheme) -> np.ndarray:
     """Anchors with more rows than a quarter of a usual task has; at most four times the number of tasks."""
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, scheme.batch_bytes):
             key = scheme.runs(batch.column("text")).key.view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
 
@@ -157,7 +158,7 @@ def _anchored(docs: DataFrame, scheme: Scheme, frequent: np.ndarray) -> DataFram
     """A row per run. One that repeats another of its batch is already known to (``n`` below zero)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, scheme.batch_bytes):
             found = scheme.runs(batch.column("text"))
             doc = batch.column("doc_id").to_numpy()[found.row]
             key, span = found.key.view(np.int64), found.span.view(np.int64)
@@ -298,6 +299,7 @@ def with_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
     are repeated. Rows with equal ids count as one document for what is earlier, and each gets the
     repeats found in any of them; ids are meant to be unique.
     """
+    bound_batches(docs.sparkSession)
     columns = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     named = columns.filter(F.col("doc_id").isNotNull())
     frequent = _frequent(named, scheme)
@@ -309,13 +311,25 @@ def with_repeats(docs: DataFrame, scheme: Scheme) -> DataFrame:
     return packed.join(runs, "doc_id", "left")
 
 
+#: Bytes of compressed rows with which a result is worked out at once.
+RESULT_BYTES = 1 << 20
+
+
 def text_of(batch: pa.RecordBatch) -> list[bytes | None]:
     return [None if p is None else _unpacked(p) for p in batch.column("packed").to_pylist()]
 
 
-def covered(runs: list[dict] | None, length: int, size: int) -> np.ndarray:
-    """Which of ``length`` tokens some repeated window covers."""
-    steps = np.zeros(length + 1, np.int64)
-    for r in runs or ():
-        np.add.at(steps, [min(r["start"], length), min(r["start"] + r["n"] + size - 1, length)], [1, -1])
-    return np.cumsum(steps)[:-1] > 0
+def covered(batch: pa.RecordBatch, lengths: np.ndarray, size: int) -> np.ndarray:
+    """Which tokens of the batch's rows, end to end, some repeated window covers."""
+    runs = batch.column("runs")
+    ends = runs.offsets.to_numpy()
+    flat = runs.values.slice(ends[0], ends[-1] - ends[0])
+    start, n = (flat.field(k).to_numpy().astype(np.int64) for k in range(2))
+    row = np.repeat(np.arange(len(lengths)), np.diff(ends))
+    base = np.concatenate(([0], np.cumsum(lengths)))
+    first = base[row] + np.minimum(start, lengths[row])
+    last = base[row] + np.minimum(start + n + size - 1, lengths[row])
+    room = int(base[-1]) + 1
+    steps = np.bincount(first, minlength=room).astype(np.int32)
+    steps -= np.bincount(last, minlength=room).astype(np.int32)
+    return np.cumsum(steps, dtype=np.int32)[:-1] > 0

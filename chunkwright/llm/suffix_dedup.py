@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .batches import add_columns, flat_bytes, mixed
-from .repeats import Digests, Runs, Scheme, covered, runs_of_picks, text_of, with_repeats
+from .repeats import RESULT_BYTES, Digests, Runs, Scheme, covered, runs_of_picks, text_of, with_repeats
 
 LENGTH = 100
 GRAM = 32
@@ -82,14 +82,19 @@ def remove_repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRA
     """
 
     def compute(batch: pa.RecordBatch) -> list:
-        kept, figures = [], []
-        for text, runs in zip(text_of(batch), batch.column("runs").to_pylist()):
-            values = np.frombuffer(text or b"", np.uint8)
-            gone = covered(runs, len(values), length)
-            kept.append(values[~gone].tobytes())
-            figures.append((len(values), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())))
-        return [pa.array(kept, pa.binary()), *(pa.array([f[k] for f in figures], pa.int64()) for k in range(3))]
+        texts = [t or b"" for t in text_of(batch)]
+        values = np.frombuffer(b"".join(texts), np.uint8)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        gone = covered(batch, lengths, length)
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        begins = gone & ~np.concatenate(([False], gone[:-1]))
+        begins[ends[:-1][lengths > 0]] = gone[ends[:-1][lengths > 0]]
+        removed, spans = (np.diff(np.append(np.int32(0), np.cumsum(x, dtype=np.int32))[ends]) for x in (gone, begins))
+        kept_ends = np.concatenate(([0], np.cumsum(lengths - removed))).astype(np.int32)
+        buffers = [None, pa.py_buffer(kept_ends.tobytes()), pa.py_buffer(values[~gone].tobytes())]
+        kept = pa.Array.from_buffers(pa.binary(), len(texts), buffers)
+        return [kept, *(pa.array(x, pa.int64()) for x in (lengths, removed, spans))]
 
     found = with_repeats(docs, byte_scheme(length, gram))
-    out = add_columns(found, "kept binary, n_bytes bigint, n_removed bigint, n_spans bigint", compute)
+    out = add_columns(found, "kept binary, n_bytes bigint, n_removed bigint, n_spans bigint", compute, RESULT_BYTES)
     return out.select("doc_id", "kept", "n_bytes", "n_removed", "n_spans")
