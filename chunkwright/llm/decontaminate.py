@@ -21,20 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import add_columns, as_bytes
+from .batches import NORMAL, add_columns, as_bytes
 
 #: UTF-8 bytes of item text in one automaton; the only thing that is broadcast.
 BLOCK_BYTES = 2 << 20
-#: Bytes that are no part of a word become blanks, A-Z lower case, all else stays.
-_NORMAL = bytes(
-    b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
-)
 _WORD = re.compile(rb"[^ ]+")
 
 
 def words_of(text: bytes | None) -> list[bytes]:
     """Lower-cased words of a UTF-8 text; none for null."""
-    return text.translate(_NORMAL).split() if text else []
+    return text.translate(NORMAL).split() if text else []
 
 
 class Automaton:
@@ -170,6 +166,9 @@ def _blocks(items: DataFrame, block_bytes: int):
         yield [(r.name, bytes(r.text)) for r in part.toLocalIterator()]
 
 
+FOUND = "n_words bigint, spans array<int>, item_ids array<string>"
+
+
 def find_contamination(
     docs: DataFrame, items: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -181,40 +180,42 @@ def find_contamination(
     marks words but is not listed. Repeated rows each get their own result. Input columns named
     like the new ones are replaced, others kept.
     """
+    return _through_blocks(docs, items, window, block_bytes, FOUND, lambda batch, found: found)
+
+
+def _through_blocks(docs: DataFrame, items: DataFrame, window: int, block_bytes: int, fields: str, finish) -> DataFrame:
+    """``docs`` past one block of items after the other; ``finish`` turns the last one's findings into ``fields``."""
     context = docs.sparkSession.sparkContext
-    fields = "n_words bigint, spans array<int>, item_ids array<string>"
-    out = None
-    for block in _blocks(items, block_bytes):
+    blocks = _blocks(items, block_bytes)
+    block, first, out = next(blocks, []), True, docs
+    while block is not None:
+        following = next(blocks, None)
         shared = context.broadcast(Automaton(block, window))
 
-        def compute(batch: pa.RecordBatch, shared=shared, first=out is None) -> list:
-            automaton = shared.value
-            counts, spans, names = [], [], []
-            before = repeat(([], ()))
-            if not first:
-                before = zip(batch.column("spans").to_pylist(), batch.column("item_ids").to_pylist())
-            for text, (old, known) in zip(as_bytes(batch.column("text")), before):
-                words = words_of(text)
-                found, hits = automaton.spans(words)
-                counts.append(len(words))
-                spans.append(_merged(old, found))
-                names.append(sorted({*known, *(h for h in hits if h is not None)}))
-            return [
-                pa.array(counts, pa.int64()),
-                pa.array(spans, pa.list_(pa.int32())),
-                pa.array(names, pa.list_(pa.string())),
-            ]
-
-        out = add_columns(docs if out is None else out, fields, compute)
-    return add_columns(docs, fields, _nothing) if out is None else out
-
-
-def _nothing(batch: pa.RecordBatch) -> list:
-    n = batch.num_rows
+        def compute(batch: pa.RecordBatch, shared=shared, first=first, last=following is None) -> list:
+            found = _search(batch, shared.value, first)
+            return finish(batch, found) if last else found
+
+        out = add_columns(out, fields if following is None else FOUND, compute)
+        block, first = following, False
+    return out
+
+
+def _search(batch: pa.RecordBatch, automaton: Automaton, first: bool) -> list:
+    counts, spans, names = [], [], []
+    before = repeat(([], ()))
+    if not first:
+        before = zip(batch.column("spans").to_pylist(), batch.column("item_ids").to_pylist())
+    for text, (old, known) in zip(as_bytes(batch.column("text")), before):
+        words = words_of(text)
+        found, hits = automaton.spans(words)
+        counts.append(len(words))
+        spans.append(_merged(old, found))
+        names.append(sorted({*known, *(h for h in hits if h is not None)}))
     return [
-        pa.array([len(words_of(t)) for t in as_bytes(batch.column("text"))], pa.int64()),
-        pa.array([[]] * n, pa.list_(pa.int32())),
-        pa.array([[]] * n, pa.list_(pa.string())),
+        pa.array(counts, pa.int64()),
+        pa.array(spans, pa.list_(pa.int32())),
+        pa.array(names, pa.list_(pa.string())),
     ]
 
 
@@ -239,25 +240,23 @@ def remove_contamination(
     around them stays. Documents without a span, null and empty ones included, stay as they are.
     """
 
-    def compute(batch: pa.RecordBatch) -> list:
+    def cleaned(batch: pa.RecordBatch, found: list) -> list:
         texts, covered = [], []
-        for text, n, spans in zip(
-            as_bytes(batch.column("text")), batch.column("n_words").to_pylist(), batch.column("spans").to_pylist()
-        ):
+        for text, spans in zip(as_bytes(batch.column("text")), found[1].to_pylist()):
             covered.append(sum(spans[1::2]) - sum(spans[::2]))
             if spans:
-                at = [m.span() for m in _WORD.finditer(text.translate(_NORMAL))]
+                at = [m.span() for m in _WORD.finditer(text.translate(NORMAL))]
                 keep, done = [], 0
                 for a, b in zip(spans[::2], spans[1::2]):
                     keep.append(text[done : at[a][0]])
                     done = at[b - 1][1]
                 text = b"".join([*keep, text[done:]])
             texts.append(text)
-        return [pa.array(texts, pa.binary()).cast(pa.string()), pa.array(covered, pa.int64())]
-
-    columns = docs.columns
-    found = find_contamination(docs, items, window)
-    cleaned = add_columns(found, "text string, n_hit bigint", compute)
-    return cleaned.filter(F.col("n_hit") <= max_coverage * F.col("n_words")).select(
-        *(c for c in columns if c in cleaned.columns)
-    )
+        return [*found, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(covered, pa.int64())]
+
+    fields = f"{FOUND}, text string, _n_hit bigint"
+    # Columns of the input with the names of findings step aside meanwhile.
+    aside = {c: f"_own_{c}" for c in docs.columns if c.lower() in ("n_words", "spans", "item_ids", "_n_hit")}
+    out = _through_blocks(docs.withColumnsRenamed(aside), items, window, BLOCK_BYTES, fields, cleaned)
+    kept = out.filter(F.col("_n_hit") <= max_coverage * F.col("n_words"))
+    return kept.select(*(F.col(aside.get(c, c)).alias(c) for c in docs.columns))

@@ -288,8 +288,7 @@ def near_duplicates(docs: DataFrame, settings: OrderSettings = OrderSettings())
 def keep_one(docs: DataFrame, settings: OrderSettings = OrderSettings()) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest doc_id.
 
-    Rows with a null id all stay. Repeated rows with the id that stays are one class, of which one
-    row is kept.
+    Rows with a null id all stay, and so do all rows with the id that stays; ids are meant to be unique.
     """
     classes = near_duplicates(docs, settings)
     kept = classes.filter(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
