@@ -121,10 +121,12 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
 def _cut(out_p: np.ndarray, out_u: np.ndarray, prior: float) -> float:
     """Output above which a row counts as toxic: least corrected risk, counting each wrong row as one."""
     values = np.unique(np.concatenate((out_p, out_u)))
+    values = np.append(values, values[-1] + 2)  # nothing is toxic
     missed = np.searchsorted(np.sort(out_p), values) / len(out_p)
     called = 1 - np.searchsorted(np.sort(out_u), values) / len(out_u)
-    best = int(np.argmin(prior * missed + np.maximum(0, called - prior * (1 - missed))))
-    return float((values[best] + values[best - 1]) / 2) if best else float(values[0]) - 1.0
+    risk = prior * missed + np.maximum(0, called - prior * (1 - missed))
+    best = len(values) - 1 - int(np.argmin(risk[::-1]))  # of equal ones the cut that calls fewer rows toxic
+    return float((values[best] + values[max(best - 1, 0)]) / 2) if best else float(values[0]) - 1.0
 
 
 def _sampled(rows: DataFrame, most: int) -> DataFrame:

@@ -38,6 +38,12 @@ def test_risk_is_corrected_for_toxic_rows_among_the_unlabelled():
     assert model.score(b"bad") > 0.7 > model.score(b"good")
 
 
+def test_without_a_telling_word_nothing_is_toxic():
+    rows = [features(f"word{k}".encode()) for k in range(40)]
+    model = train(rows[:10], rows, 0.2, PuSettings())
+    assert model.score(b"word1") < 0.7 and model.score(b"") < 0.7
+
+
 def test_held_out_labels_are_never_used(spark):
     docs, labels = corpus(400)
     table = spark.createDataFrame(docs, DOCS)
