@@ -146,3 +146,37 @@ def test_sinks(spark, tmp_path):
     sinks.write_ground_truth(rows, str(tmp_path / "truth"))
     lines = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "truth")).collect()]
     assert {"doc_id": "d", "chunk_id": "c", "chunk_text": "t", "reject_reason": None} in lines
+
+
+def test_a_file_rewritten_during_a_load_is_read_again(spark, tmp_path, monkeypatch):
+    folder, state = tmp_path / "in", str(tmp_path / "state")
+    folder.mkdir()
+    file = folder / "a.jsonl"
+
+    def write(text, age):
+        file.write_text(json.dumps({"doc_id": "d", "chunk_id": "c", "chunk": text, "embedding": [1.0]}) + "\n")
+        os.utime(file, (1_700_000_000 + age, 1_700_000_000 + age))
+
+    write("old text", 0)
+    settle, calls = incremental.settle, []
+
+    def settle_then_rewrite(df):
+        done = settle(df)
+        if not calls:  # right after the listing
+            write("the new text", 60)
+        calls.append(1)
+        return done
+
+    monkeypatch.setattr(incremental, "settle", settle_then_rewrite)
+    incremental.incremental_load(spark, str(folder), state, 0)
+    monkeypatch.undo()
+    found = incremental.incremental_load(spark, str(folder), state, 1).collect()
+    assert [r["chunk_text"] for r in found] == ["the new text"]
+    manifest = spark.read.parquet(f"{state}/manifest/version=1").collect()
+    assert [r["batch"] for r in manifest] == [1]
+
+
+def test_missing_vectors_have_no_width(spark):
+    rows = [("d", "c1", [1.0, 2.0]), ("d", "c2", None)]
+    table = spark.createDataFrame(rows, "doc_id string, chunk_id string, embedding array<double>")
+    assert chunks.check_dims(table, 2) == 2
