@@ -8,6 +8,8 @@ entity of the corpus, is drawn again until all are distinct. Everything is SQL e
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +18,12 @@ from ..session import settle
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 MALE = ("Mr", "Herr", "Señor", "Sr", "Monsieur", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Sra", "Madame", "Mme", "г-жа")
+KEY_MARKS = ("AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-")
 _TITLE = "(?:" + "|".join(MALE + FEMALE) + r")\.? "
 #: Type and pattern, the first that matches counts.
 KINDS = (
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}"),
-    ("secret", r"(?<!\w)(?:[0-9a-f]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?!\w)"),
+    ("secret", r"(?<!\w)(?:(?=[a-f]*[0-9])[0-9a-f]{32,128}|AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?!\w)"),
     ("ip", rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("phone", r"(?<!\w)(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w)"),
@@ -48,6 +51,12 @@ CYRILLIC = ("ба", "ве", "ги", "до", "жа", "зе", "ки", "ло", "м
 ENDINGS = {("male", False): "rt", ("female", False): "na", ("male", True): "слав", ("female", True): "на"}
 
 
+def may_hold_entity(text: Column) -> Column:
+    """Cheap and true of every text that holds one: a pattern needs a digit, an @, a title or the mark of a key."""
+    named = [F.contains(text, F.lit(part)) for part in MALE + FEMALE + KEY_MARKS]
+    return reduce(lambda a, b: a | b, named, text.rlike("[0-9@]"))
+
+
 def kind_of(entity: Column) -> Column:
     """Type of a matched string."""
     out = F.lit(None).cast("string")
@@ -207,7 +216,8 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     rows get the same replacement. Columns ``n_entities`` of the input are replaced, others kept.
     """
     kept = [c for c in docs.columns if c.lower() != "n_entities"]
-    hit = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
+    text = F.col("text")
+    hit = F.coalesce(F.when(may_hold_entity(text), text.rlike(PATTERN)), F.lit(False))
     plain = docs.filter(~hit).select(*kept, F.lit(0).cast("bigint").alias("n_entities"))
     text_key = [F.xxhash64("text").alias("_a"), F.xxhash64(F.lit(1), "text").alias("_b")]
     found = docs.filter(hit)
