@@ -27,9 +27,9 @@ from .batches import add_columns, lists
 #: Model files above this size are refused; the model is the only thing that is broadcast.
 MODEL_BYTES = 64 << 20
 #: Bytes of rows worked on at once; the more, the fewer words are met again.
-BATCH_BYTES = 12 << 20
+BATCH_BYTES = 6 << 20
 #: Words a worker keeps at most; beyond that it starts anew.
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 250_000
 #: Bytes of text handed to the encoder at once.
 SLICE_BYTES = 1 << 18
 MARK = "▁"
