@@ -211,16 +211,17 @@ def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> Da
     them apart from it. So the members of a large bucket meet again in buckets of these differences,
     where independent edits of one text fall apart, and the next round has little to do.
     """
-    posts = nodes.select("node", F.explode("sketches").alias("bucket"))
-    shared = settle(posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
-    open_ = settle(posts.join(shared, "bucket"))
+    posts = nodes.select("node", F.lit(False).alias("linked"), F.explode("sketches").alias("bucket"))
+    open_ = _open(posts)
     scores = settle(open_.groupBy("node").agg(F.sum("size").alias("score")))
     texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(scores.select("node"), "node"))
     tried, most = None, SMALL_BUCKET
     while True:
-        little = open_.filter(F.col("size") <= most).select("bucket", "node")
-        pairs = little.join(little.withColumnRenamed("node", "other"), "bucket").filter("node < other")
-        large = open_.filter(F.col("size") > most).select("bucket", "node")
+        little = open_.filter(F.col("size") <= most).select("bucket", "node", "linked")
+        others = little.withColumnsRenamed({"node": "other", "linked": "other_linked"})
+        # Two nodes that are like the same centre are connected already.
+        pairs = little.join(others, "bucket").filter("node < other AND NOT (linked AND other_linked)")
+        large = open_.filter(F.col("size") > most).select("bucket", "node", "linked")
         best = F.max(F.struct("score", "node")).getField("node").alias("other")
         centres = settle(large.join(scores, "node").groupBy("bucket").agg(best))
         stars = large.join(centres, "bucket").filter("node != other")
@@ -234,14 +235,20 @@ def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> Da
             new = new.join(tried.select("node", "other"), ["node", "other"], "left_anti")
         found = settle(_verified(new, texts, settings))
         tried, most = found if tried is None else tried.unionByName(found), SMALL_LATER
-        differences = found.filter("star").select("node", "other", F.explode("apart").alias("sketch"))
-        posts = differences.select("node", F.xxhash64("other", "sketch").alias("bucket"))
-        shared = settle(posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
-        open_ = settle(posts.join(shared, "bucket"))
+        differences = found.filter("star").select(
+            "node", "other", (F.col("similarity") > 0).alias("linked"), F.explode("apart").alias("sketch")
+        )
+        open_ = _open(differences.select("node", "linked", F.xxhash64("other", "sketch").alias("bucket")))
         if open_.isEmpty():
             return tried.filter("similarity > 0").select(F.col("node").alias("left"), F.col("other").alias("right"))
 
 
+def _open(posts: DataFrame) -> DataFrame:
+    """(bucket, node, linked, size) of the buckets that hold two nodes not yet connected."""
+    sizes = posts.groupBy("bucket").agg(F.count("*").alias("size"), F.count_if(~F.col("linked")).alias("loose"))
+    return settle(posts.join(settle(sizes.filter("size > 1 AND loose > 0").select("bucket", "size")), "bucket"))
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected part of ``links`` (left, right)."""
     edges = settle(
