@@ -232,15 +232,24 @@ def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> Da
             .agg(F.max("star").alias("star"))
         )
         if tried is not None:
-            new = new.join(tried.select("node", "other"), ["node", "other"], "left_anti")
+            # A pair tried in a small bucket has no differences yet; a star needs them.
+            seen = tried.select("node", "other", F.col("star").alias("seen"))
+            of_pair = [new[c] == seen[c] for c in ("node", "other")]
+            new = new.join(seen, [*of_pair, seen["seen"] | ~new["star"]], "left_anti")
         found = settle(_verified(new, texts, settings))
+        apart = found.filter("star")
+        if tried is not None:
+            # Members that met this centre before meet those that meet it now.
+            again = stars.select("node", "other").distinct()
+            apart = apart.unionByName(tried.filter("star").join(again, ["node", "other"], "left_semi"))
         tried, most = found if tried is None else tried.unionByName(found), SMALL_LATER
-        differences = found.filter("star").select(
+        differences = apart.select(
             "node", "other", (F.col("similarity") > 0).alias("linked"), F.explode("apart").alias("sketch")
         )
         open_ = _open(differences.select("node", "linked", F.xxhash64("other", "sketch").alias("bucket")))
         if open_.isEmpty():
-            return tried.filter("similarity > 0").select(F.col("node").alias("left"), F.col("other").alias("right"))
+            links = tried.filter("similarity > 0").select(F.col("node").alias("left"), F.col("other").alias("right"))
+            return links.distinct()  # a pair may have been tried twice, the second time for its differences
 
 
 def _open(posts: DataFrame) -> DataFrame:

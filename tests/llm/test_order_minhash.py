@@ -123,3 +123,24 @@ def test_connected_parts(spark):
                                   "left struct<a bigint, b bigint>, right struct<a bigint, b bigint>")
     found = {r.node.a: r.label.a for r in om.connected(links).collect()}
     assert found == {**{k: 1 for k in range(1, 31)}, 100: 100, 102: 100, 103: 100}
+
+
+def unique(name, count):
+    return [f"{name}{k}" for k in range(count)]
+
+
+def links_of(spark, texts, buckets):
+    """Links between texts (number: words) that share the given buckets (lists of numbers)."""
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], SCHEMA)
+    posts = [((k, 0), k, [b for b, members in enumerate(buckets) if k in members]) for k in texts]
+    nodes = spark.createDataFrame(posts, "node struct<a bigint, b bigint>, doc_id bigint, sketches array<bigint>")
+    return {tuple(sorted((r.left.a, r.right.a))) for r in om.find_links(docs, nodes, om.OrderSettings()).collect()}
+
+
+def test_pair_of_a_small_bucket_still_gets_its_differences(spark):
+    """1 and 3 share a small bucket at first; later 3 is the centre of the bucket where 1 has to meet 2."""
+    body = unique("p", 200)
+    texts = {1: body + unique("a", 3), 2: body + unique("b", 3), 3: body + unique("r3x", 60), 4: unique("z", 200)}
+    texts |= {k: body + unique(f"o{k}x", 56) for k in range(5, 205)}
+    buckets = [list(texts), [1, 3], [3, 4, *range(5, 15)], [4, *range(20, 25)]]
+    assert links_of(spark, texts, buckets) == {(1, 2)}
