@@ -30,8 +30,8 @@ from .batches import add_columns, lists, mixed, word_hashes
 #: Nodes of a bucket up to which all pairs are candidates, in the first round and in later ones;
 #: larger buckets go through rounds.
 SMALL_BUCKET, SMALL_LATER = 24, 40
-#: Sketches of what a node has more than a centre, and of what it lacks.
-MORE, LESS = 10, 6
+#: Sketches of how a node differs from a centre: at least, and the chance that two alike nodes share none.
+LEAST, MISSED = 10, 1e-6
 
 
 @dataclass(frozen=True)
@@ -83,16 +83,12 @@ def sketch(found: np.ndarray, settings: OrderSettings) -> np.ndarray:
 _MOST = np.uint64((1 << 64) - 1)
 
 
-def _least(found: np.ndarray, count: int, depth: int, salt: int) -> np.ndarray:
+def _least(found: np.ndarray, count: int, salt: int) -> np.ndarray:
     """Sketches of a set of k-mers without order; none if it is empty."""
     if not len(found):
         return np.zeros(0, np.uint64)
     values = mixed(found ^ np.uint64(salt))[None, :] * _factors(count)[:, None]
-    values.sort(axis=1)
-    out = _factors(count) ^ np.uint64(salt)
-    for k in range(min(depth, values.shape[1])):
-        out = mixed(out + values[:, k])
-    return out
+    return mixed((_factors(count) ^ np.uint64(salt)) + values.min(axis=1))
 
 
 def _factors(count: int) -> np.ndarray:
@@ -169,7 +165,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, settings: OrderSettings) -> Da
         for one, two, star in zip(*columns):
             a, b = _kmers_of(one, settings), _kmers_of(two, settings)
             found.append(aligned(a, b, settings.similarity))
-            apart.append(_apart(a, b) if star else np.zeros(0, np.uint64))
+            apart.append(_apart(a, b, settings.similarity) if star else np.zeros(0, np.uint64))
         sizes = np.array([len(x) for x in apart], np.int64)
         flat = np.concatenate([np.zeros(0, np.uint64), *apart])
         return [pa.array(found, pa.float64()), lists(flat.view(np.int64), sizes, pa.int64())]
@@ -179,11 +175,24 @@ def _verified(pairs: DataFrame, texts: DataFrame, settings: OrderSettings) -> Da
     )
 
 
-def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _apart(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Sketches of how ``a`` differs from the centre ``b``.
+
+    Of what ``a`` has more than the centre, a node like ``a`` lacks at most ``(1 - least) * len(a)``:
+    a sketch of it misses with that over ``len(more)`` at most. Of the whole difference, more and
+    less, two nodes that are alike but unlike the centre share ``least / (2 + least)`` or more. The
+    whole is told only where the first is the worse: what texts far from a centre lack is the same.
+    """
     more, less = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
-    out = _least(more, MORE, 1, 1)
-    # All that are unlike a centre lack the same of it; this tells only about those that are parts of it.
-    return np.concatenate((out, _least(less, LESS, 3, 2))) if 2 * len(more) < len(less) else out
+    most = 1 - least / (2 + least)
+    miss = (1 - least) * len(a) / max(len(more), 1)
+    if miss <= most:
+        return _least(more, _sketches(miss), 1)
+    return np.concatenate((_least(more, _sketches(most), 1), _least(np.concatenate((more, less)), _sketches(most), 2)))
+
+
+def _sketches(miss: float) -> int:
+    return max(LEAST, int(np.ceil(np.log(MISSED) / np.log(miss)))) if miss > 0 else LEAST
 
 
 @lru_cache(maxsize=1000)
@@ -207,8 +216,8 @@ def _words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> DataFrame:
     """Links (left, right) between nodes (node, doc_id, sketches) that keep all classes connected.
 
-    Two nodes that are alike, but not like their bucket's centre, share at least half of what sets
-    them apart from it. So the members of a large bucket meet again in buckets of these differences,
+    Two nodes that are alike, but not like their bucket's centre, share at least two sevenths of what
+    sets them apart from it (at similarity 0.8, see :func:`_apart`). So the members of a large bucket meet again in buckets of these differences,
     where independent edits of one text fall apart, and the next round has little to do.
     """
     posts = nodes.select("node", F.lit(False).alias("linked"), F.explode("sketches").alias("bucket"))

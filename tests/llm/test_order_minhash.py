@@ -144,3 +144,24 @@ def test_pair_of_a_small_bucket_still_gets_its_differences(spark):
     texts |= {k: body + unique(f"o{k}x", 56) for k in range(5, 205)}
     buckets = [list(texts), [1, 3], [3, 4, *range(5, 15)], [4, *range(20, 25)]]
     assert links_of(spark, texts, buckets) == {(1, 2)}
+
+
+def test_pair_that_lacks_a_passage_of_the_centre(spark):
+    """1 and 2 have own headers and both lack 80 words of the centre 3, which is unlike either."""
+    body = unique("p", 420)
+    texts = {1: unique("a", 40) + body, 2: unique("b", 40) + body, 3: body + unique("r", 80)}
+    texts |= {k: unique(f"o{k}x", 200) for k in range(5, 35)}
+    buckets = [list(texts), [3, *range(5, 15)]]
+    assert links_of(spark, texts, buckets) == {(1, 2)}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_families_that_lack_a_passage_against_brute_force(spark, seed):
+    rng, rows = random.Random(seed), []
+    body, passage = unique("p", 105), unique("r", 20)
+    rows += [edited(rng, body + passage, rng.randint(0, 1)) for _ in range(14)]
+    rows += [unique(f"h{k}x", rng.randint(7, 11)) + body for k in range(16)]
+    rng.shuffle(rows)
+    rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
+    found = {r.doc_id: r.class_id for r in om.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == brute(rows, 0.8)
