@@ -271,21 +271,34 @@ def _by_word(texts: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[
     return flat, totals[ends[1:]] - totals[ends[:-1]], wrong[ends[1:]] == wrong[ends[:-1]]
 
 
+def _agrees(ids: pa.Array, texts: pa.Array, data: bytes, threads: int) -> list[bool]:
+    """Whether the other library gives these ids for the whole texts."""
+    same, at = [], 0
+    for part in _slices(texts.to_pylist()):
+        own = ids.slice(at, len(part)).to_pylist()
+        same += map(eq, own, _reference(data).encode(part, num_threads=threads))
+        at += len(part)
+    return same
+
+
 def _encoded(column: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[pa.Array, pa.Array]:
     texts, model = pc.fill_null(column, ""), _model(data)
     if model.splits_at_blanks and model.dummy_prefix and not model.charsmap:
-        odd = pc.match_substring_regex(texts, r"  |\A | \z").to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, rf"  |\A | \z|{MARK}").to_numpy(zero_copy_only=False)
     else:
         odd = np.ones(len(texts), bool)
     parts = [
-        _by_word(texts.filter(pa.array(~odd)), data, threads, parity),
+        _by_word(texts.filter(pa.array(~odd)), data, threads, False),
         _coded(texts.filter(pa.array(odd)).to_pylist(), data, threads, parity),
     ]
     place = np.empty(len(texts), np.int64)
     place[np.concatenate((np.flatnonzero(~odd), np.flatnonzero(odd)))] = np.arange(len(texts))
     ids = pa.concat_arrays([lists(flat, sizes, pa.int32()) for flat, sizes, _ in parts]).take(pa.array(place))
     null = column.is_null()
-    same = pa.array(np.concatenate([p[2] for p in parts])[place])
+    agreed = np.concatenate([p[2] for p in parts])[place]
+    if parity:  # words put together are compared as whole texts
+        agreed[~odd] = _agrees(ids.filter(pa.array(~odd)), texts.filter(pa.array(~odd)), data, threads)
+    same = pa.array(agreed)
     return pc.if_else(null, pa.scalar(None, ids.type), ids), pc.if_else(null, None, same)
 
 

@@ -76,3 +76,20 @@ def test_models_that_are_refused():
         own.Model.parse(message((1, piece)))
     with pytest.raises(ValueError):
         own.Model.parse(message((2, message((3, 3)))))
+
+
+def test_whole_texts_are_compared(monkeypatch):
+    data = open(MODEL, "rb").read()
+    reference = sentencepiece.SentencePieceProcessor(model_proto=data)
+    texts = ["x▁ 1", "plain words", "", "one"]
+    ids, same = own._encoded(own.pa.array([*texts, None]), data, 1, True)
+    assert ids.to_pylist() == [*reference.encode(texts), None]
+    assert same.to_pylist() == [True] * 4 + [None]
+    split = own._by_word
+
+    def faulty(*args):
+        flat, sizes, agreed = split(*args)
+        return flat[::-1].copy(), sizes, agreed
+
+    monkeypatch.setattr(own, "_by_word", faulty)
+    assert not all(own._encoded(own.pa.array(texts[1:]), data, 1, True)[1].to_pylist())
