@@ -125,4 +125,44 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
 FROM figures
 """
 
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_recompression": OP4, "op6_suffix_dedup": OP6, "op9_line_rules": OP9}
+_NEAREST = """
+a{r} AS MATERIALIZED (
+  SELECT rid, vec_id, q, c, d FROM (
+    SELECT rid, vec_id, v.q, c, list_sum(list_transform(list_zip(v.q, m.q), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM v, c{r} m
+  ) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, c) = 1
+)"""
+
+_MOVED = """
+c{n} AS MATERIALIZED (
+  SELECT c, coalesce(new, q) AS q FROM c{r} LEFT JOIN (
+    SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY i) AS new FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT c, unnest(q) AS x, unnest(generate_series(1, 64)) AS i FROM a{r}) GROUP BY c, i
+    ) GROUP BY c
+  ) USING (c)
+)"""
+
+OP11 = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, sha256('2:' || vec_id) AS h,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, q) - 1 AS c, q FROM v
+  QUALIFY row_number() OVER (ORDER BY h NULLS LAST, q) <= 40
+),"""
+    + ",".join(_NEAREST.format(r=r) + "," + _MOVED.format(r=r, n=r + 1) for r in range(5))
+    + ","
+    + _NEAREST.format(r=5)
+    + """
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance,
+       (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c5.q, ',')) AS centroid_sha256
+FROM a5 JOIN c5 USING (c)
+"""
+)
+
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1, "op4_recompression": OP4, "op6_suffix_dedup": OP6, "op9_line_rules": OP9, "op11_clusters": OP11}

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import language
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .order_minhash import near_duplicates
+from .pivot_clusters import cluster
 from .recompression import remove_repeated_words
 from .sentencepiece import encode, share_model
 from .sharding import shuffle_to_shards
@@ -123,6 +124,19 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    assigned, centres = cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.concat_ws(",", F.expr("transform(centroid, x -> CAST(x AS STRING))")), 256)
+    figures = centres.select(
+        "cluster",
+        F.col("inertia").alias("cluster_inertia"),
+        F.sum("inertia").over(Window.partitionBy(F.lit(0))).alias("inertia"),
+        digest.alias("centroid_sha256"),
+    )
+    rows = assigned.join(F.broadcast(figures), "cluster")  # a row for each cluster
+    return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -134,4 +148,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_clusters": op11_clusters,
 }
