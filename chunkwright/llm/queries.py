@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import language
+from .alignment import link_scores
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .order_minhash import near_duplicates
@@ -137,6 +138,15 @@ def op11_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
 
 
+#: The byte-level tokenizer of the registered queries; a parameter of the operators.
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return link_scores(docs, share_model(docs, BYTE_MODEL), share_model(docs, MODEL))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -149,4 +159,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_rules": op9_line_rules,
     "op10_toxicity": op10_toxicity,
     "op11_clusters": op11_clusters,
+    "op12_alignment": op12_alignment,
 }

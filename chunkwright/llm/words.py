@@ -1,13 +1,17 @@
 """Texts cut into words that a tokenizer treats alike wherever they stand, and what is known of such words.
 
-A word starts at a blank that follows a character other than white space, and takes the blank along.
+A word starts at a blank that follows a character other than white space, and takes the blank along;
+a blank that ends a text stays with what is before it.
 Byte-level patterns never reach over such a place, nor do pieces that hold the blank marker only at
 their start; so the ids of a text are those of its words end to end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +19,9 @@ import pyarrow.compute as pc
 
 from .batches import flat_bytes
 
+#: Characters of words handed to a tokenizer as one text.
+JOINED = 1 << 16
+
 
 def cut(column: pa.Array, lead: str = "") -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words end to end, as a dictionary array, and where each row's words start, then the end.
@@ -35,6 +42,7 @@ def cut(column: pa.Array, lead: str = "") -> tuple[pa.DictionaryArray, np.ndarra
     blank = (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
     blank |= (three >= 0xE1) & (three <= 0xE3) & ((two == 0x80) | (two == 0x81) | (two == 0x9A))
     first[far[blank]] = False
+    first[starts[1:] - 1] = False
     first[starts] = True
     first[-1] = False
     begins = np.flatnonzero(first)
@@ -101,3 +109,68 @@ class Known:
         used = counts[places]
         starts = (np.cumsum(counts) - counts)[places]
         return self.values(output)[ranges(starts, used)], used
+
+
+def _byte_letters() -> dict[str, int]:
+    """The character that stands for each byte in the vocabulary of a byte-level tokenizer."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class ByteTokens:
+    """A byte-level tokenizer and the bytes of its ids."""
+
+    def __init__(self, data: bytes, special: bool):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_buffer(data)
+        self.tokenizer.encode_special_tokens = not special
+        letters = _byte_letters()
+        added = {t["id"]: t["content"].encode() for t in json.loads(data)["added_tokens"]}
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        shown = {i: added[i] if i in added else bytes(letters[c] for c in name) for name, i in names.items()}
+        self.bytes = pa.array([shown.get(i, b"") for i in range(max(shown) + 1)], pa.binary())
+        self.lengths = pc.binary_length(self.bytes).to_numpy().astype(np.int64)
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words end to end, and their counts.
+
+        Words that may follow one another in a text are encoded as one, and cut by the bytes of the
+        tokens; a call for each costs several times as much.
+        """
+        joins = np.fromiter((w[0] == " " and not w[-1].isspace() for w in words), bool, len(words))
+        alone = [words[i] for i in np.flatnonzero(~joins)]
+        together = [words[i] for i in np.flatnonzero(joins)]
+        parts = list(_parts(together))
+        flat = self._flat(["".join(p) for p in parts] + alone)
+        sizes = np.fromiter((len(w.encode()) for w in chain(together, alone)), np.int64, len(words))
+        ends = np.searchsorted(np.cumsum(self.lengths[flat]), np.cumsum(sizes), "right")
+        counts = np.diff(ends, prepend=0)
+        order = np.concatenate((np.flatnonzero(joins), np.flatnonzero(~joins)))
+        back = np.empty(len(words), np.int64)
+        back[order] = np.arange(len(words))
+        return flat[ranges((ends - counts)[back], counts[back])], counts[back]
+
+    def _flat(self, texts: list[str]) -> np.ndarray:
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.fromiter(chain.from_iterable(e.ids for e in coded), np.int32)
+
+
+def _parts(words: list[str]) -> Iterator[list[str]]:
+    part: list[str] = []
+    size = 0
+    for word in words:
+        part.append(word)
+        size += len(word)
+        if size >= JOINED:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+@lru_cache(maxsize=4)
+def byte_tokens(data: bytes, special: bool) -> ByteTokens:
+    """The tokenizer of a ``tokenizers`` file; with ``special``, the names of special tokens in a text stand for them."""
+    return ByteTokens(data, special)

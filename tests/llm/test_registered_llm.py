@@ -13,6 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
 WITHOUT_SQL = {
     "op2_sentencepiece", "op3_sharding", "op5_surrogates", "op7_language", "op8_near_duplicates", "op10_toxicity",
+    "op12_alignment",
 }
 
 
