@@ -12,6 +12,7 @@ from .alignment import link_scores
 from .decontaminate import find_contamination
 from .line_rules import apply_line_rules
 from .order_minhash import near_duplicates
+from .packing import pack
 from .pivot_clusters import cluster
 from .recompression import remove_repeated_words
 from .sentencepiece import encode, share_model
@@ -147,6 +148,13 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return link_scores(docs, share_model(docs, BYTE_MODEL), share_model(docs, MODEL))
 
 
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pack(docs, share_model(docs, BYTE_MODEL), window=2048, end_id=1).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_sentencepiece": op2_sentencepiece,
@@ -160,4 +168,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_clusters": op11_clusters,
     "op12_alignment": op12_alignment,
+    "op13_packing": op13_packing,
 }
