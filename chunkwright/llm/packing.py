@@ -85,7 +85,7 @@ def _encoded(docs: DataFrame, model: Broadcast, kept: list[str], window: int, en
                 continue
             if len(known) > KNOWN_WORDS:
                 known.clear()
-            words, starts = cut(batch.column("text"))
+            words, starts = cut(batch.column("text"), fine=True, whole=tokens.stays_whole(batch.column("text")))
             ids, counts = known.take(0, known.find(words)) if len(words) else (np.zeros(0, np.int32),) * 2
             totals = sums(counts, starts) + 1
             ends = np.cumsum(totals)

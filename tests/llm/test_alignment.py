@@ -93,7 +93,7 @@ def models(spark):
 
 def many(seed, count):
     rng = random.Random(seed)
-    letters = "aaeeiioouunnrrsstt  \n\t.,-’é▁日0 1" + " " * 6
+    letters = "aaeeiioouunnrrsstT  \n\n\t..,-'’é▁日0 1Ж" + " " * 6
     return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 120))) for _ in range(count)]
 
 
@@ -146,9 +146,27 @@ def test_gallop_is_a_lower_bound():
     assert (gallop(short, longer, first, last) == 20 + np.searchsorted(longer[20:180], short)).all()
 
 
-def test_cut_puts_words_back_together():
+@pytest.mark.parametrize("fine", [False, True])
+def test_ids_of_words_are_those_of_texts(fine):
+    from tokenizers import Tokenizer
+
+    with open(BYTE_MODEL, "rb") as file:
+        tokens = words.byte_tokens(file.read(), special=True)
+    marks = [".\x1c a", "don't. I'll", "a.\n\nB", "x\nY\n Z", "\nA\n", "é.\né", "×. ÷\n", "Ж.\nж", "a'\nb", "1.\nA", "…\nA", "a. <|endoftext|>.\nB"]
+    texts = [t for t in SAMPLES + marks + many(5, 3000) if t]
+    known = words.Known(lambda new: [tokens.ids(new)])
+    found, starts = words.cut(pa.array(texts), fine=fine, whole=tokens.stays_whole(pa.array(texts)))
+    ids, counts = known.take(0, known.find(found))
+    ends = np.cumsum(words.sums(counts, starts))
+    plain = Tokenizer.from_file(BYTE_MODEL)
+    for text, start, end in zip(texts, [0, *ends], ends):
+        assert ids[start:end].tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("fine", [False, True])
+def test_cut_puts_words_back_together(fine):
     texts = pa.array(SAMPLES)
-    found, starts = words.cut(texts)
+    found, starts = words.cut(texts, fine=fine)
     parts = found.to_pylist()
     assert ["".join(parts[i:j]) for i, j in zip(starts[:-1], starts[1:])] == [t or "" for t in SAMPLES]
     assert "" not in parts
