@@ -18,7 +18,15 @@ def build_bundles(golden: DataFrame, neighbors: DataFrame, corpus: DataFrame) ->
     Only keys and scores come out of the neighbour join; texts are fetched here
     for the few rows chosen. A bundle with fewer distractors than asked for stays.
     """
-    texts = corpus.select("ord", "doc_id", "chunk_id", "chunk_text")
+    single = golden.select(
+        F.col("ord").alias("bundle_id"),
+        F.array(F.struct("doc_id", "chunk_id", "chunk_text")).alias("golden"),
+    )
+    return with_distractors(single, neighbors, corpus.select("ord", "doc_id", "chunk_id", "chunk_text"))
+
+
+def with_distractors(bundles: DataFrame, neighbors: DataFrame, texts: DataFrame) -> DataFrame:
+    """Add the chunks of each bundle's neighbour list, in its order; an empty list where there are none."""
     lists = (
         neighbors.select("golden_ord", "ord", "rank", "sim")
         .join(texts, "ord")
@@ -32,13 +40,8 @@ def build_bundles(golden: DataFrame, neighbors: DataFrame, corpus: DataFrame) ->
     none = F.expr(
         "cast(array() as array<struct<rank:int,doc_id:string,chunk_id:string,chunk_text:string,sim:double>>)"
     )
-    return (
-        golden.select(
-            F.col("ord").alias("bundle_id"),
-            F.array(F.struct("doc_id", "chunk_id", "chunk_text")).alias("golden"),
-        )
-        .join(lists.withColumnRenamed("golden_ord", "bundle_id"), "bundle_id", "left")
-        .withColumn("distractors", F.coalesce("distractors", none))
+    return bundles.join(lists.withColumnRenamed("golden_ord", "bundle_id"), "bundle_id", "left").withColumn(
+        "distractors", F.coalesce("distractors", none)
     )
 
 

@@ -5,8 +5,12 @@ Two vectors within chord distance R of each other meet when one of them visits,
 besides its own cell, every cell whose boundary is within R. The test is the
 distance to the hyperplane between the two pivots together with the range of
 distances the cell's members have to their pivot, both exact consequences of the
-triangle inequality, so nothing within R is missed. Large cells are cut into
-blocks of ``block_rows``; one task group holds one block of each side.
+triangle inequality, so nothing within R is missed.
+
+There are at most ``max_pivots`` such pivots, as every task gets them. Cells that hold more than
+a block are divided again, by pivots of their own that lie in a table next to the cell's rows and are sent to
+no other cell; so a cell keeps its size however many rows there are. What is still larger than a
+block is cut into blocks of ``block_rows``; one task group holds one block of each side.
 """
 
 from __future__ import annotations
@@ -17,11 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import MIN_NORM, SIM_DIGITS
 from ..options import Options
+from ..session import settle
 from .sampling import bucket_counts, cut_sample
 
 SLACK = 1e-4  # added to every distance bound; covers rounding of cosines near 1
@@ -167,11 +172,11 @@ class Cells:
         )
 
 
-def with_visits(df: DataFrame, cells: Cells, radius: float | str, skip_home: bool = False) -> DataFrame:
+def with_visits(df: DataFrame, cells: Cells, radius: float | str) -> DataFrame:
     """Explode each row to the cells it has to visit.
 
     ``df`` has (ord, unit, cell); ``radius`` is a number or the name of a column.
-    The result has (ord, unit, cell) with ``cell`` the visited one.
+    The result has (ord, unit, cell, radius) with ``cell`` the visited one.
     """
     context = df.sparkSession.sparkContext
     between = np.sqrt(np.maximum(2 - 2 * cells.pivots @ cells.pivots.T, 0))
@@ -194,21 +199,139 @@ def with_visits(df: DataFrame, cells: Cells, radius: float | str, skip_home: boo
                 lead = cosine[rows, home][:, None] - cosine
                 dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
                 visit = (lead <= reach * gaps[home] + _TIE) & (dist - reach <= high) & (dist + reach >= low)
-                if skip_home:
-                    visit[rows, home] = False
                 which, target = np.nonzero(visit)
                 offsets = np.searchsorted(which, np.arange(len(home) + 1)).astype(np.int32)
                 visits = pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(target.astype(np.int32))
                 )
+                far = part.column(radius) if per_row else pa.array(np.full(len(home), radius))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("ord"), part.column("unit"), visits], ["ord", "unit", "visits"]
+                    [part.column("ord"), part.column("unit"), far, visits], ["ord", "unit", "radius", "visits"]
                 )
 
     visited = df.select(*columns).mapInArrow(
-        run, "ord bigint, unit array<double>, visits array<int>"
+        run, "ord bigint, unit array<double>, radius double, visits array<int>"
     )
-    return visited.select("ord", "unit", F.explode("visits").alias("cell"))
+    return visited.select("ord", "unit", F.explode("visits").alias("cell"), "radius")
+
+
+#: Cells a cell is divided into at most; a cell's number is that of the large one times this, plus its own.
+_INSIDE = 1024
+_IN_CELL = "ord bigint, unit array<double>, cell bigint"
+
+
+@dataclass(frozen=True)
+class Inside:
+    """Members in their small cells, and the pivots of the cells that were divided."""
+
+    members: DataFrame  # (ord, unit, cell)
+    pivots: DataFrame | None  # (large, inner, unit, low, high)
+    divided: tuple[int, ...]
+
+
+def _with_pivots(rows: DataFrame, pivots: DataFrame, counts: dict[int, int], size: int, work, schema: str) -> DataFrame:
+    """Blocks of the rows of a large cell (column ``cell``), each with the pivots inside that cell."""
+    plan = [(cell, -(-n // size)) for cell, n in counts.items()]
+    blocks = F.broadcast(rows.sparkSession.createDataFrame(plan, "large int, blocks int"))  # a row per large cell
+    left = rows.withColumnRenamed("cell", "large").join(blocks, "large")
+    left = left.withColumn("block", F.pmod(F.xxhash64("ord"), F.col("blocks")).cast("int")).drop("blocks")
+    right = pivots.join(blocks, "large").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = right.select(F.col("large").alias("of"), F.col("block").alias("for"), "inner", "unit", "low", "high")
+    return left.groupBy("large", "block").cogroup(right.groupBy("of", "for")).applyInArrow(work, schema)
+
+
+def divide(members: DataFrame, rows: dict[int, int], options: Options, dim: int) -> Inside:
+    """Divide the cells of (ord, unit, cell) rows that hold more than two blocks.
+
+    The pivots inside are sampled by hash, about one a block. They, and the range of distances
+    of their cells, stay in tables: only a row's large cell ever sees them.
+    """
+    size = options.rows_per_block(dim)
+    large = {cell: n for cell, n in rows.items() if n > 2 * size}
+    flat = members.select("ord", "unit", (F.col("cell").cast("bigint") * _INSIDE).alias("cell"))
+    if not large:
+        return Inside(flat, None, ())
+    spark = members.sparkSession
+    share = [(cell, min(_INSIDE // 2, -(-n // size)) / n) for cell, n in large.items()]
+    wanted = F.broadcast(spark.createDataFrame(share, "cell int, share double"))
+    drawn = F.pmod(F.xxhash64("ord", F.lit("inside")), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    of_large = members.select("ord", "unit", "cell").join(wanted, "cell")
+    # About half as many as fit: a hash may draw more than wanted, and rows beyond the limit are no pivots.
+    number = F.row_number().over(Window.partitionBy("cell").orderBy("ord")) - 1
+    drawn = of_large.filter(drawn).groupBy("cell", "unit").agg(F.min("ord").alias("ord"))
+    drawn = drawn.select(F.col("cell").alias("large"), number.alias("inner"), "unit").filter(F.col("inner") < _INSIDE)
+    drawn = settle(drawn.withColumns({"low": F.lit(0.0), "high": F.lit(2.0)}))
+
+    def assign(left: pa.Table, right: pa.Table) -> pa.Table:
+        number = np.full(left.num_rows, left.column("large")[0].as_py() * _INSIDE) if left.num_rows else np.zeros(0, np.int64)
+        best = np.ones(left.num_rows)
+        if left.num_rows and right.num_rows:
+            centres, inner = matrix(right.column("unit")), right.column("inner").to_numpy()
+            order = np.argsort(inner)
+            centres, inner = centres[order], inner[order]
+            unit = matrix(left.column("unit"))
+            for start in range(0, len(unit), _ROWS):
+                cosine = unit[start : start + _ROWS] @ centres.T
+                nearest = np.round(cosine, SIM_DIGITS).argmax(axis=1)
+                number[start : start + _ROWS] += inner[nearest]
+                best[start : start + _ROWS] = cosine[np.arange(len(nearest)), nearest]
+        dist = np.sqrt(np.maximum(2 - 2 * best, 0))
+        columns = [left.column("ord"), left.column("unit"), pa.array(number, pa.int64()), pa.array(dist)]
+        return pa.table(columns, ["ord", "unit", "cell", "dist"])
+
+    inside = settle(_with_pivots(of_large.drop("share"), drawn, large, size, assign, f"{_IN_CELL}, dist double"))
+    ranges = inside.groupBy("cell").agg(F.min("dist").alias("low"), F.max("dist").alias("high"))
+    pivots = settle(
+        drawn.select("large", "inner", "unit", (F.col("large").cast("bigint") * _INSIDE + F.col("inner")).alias("cell"))
+        .join(ranges, "cell")
+        .drop("cell")
+    )
+    small = flat.filter(~F.col("cell").isin([cell * _INSIDE for cell in large]))
+    return Inside(small.unionByName(inside.drop("dist")), pivots, tuple(large))
+
+
+def visits_inside(visitors: DataFrame, inside: Inside, options: Options, dim: int, nearest: int = 0) -> DataFrame:
+    """(ord, unit, cell) of the small cells that (ord, unit, cell, radius) rows have to visit in their large ones.
+
+    With ``nearest``, so many of the small cells that are nearest instead, and no radius is needed.
+    """
+    flat = visitors.select("ord", "unit", (F.col("cell").cast("bigint") * _INSIDE).alias("cell"))
+    if inside.pivots is None:
+        return flat
+
+    def choose(left: pa.Table, right: pa.Table) -> pa.Table:
+        base = left.column("large")[0].as_py() * _INSIDE if left.num_rows else 0
+        which, target = np.arange(left.num_rows), np.zeros(left.num_rows, np.int64)
+        if left.num_rows and right.num_rows:
+            centres, inner = matrix(right.column("unit")), right.column("inner").to_numpy()
+            low, high = right.column("low").to_numpy(), right.column("high").to_numpy()
+            gaps = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+            unit, found = matrix(left.column("unit")), []
+            for start in range(0, len(unit), _ROWS):
+                cosine = unit[start : start + _ROWS] @ centres.T
+                if nearest:
+                    close = np.argsort(-cosine, axis=1, kind="stable")[:, :nearest]
+                    row, column = np.repeat(np.arange(len(cosine)), close.shape[1]), close.ravel()
+                else:
+                    reach = left.column("radius").to_numpy()[start : start + _ROWS, None] + SLACK
+                    lead = cosine.argmax(axis=1)
+                    ahead = cosine[np.arange(len(lead)), lead][:, None] - cosine
+                    dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+                    row, column = np.nonzero((ahead <= reach * gaps[lead] + _TIE) & (dist - reach <= high) & (dist + reach >= low))
+                found.append((start + row, inner[column]))
+            which, target = (np.concatenate(x) for x in zip(*found))
+        return pa.table(
+            [left.column("ord").take(which), left.column("unit").take(which), pa.array(base + target, pa.int64())],
+            ["ord", "unit", "cell"],
+        )
+
+    parted = visitors.filter(F.col("cell").isin(list(inside.divided)))
+    counts = rows_per_cell(parted)
+    if not counts:
+        return flat
+    chosen = _with_pivots(parted, inside.pivots, counts, options.rows_per_block(dim), choose, _IN_CELL)
+    rest = flat.filter(~F.col("cell").isin([cell * _INSIDE for cell in inside.divided]))
+    return rest.unionByName(chosen)
 
 
 def rows_per_cell(df: DataFrame) -> dict[int, int]:
@@ -218,7 +341,6 @@ def rows_per_cell(df: DataFrame) -> dict[int, int]:
 def block_join(
     members: DataFrame,
     visitors: DataFrame,
-    member_rows: dict[int, int],
     options: Options,
     compare: Compare,
     dim: int,
@@ -230,20 +352,23 @@ def block_join(
     member block and of a visitor block and yields only what passes its test,
     slice by slice, so neither all products nor all results are held at once.
     """
-    visitor_rows = rows_per_cell(visitors)
+    spark = members.sparkSession
     size = options.rows_per_block(dim)
-    plan = [
-        (cell, -(-rows // size), -(-visitor_rows[cell] // size))
-        for cell, rows in member_rows.items()
-        if cell in visitor_rows
-    ]
-    # One row per cell, so never more rows than there are pivots.
-    blocks = F.broadcast(
-        members.sparkSession.createDataFrame(plan, "cell int, member_blocks int, visitor_blocks int")
+    blocks = lambda rows: F.ceil(F.col(rows) / size).cast("int")
+    asked = visitors.groupBy("cell").agg(F.count("*").alias("visitors"))
+    held = members.groupBy("cell").agg(F.count("*").alias("members"))
+    plan = settle(
+        held.join(asked, "cell").select(
+            "cell", "members", "visitors", blocks("members").alias("member_blocks"), blocks("visitors").alias("visitor_blocks")
+        )
     )
+    groups, rows = plan.agg(
+        F.sum(F.expr("bigint(member_blocks) * visitor_blocks")), F.sum(F.expr("members * visitor_blocks + visitors * member_blocks"))
+    ).first()
+    blocks_of = plan.drop("members", "visitors")
     own = lambda count: F.pmod(F.xxhash64("ord"), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    left = members.join(blocks, "cell").select(
+    left = members.join(blocks_of, "cell").select(
         "cell",
         own("member_blocks").alias("member_block"),
         every("visitor_blocks").alias("visitor_block"),
@@ -251,7 +376,7 @@ def block_join(
         "ord",
         "unit",
     )
-    right = visitors.join(blocks, "cell").select(
+    right = visitors.join(blocks_of, "cell").select(
         "cell",
         every("member_blocks").alias("member_block"),
         own("visitor_blocks").alias("visitor_block"),
@@ -269,8 +394,23 @@ def block_join(
         for found in compare(ords[is_member], vectors[is_member], ords[~is_member], vectors[~is_member]):
             yield pa.RecordBatch.from_arrays([pa.array(found[name]) for name in names], names)
 
+    # As many tasks as the rows that are sent ask for, not as there are groups.
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_size = math.ceil((rows or 0) * dim * 8 / options.block_bytes)
+    tasks = max(1, min(groups or 0, max(configured, by_size)))
     keys = ["cell", "member_block", "visitor_block"]
-    groups = sum(member_blocks * visitor_blocks for _, member_blocks, visitor_blocks in plan)
-    configured = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(1, min(groups, max(configured, groups // 4)))
     return left.unionByName(right).repartition(tasks, *keys).groupBy(*keys).applyInArrow(run, schema)
+
+
+def cell_join(
+    members: DataFrame,
+    visitors: DataFrame,
+    member_rows: dict[int, int],
+    options: Options,
+    compare: Compare,
+    dim: int,
+    schema: str,
+) -> DataFrame:
+    """:func:`block_join` of (ord, unit, cell) members with (ord, unit, cell, radius) visitors of the large cells, by small cells."""
+    inside = divide(members, member_rows, options, dim)
+    return block_join(inside.members, visits_inside(visitors, inside, options, dim), options, compare, dim, schema)

@@ -16,7 +16,7 @@ from .cells import (
     Cells,
     assign_homes,
     at_least,
-    block_join,
+    cell_join,
     choose_pivots,
     collapse_copies,
     matrix,
@@ -122,7 +122,7 @@ def near_duplicate_pairs(
         ).select(F.col("golden_ord").alias("left_ord"), F.col("ord").alias("right_ord"), "sim")
     homes, firsts, pivots = _distinct_directions(chunks, options)
     cells = Cells.measure(firsts, pivots)
-    between = block_join(
+    between = cell_join(
         firsts.select("ord", "unit", "cell"),
         with_visits(firsts, cells, _radius(threshold)),
         cells.rows,
@@ -133,6 +133,11 @@ def near_duplicate_pairs(
     )
     best = F.min(F.struct("left_ord", "sim")).alias("best")
     between = settle(between.groupBy("right_ord").agg(best).select("right_ord", "best.*"))
+    return with_copies(homes, firsts, between)
+
+
+def with_copies(homes: DataFrame, firsts: DataFrame, between: DataFrame) -> DataFrame:
+    """(left_ord, right_ord, sim) of first copies, and of all other copies by theirs."""
     # An exact copy has the earliest match of its first copy, or else that copy itself.
     # The zero vector has no direction; its copies are not similar to each other.
     repeated = firsts.filter(
@@ -158,7 +163,7 @@ def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) ->
     threshold = options.duplicate_cosine
     cells = Cells.measure(firsts, pivots)
     marked = _mark_near_leaders(firsts, cells, threshold)
-    later = block_join(
+    later = cell_join(
         firsts.select("ord", "unit", "cell"),
         with_visits(marked.filter(~F.col("near_leader")), cells, _radius(threshold)),
         cells.rows,
@@ -183,14 +188,19 @@ def dedup_any_earlier(
 def dedup_greedy(
     chunks: DataFrame, options: Options, pivot_source: DataFrame | None = None
 ) -> DataFrame:
-    """``ord`` of the rows a first-come scan keeps: a dropped row drops nobody.
+    """``ord`` of the rows a first-come scan keeps: a dropped row drops nobody."""
+    zero, firsts, pivots = _split_zero(chunks, options, pivot_source)
+    return zero.unionByName(greedy_rounds(firsts, pivots, options))
+
+
+def greedy_rounds(open_rows: DataFrame, pivots: np.ndarray, options: Options) -> DataFrame:
+    """``ord`` of the kept ones of (ord, unit, cell, dist) rows.
 
     Each round keeps every open row without an earlier open row nearby, then
     drops the open rows near those. That is the serial scan's answer; a round
     costs one cell join over what is still open, and no list of pairs is built.
     """
-    zero, open_rows, pivots = _split_zero(chunks, options, pivot_source)
-    kept = zero
+    kept = open_rows.select("ord").limit(0)
     while not open_rows.isEmpty():
         winners, rest = _without_earlier(open_rows, pivots, options)
         winners, rest = settle(winners), settle(rest)
@@ -199,7 +209,7 @@ def dedup_greedy(
             break
         cells = Cells.measure(winners, pivots)
         dropped = settle(
-            block_join(
+            cell_join(
                 winners.select("ord", "unit", "cell"),
                 with_visits(rest, cells, _radius(options.duplicate_cosine)),
                 cells.rows,

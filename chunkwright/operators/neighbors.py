@@ -18,11 +18,12 @@ from .cells import (
     block_join,
     choose_pivots,
     collapse_copies,
+    divide,
     matrix,
     points_of,
-    rows_per_cell,
     slice_rows,
     unit_rows,
+    visits_inside,
     with_visits,
 )
 from .sampling import bucket_counts, cut_sample, top_k
@@ -122,28 +123,22 @@ def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -
     """Exact search when the golden side is too big to broadcast.
 
     Golden rows with the same direction are searched once. The first round looks
-    into the home cell and yields a radius; the second visits only the cells that
-    can hold something nearer.
+    into the nearest cells inside the home cell and yields a radius; the second
+    visits only the cells that can hold something nearer.
     """
     pivots = choose_pivots(corpus, options)
     members = settle(assign_homes(corpus, pivots))
     cells = Cells.measure(members, pivots)
     homes = assign_homes(golden, pivots)
     firsts = settle(collapse_copies(homes))
-    members = members.select("ord", "unit", "cell")
+    inside = divide(members.select("ord", "unit", "cell"), cells.rows, options, pivots.shape[1])
+    held = settle(inside.members) if inside.divided else inside.members
 
     depth = k + 1  # the row itself may be in its own list
+    at_home = settle(visits_inside(firsts.select("ord", "unit", "cell"), inside, options, pivots.shape[1], nearest=2))
     home_found = settle(
         _ranked(
-            block_join(
-                members,
-                firsts.select("ord", "unit", "cell"),
-                cells.rows,
-                options,
-                _nearest_members(depth),
-                pivots.shape[1],
-                _FOUND,
-            ),
+            block_join(held, at_home, options, _nearest_members(depth), pivots.shape[1], _FOUND),
             "visitor_ord",
             depth,
         ).drop("rank")
@@ -160,15 +155,9 @@ def _knn_cells(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -
     seekers = firsts.join(reached, "ord", "left").withColumn(
         "radius", F.coalesce("radius", F.lit(_FARTHEST))
     )
-    far_found = block_join(
-        members,
-        settle(with_visits(seekers, cells, "radius", skip_home=True)),
-        cells.rows,
-        options,
-        _nearest_members(depth),
-        pivots.shape[1],
-        _FOUND,
-    )
+    far = visits_inside(settle(with_visits(seekers, cells, "radius")), inside, options, pivots.shape[1])
+    far = settle(far.join(at_home.select("ord", "cell"), ["ord", "cell"], "left_anti"))
+    far_found = block_join(held, far, options, _nearest_members(depth), pivots.shape[1], _FOUND)
     found = _ranked(home_found.unionByName(far_found), "visitor_ord", depth).drop("rank")
     return _to_golden(homes, firsts, found, k)
 
@@ -222,7 +211,6 @@ def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> D
         block_join(
             members,
             visits,
-            rows_per_cell(members),
             options,
             _nearest_members(k + 1),
             centers.shape[1],

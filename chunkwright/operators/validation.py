@@ -27,6 +27,18 @@ def token_length_filter(chunks: DataFrame, options: Options) -> DataFrame:
     return with_token_count(chunks).filter(length_ok(options)).drop("n_tokens")
 
 
+def reject_reason(options: Options, is_dropped: Column) -> Column:
+    """Why a row with ``n_tokens`` is rejected; NULL if it is not."""
+    duplicate = (
+        F.lit("Near-duplicate chunk.")
+        if options.duplicate_policy == "greedy"
+        else F.lit("Near-duplicate chunk (via exact)")  # whatever search finds the distractors
+    )
+    return F.when(
+        ~length_ok(options), F.format_string("Token length (%d) out of bounds.", F.col("n_tokens"))
+    ).when(is_dropped, duplicate)
+
+
 def annotate(chunks: DataFrame, options: Options) -> DataFrame:
     """Add n_tokens, status and reject_reason to every chunk.
 
@@ -38,17 +50,9 @@ def annotate(chunks: DataFrame, options: Options) -> DataFrame:
     counted = with_token_count(chunks)
     survivors = counted.filter(length_ok(options)).select("ord", "embedding")
     dropped = settle(dropped_rows(survivors, options, pivot_source=chunks)).withColumn("is_dropped", F.lit(True))
-    duplicate = (
-        F.lit("Near-duplicate chunk.")
-        if options.duplicate_policy == "greedy"
-        else F.lit("Near-duplicate chunk (via exact)")  # whatever search finds the distractors
-    )
-    reason = F.when(
-        ~length_ok(options), F.format_string("Token length (%d) out of bounds.", F.col("n_tokens"))
-    ).when(F.col("is_dropped"), duplicate)
     return (
         counted.join(dropped, "ord", "left")
-        .withColumn("reject_reason", reason)
+        .withColumn("reject_reason", reject_reason(options, F.col("is_dropped")))
         .withColumn("status", F.when(F.col("reject_reason").isNull(), F.lit("Validated")))
         .drop("is_dropped")
     )

@@ -16,6 +16,7 @@ class Options:
     sample_unit: str = "chunks"
     target_queries: int = 0
     num_distractors: int = 3
+    golden_chunks: int = 1  # of one document, in a bundle
     query_types: tuple[str, ...] = ("factual", "keyword")
     embed_dim: int | None = None
     seed: int = 42
@@ -57,6 +58,8 @@ class Options:
         for field, values in allowed.items():
             if getattr(self, field) not in values:
                 raise ValueError(f"{field}={getattr(self, field)!r}; expected one of {values}")
+        if self.golden_chunks < 1:
+            raise ValueError(f"golden_chunks={self.golden_chunks}; expected at least 1")
 
     def rows_per_block(self, dim: int) -> int:
         return min(self.block_rows, max(256, self.block_bytes // (8 * max(dim, 1))))

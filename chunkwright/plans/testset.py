@@ -15,6 +15,7 @@ from ..operators.bundles import (
     pending_requests,
 )
 from ..operators.evaluation import evaluate_queries, ground_truth_rows
+from ..operators.golden_sets import build_set_bundles, golden_sets, set_neighbors
 from ..operators.neighbors import search_strategy
 from ..operators.sampling import sample_golden
 from ..operators.validation import Validated, drop_vectors, stage_guard, validate
@@ -39,8 +40,14 @@ def select_bundles(
 ) -> DataFrame:
     """Sample golden chunks and attach distractors with the configured search."""
     pool = validated.length_ok if options.distractor_pool == "pre_dedup" else validated.valid
-    golden = sample_golden(validated.valid, options)
     search = search_strategy(options.strategy, search_results)
+    if options.golden_chunks > 1:
+        sets = settle(golden_sets(validated.valid, options))
+        neighbors = settle(
+            set_neighbors(sets, validated.valid, pool, options.num_distractors, options, search)
+        )
+        return build_set_bundles(sets, neighbors, drop_vectors(pool))
+    golden = sample_golden(validated.valid, options)
     # Written down: a few rows per golden chunk, whose size decides the join with the texts.
     neighbors = settle(search(golden, pool, options.num_distractors, options))
     return build_bundles(drop_vectors(golden), neighbors, drop_vectors(pool))

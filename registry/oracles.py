@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from chunkwright.functions.text import KEY_TERM_STOP_WORDS
 
-from .views import COPY_OFFSET, OPTIONS
+from .views import COPY_OFFSET, OPTIONS, PAIRED
 
 _STOP = ", ".join(f"'{w}'" for w in KEY_TERM_STOP_WORDS)
 _HASH = OPTIONS.config_hash()
@@ -202,23 +202,52 @@ _STEPS: dict[str, tuple[str, str]] = {
 }
 
 
-def _with(needs: str, query: str) -> str:
+def _with(needs: str, query: str, known: dict[str, tuple[str, str]] = _STEPS) -> str:
     ordered: list[str] = []
 
     def add(name: str) -> None:
         if name in ordered:
             return
-        for need in filter(None, _STEPS[name][0].split(",")):
+        for need in filter(None, known[name][0].split(",")):
             add(need)
         ordered.append(name)
 
     for need in filter(None, needs.split(",")):
         add(need)
     # Materialised, so that a step used twice is computed once.
-    steps = ",\n".join(f"{name} AS MATERIALIZED ({_STEPS[name][1]})" for name in ordered)
+    steps = ",\n".join(f"{name} AS MATERIALIZED ({known[name][1]})" for name in ordered)
     return (f"WITH {steps}\n" if steps else "") + query
 
 
+# The same steps for sets of two golden chunks or three, which ``goldens`` has as one row each.
+_SET_STEPS = _STEPS | {
+    "types": ("", "SELECT unnest(['factual', 'keyword', 'comparison']) AS query_type"),
+    "members": (
+        "valid",
+        "SELECT *, first_value(ord) OVER (PARTITION BY doc_id, number ORDER BY place) AS bundle_id FROM ("
+        "SELECT *, least(place // 2, greatest(n // 2, 1) - 1) AS number FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, "
+        "row_number() OVER (PARTITION BY doc_id ORDER BY md5('42:' || ord), ord) - 1 AS place FROM valid))",
+    ),
+    "goldens": (
+        "members",
+        "SELECT bundle_id AS ord, any_value(doc_id) AS doc_id, string_agg(chunk_id, ',' ORDER BY ord) AS chunk_id, "
+        "string_agg(chunk_text, ' ' ORDER BY ord) AS chunk_text, count(*) AS chunks FROM members GROUP BY bundle_id",
+    ),
+    "near": (
+        "valid,members,sims",
+        "SELECT golden_ord, ord, sim, row_number() OVER (PARTITION BY golden_ord ORDER BY sim DESC, ord) AS rank FROM ("
+        "SELECT m.bundle_id AS golden_ord, s.r AS ord, max(s.sim) AS sim FROM members m JOIN sims s ON s.l = m.ord "
+        "JOIN members o ON o.ord = s.r AND o.bundle_id <> m.bundle_id GROUP BY ALL) QUALIFY rank <= 3",
+    ),
+    "requests": (
+        "goldens,distractors,types",
+        _STEPS["requests"][1].replace("FROM valid v", "FROM goldens v").replace(_HASH, PAIRED.config_hash())
+        + " WHERE v.chunks > 1 OR t.query_type <> 'comparison'",
+    ),
+    "own_words": ("goldens", _STEPS["own_words"][1].replace("FROM valid", "FROM goldens")),
+}
+
+
 def _pairs(table: str, threshold: float, extra: str = "") -> str:
     return (
         f"SELECT a.ord AS left_ord, b.ord AS right_ord, round(list_dot_product(a.u, b.u), 4) AS sim FROM "
@@ -263,6 +292,22 @@ def _sample(table: str, key: str, size: str) -> str:
     return f"SELECT {key} FROM {table} ORDER BY md5('42:' || {key}), {key} LIMIT ({size})"
 
 
+def _greedy(table: str) -> str:
+    """Rows that a first-come scan keeps."""
+    steps = (
+        f",\npairs AS MATERIALIZED ({_pairs(table, 0.3)}),\n"
+        "numbered AS MATERIALIZED (SELECT c.ord, row_number() OVER (ORDER BY c.ord) AS place, "
+        f"coalesce(p.earlier, []) AS earlier FROM {table} c LEFT JOIN (SELECT right_ord, list(left_ord) AS earlier "
+        "FROM pairs GROUP BY right_ord) p ON p.right_ord = c.ord),\n"
+        "scan(place, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.place, "
+        "CASE WHEN list_has_any(s.kept, n.earlier) THEN s.kept ELSE list_append(s.kept, n.ord) END "
+        "FROM scan s JOIN numbered n ON n.place = s.place + 1)\n"
+        f"SELECT unnest(kept) AS ord FROM scan WHERE place = (SELECT count(*) FROM {table})"
+    )
+    last = f"SELECT ord FROM {table}"
+    return _with(table, last).replace("WITH ", "WITH RECURSIVE ", 1).replace("\n" + last, steps)
+
+
 ORACLES: dict[str, str] = {
     "scan_jsonl": _with(
         "docs", "SELECT doc_id, chunk_id, chunk_text, len(embedding)::INTEGER AS width, '' AS error FROM docs "
@@ -302,6 +347,11 @@ ORACLES: dict[str, str] = {
         "annotated", "SELECT CASE WHEN reject_reason IS NULL THEN 'valid' WHEN reject_reason LIKE 'Token%' THEN 'length' "
         "ELSE 'duplicate' END AS part, count(*) AS rows FROM annotated GROUP BY ALL",
     ),
+    "incremental_validate": _with(
+        "annotated", "SELECT doc_id, chunk_id, n_tokens::INTEGER AS n_tokens, CASE WHEN reject_reason IS NULL "
+        "THEN 'Validated' END AS status, reject_reason FROM annotated",
+    ),
+    "incremental_validate_greedy": _greedy("copied"),
     "drop_vectors": _with("chunks", "SELECT doc_id, chunk_id, chunk_text, ord FROM chunks"),
     "stage_guard": _with("chunks", "SELECT doc_id, chunk_id FROM chunks"),
     "l2_normalize": _with(
@@ -313,24 +363,18 @@ ORACLES: dict[str, str] = {
         "sims", "SELECT l AS left_ord, r AS right_ord, round(sim, 4) AS sim FROM (SELECT *, row_number() OVER "
         "(PARTITION BY l ORDER BY sim DESC, r) AS place FROM sims) WHERE place <= 20 AND sim >= 0.3 AND r > l",
     ),
-    "dedup_any_earlier": _with("chunks", _DROPPED.format("chunks")),
-    "dedup_fallback": _with("chunks", _DROPPED.format("docs")),
-    "dedup_greedy": _with(
-        "chunks",
-        "SELECT ord FROM chunks",
-    ).replace(
-        "WITH ", "WITH RECURSIVE ", 1
+    "pairs_lsh": _with(
+        "copied",
+        f"SELECT DISTINCT right_ord, true AS holds FROM ({_pairs('turned', 0.98)}) UNION ALL SELECT -1, true",
     ).replace(
-        "\nSELECT ord FROM chunks",
-        f",\npairs AS MATERIALIZED ({_pairs('chunks', 0.3)}),\n"
-        "numbered AS MATERIALIZED (SELECT c.ord, row_number() OVER (ORDER BY c.ord) AS place, "
-        "coalesce(p.earlier, []) AS earlier FROM chunks c LEFT JOIN (SELECT right_ord, list(left_ord) AS earlier "
-        "FROM pairs GROUP BY right_ord) p ON p.right_ord = c.ord),\n"
-        "scan(place, kept) AS (SELECT 0::BIGINT, []::BIGINT[] UNION ALL SELECT n.place, "
-        "CASE WHEN list_has_any(s.kept, n.earlier) THEN s.kept ELSE list_append(s.kept, n.ord) END "
-        "FROM scan s JOIN numbered n ON n.place = s.place + 1)\n"
-        "SELECT unnest(kept) AS ord FROM scan WHERE place = (SELECT count(*) FROM chunks)",
+        "\nSELECT DISTINCT right_ord",
+        ",\nturned AS MATERIALIZED (SELECT ord, embedding FROM copied UNION ALL SELECT ord + "
+        f"{2 * COPY_OFFSET}, list_transform(embedding, lambda x, i: x * (1 + 0.1 * sin(i - 1 + ord))) FROM copied)\n"
+        "SELECT DISTINCT right_ord",
     ),
+    "dedup_any_earlier": _with("chunks", _DROPPED.format("chunks")),
+    "dedup_fallback": _with("chunks", _DROPPED.format("docs")),
+    "dedup_greedy": _greedy("chunks"),
     "dedup_sampled": _with(
         "sims",
         "SELECT DISTINCT least(l, r) AS left_ord, greatest(l, r) AS right_ord, round(sim, 4) AS sim FROM ("
@@ -389,6 +433,16 @@ ORACLES: dict[str, str] = {
         "distractors", "SELECT v.ord AS bundle_id, d.rank::INTEGER AS rank, d.doc_id, d.chunk_id, d.chunk_text, "
         "round(d.sim, 4) AS sim FROM valid v LEFT JOIN distractors d ON d.bundle_id = v.ord",
     ),
+    "multi_golden_bundles": _with(
+        "goldens,distractors",
+        "SELECT g.ord AS bundle_id, g.chunk_id AS golden_ids, d.rank::INTEGER AS rank, d.doc_id, d.chunk_id, "
+        "round(d.sim, 4) AS sim FROM goldens g LEFT JOIN distractors d ON d.bundle_id = g.ord",
+        _SET_STEPS,
+    ),
+    "multi_golden_requests": _with("requests", "SELECT bundle_id, query_type, request_key FROM requests", _SET_STEPS),
+    "multi_golden_scores": _with(
+        "scored", "SELECT bundle_id, query_type, slot::INTEGER AS slot, round(score, 4) + 0.0 AS score FROM scored", _SET_STEPS
+    ),
     "expand_query_types": _with("valid,types", "SELECT ord AS bundle_id, query_type FROM valid CROSS JOIN types"),
     "build_prompt": _with(
         "requests",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwright.functions import keys, text, vectors
-from chunkwright.operators import bundles, duplicates, evaluation, extensions, hybrid, neighbors, sampling, validation
+from chunkwright.operators import bundles, duplicates, evaluation, extensions, golden_sets, hybrid, lsh, neighbors, revalidation, sampling, validation
 from chunkwright.options import Options
 from chunkwright.plans import testset
 from chunkwright.session import fresh_dir, settle
@@ -17,7 +17,7 @@ from chunkwright.sources import chunks as sources
 from chunkwright.sources import incremental, sinks
 from chunkwright.streaming.ingest import stream_ingest as stream
 
-from .views import OPTIONS, Views
+from .views import COPY_OFFSET, OPTIONS, PAIRED, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,7 @@ def register(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame
 
 
 KEY = ["doc_id", "chunk_id"]
+ROW = ["bundle_id", "query_type"]
 LOOSE = replace(OPTIONS, duplicate_cosine=0.3)  # low enough for chains among unrelated vectors
 
 
@@ -171,6 +172,34 @@ def split_valid_rejected(v: Views) -> DataFrame:
     return valid.unionByName(rejected)
 
 
+def _arrivals(v: Views) -> list[DataFrame]:
+    """All of ``copied`` in three parts, the later in order the later they come."""
+    middle = v.chunks.agg(F.avg("ord")).first()[0]
+    early, copy = F.col("ord") < middle, F.col("ord") >= COPY_OFFSET
+    return [v.copied.filter(early & ~copy), v.copied.filter(~early & ~copy), v.copied.filter(copy)]
+
+
+def _in_parts(v: Views, options: Options) -> DataFrame:
+    """Verdicts after three arrivals; the last one also brings what came with the second, unchanged."""
+    state = fresh_dir(v.spark, "validated")
+    first, second, third = _arrivals(v)
+    for version, part in enumerate((first, second, second.unionByName(third))):
+        live = revalidation.incremental_validate(part, state, version, options)
+    return live
+
+
+@register
+def incremental_validate(v: Views) -> DataFrame:
+    return _in_parts(v, OPTIONS).select(*KEY, "n_tokens", "status", "reject_reason")
+
+
+@register
+def incremental_validate_greedy(v: Views) -> DataFrame:
+    """Rows that a first-come scan at a low limit keeps, although they came in three parts."""
+    options = replace(LOOSE, duplicate_policy="greedy", min_tokens=0, max_tokens=1_000_000_000)
+    return _in_parts(v, options).filter("status IS NOT NULL").select("ord")
+
+
 @register
 def drop_vectors(v: Views) -> DataFrame:
     return validation.drop_vectors(v.chunks).select(*KEY, "chunk_text", "ord")
@@ -211,6 +240,21 @@ def near_duplicate_pairs_capped(v: Views) -> DataFrame:
     return _pairs(duplicates.near_duplicate_pairs(v.copied, LOOSE, max_neighbors=20))
 
 
+@register
+def pairs_lsh(v: Views) -> DataFrame:
+    """Rows with an earlier match among all vectors and slightly turned ones; -1 if at least nine tenths are found."""
+    turned = F.expr("transform(embedding, (x, i) -> x * (1 + 0.1 * sin(i + ord)))")
+    again = v.copied.withColumn("embedding", turned).withColumn("ord", F.col("ord") + 2 * COPY_OFFSET)
+    rows = settle(v.copied.unionByName(again).select("ord", "embedding"))
+    found = settle(lsh.pairs_lsh(rows, OPTIONS, bits=12, miss=1e-6))
+    exact = settle(duplicates.near_duplicate_pairs(rows, OPTIONS))
+    holds = (F.col("left_ord") < F.col("right_ord")) & (F.col("sim") >= OPTIONS.duplicate_cosine)
+    recall = exact.join(found.select("right_ord", F.lit(1).alias("hit")), "right_ord", "left").agg(
+        F.lit(-1).cast("bigint").alias("right_ord"), (F.count("hit") >= 0.9 * F.count("*")).alias("holds")
+    )
+    return found.select("right_ord", holds.alias("holds")).unionByName(recall)
+
+
 @register
 def dedup_any_earlier(v: Views) -> DataFrame:
     return duplicates.dedup_any_earlier(v.chunks, LOOSE)
@@ -340,6 +384,40 @@ def expand_query_types(v: Views) -> DataFrame:
     return bundles.expand_query_types(v.bundles, options).select("bundle_id", "query_type")
 
 
+def _set_bundles(v: Views) -> DataFrame:
+    return testset.select_bundles(v.validated, PAIRED)
+
+
+def _set_requests(v: Views) -> DataFrame:
+    return settle(bundles.build_requests(_set_bundles(v), PAIRED))
+
+
+@register
+def multi_golden_bundles(v: Views) -> DataFrame:
+    """Sets of two or three golden chunks of a document, and what is most similar to any of them."""
+    rows = _set_bundles(v).withColumn("golden_ids", F.array_join("golden.chunk_id", ","))
+    return rows.select("bundle_id", "golden_ids", F.inline_outer("distractors")).select(
+        "bundle_id", "golden_ids", "rank", "doc_id", "chunk_id", F.round("sim", 4).alias("sim")
+    )
+
+
+@register
+def multi_golden_requests(v: Views) -> DataFrame:
+    """Requests of sets: ``comparison`` wherever a set has two chunks."""
+    return _set_requests(v).select("bundle_id", "query_type", "request_key")
+
+
+@register
+def multi_golden_scores(v: Views) -> DataFrame:
+    """Queries of sets scored: slot 0 is all golden texts of a set together."""
+    requests = _set_requests(v)
+    queries = bundles.assemble_queries(requests, bundles.extractive_queries(requests, PAIRED))
+    scored = evaluation.score_queries(queries, PAIRED)
+    return scored.select(*ROW, F.posexplode("scores").alias("slot", "score")).select(
+        *ROW, "slot", F.round("score", 4).alias("score")
+    )
+
+
 @register
 def build_prompt(v: Views) -> DataFrame:
     return bundles.with_prompt(v.requests).select("bundle_id", "query_type", "prompt")
@@ -398,8 +476,6 @@ def cache_stats(v: Views) -> DataFrame:
 
 # --- evaluation --------------------------------------------------------------
 
-ROW = ["bundle_id", "query_type"]
-
 
 @register
 def tokenize(v: Views) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from chunkwright.session import settle, spread
 
 # Small blocks make even the small tables spread over several cells and blocks.
 OPTIONS = Options(block_rows=128)
+PAIRED = replace(OPTIONS, golden_chunks=2, query_types=("factual", "keyword", "comparison"))
 COPY_OFFSET = 1_000_000_000
 
 
