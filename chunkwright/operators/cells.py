@@ -77,8 +77,62 @@ def at_least(cosine: np.ndarray, limit: float | np.ndarray) -> tuple[np.ndarray,
     return row[keep], column[keep], value[keep]
 
 
+def inner_cells(members: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """A block divided once more, inside the task: pivots, the rows of each, and the range of their distances."""
+    pivots = members[:: max(1, math.isqrt(len(members)))]
+    cell, best = np.empty(len(members), np.int64), np.empty(len(members))
+    for start in range(0, len(members), _ROWS):
+        cosine = members[start : start + _ROWS] @ pivots.T
+        cell[start : start + _ROWS] = cosine.argmax(axis=1)
+        best[start : start + _ROWS] = cosine.max(axis=1)
+    dist = np.sqrt(np.maximum(2 - 2 * best, 0))
+    order = np.argsort(cell, kind="stable")
+    held = np.unique(cell)
+    rows = np.split(order, np.searchsorted(cell[order], held[1:]))
+    low, high = (np.array([f(dist[r]) for r in rows]) for f in (np.min, np.max))
+    return pivots[held], rows, low, high
+
+
+def may_hold(cosine: np.ndarray, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, reach: np.ndarray | float) -> np.ndarray:
+    """Which cells can hold something within ``reach`` of rows with these cosines to their pivots."""
+    lead = cosine.argmax(axis=1)
+    gaps = np.sqrt(np.maximum(2 - 2 * pivots[lead] @ pivots.T, 0))
+    ahead = cosine[np.arange(len(lead)), lead][:, None] - cosine
+    dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
+    return (ahead <= reach * gaps + _TIE) & (dist - reach <= high) & (dist + reach >= low)
+
+
+def near(members: np.ndarray, visitors: np.ndarray, limit: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(visitor, member, similarity) of all pairs of two blocks that reach ``limit``, some visitors at a time.
+
+    Members are divided into small cells first; a product is taken only with those that the bounds leave over.
+    """
+    if not len(members):
+        return
+    step = slice_rows(len(members))
+    reach = math.sqrt(max(2 - 2 * limit, 0.0)) + SLACK
+    pivots, rows, low, high = inner_cells(members)
+    for start in range(0, len(visitors), step):
+        part = visitors[start : start + step]
+        visit = may_hold(part @ pivots.T, pivots, low, high, reach)
+        if 2 * np.count_nonzero(visit) > visit.size:  # little to leave out
+            v, m, sim = at_least(part @ members.T, limit)
+            yield start + v, m, sim
+            continue
+        found = []
+        for cell in np.flatnonzero(visit.any(axis=0)):
+            who = np.flatnonzero(visit[:, cell])
+            v, m, sim = at_least(part[who] @ members[rows[cell]].T, limit)
+            found.append((start + who[v], rows[cell][m], sim))
+        if found:
+            yield tuple(np.concatenate(x) for x in zip(*found))
+
+
 def choose_pivots(points: DataFrame, options: Options) -> np.ndarray:
-    """Unit pivots sampled from the data; about sqrt(rows), never above the bound.
+    """Unit pivots sampled from the data; about one a block of rows, never above the bound.
+
+    Fewer, larger cells mean fewer copies of a row on their way to the cells it visits; what a
+    block need not be compared with, :func:`near` leaves out inside the task.
 
     ``points`` may be a wider table than the one to be joined: any pivots are
     correct, and a plain table is read without the filters of the other.
@@ -88,8 +142,8 @@ def choose_pivots(points: DataFrame, options: Options) -> np.ndarray:
     counts = bucket_counts(points, "ord", options.seed)
     rows = sum(n for _, n in counts)
     limit = max(1, min(options.max_pivots, options.broadcast_bytes // (8 * dim)))
-    wanted = min(limit, math.isqrt(rows))
-    if rows <= options.rows_per_block(dim) or wanted < 2:
+    wanted = min(limit, math.ceil(rows / options.rows_per_block(dim)))
+    if wanted < 2:
         return np.eye(1, dim)
     sample = cut_sample(points, "ord", options.seed, counts, wanted).select("embedding").collect()
     return np.unique(unit_rows(np.array([r["embedding"] for r in sample], dtype=float)), axis=0)
@@ -172,20 +226,23 @@ class Cells:
         )
 
 
-def with_visits(df: DataFrame, cells: Cells, radius: float | str) -> DataFrame:
+def with_visits(df: DataFrame, cells: Cells, radius: float | str, before: str | None = None) -> DataFrame:
     """Explode each row to the cells it has to visit.
 
     ``df`` has (ord, unit, cell); ``radius`` is a number or the name of a column.
-    The result has (ord, unit, cell, radius) with ``cell`` the visited one.
+    The result has (ord, unit, cell, radius) with ``cell`` the visited one. ``before`` names a column
+    with a row number; cells whose first row is not before it are not visited.
     """
     context = df.sparkSession.sparkContext
     between = np.sqrt(np.maximum(2 - 2 * cells.pivots @ cells.pivots.T, 0))
-    shared = context.broadcast((cells.pivots, between, cells.low, cells.high))
+    first = np.full(len(cells.pivots), np.iinfo(np.int64).max)
+    first[list(cells.first)] = list(cells.first.values())
+    shared = context.broadcast((cells.pivots, between, cells.low, cells.high, first))
     per_row = isinstance(radius, str)
-    columns = ["ord", "unit", "cell"] + ([radius] if per_row else [])
+    columns = ["ord", "unit", "cell"] + ([radius] if per_row else []) + ([before] if before else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, gaps, low, high = shared.value
+        pivots, gaps, low, high, first = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(start, _ROWS)
@@ -199,6 +256,8 @@ def with_visits(df: DataFrame, cells: Cells, radius: float | str) -> DataFrame:
                 lead = cosine[rows, home][:, None] - cosine
                 dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
                 visit = (lead <= reach * gaps[home] + _TIE) & (dist - reach <= high) & (dist + reach >= low)
+                if before:
+                    visit &= first < part.column(before).to_numpy()[:, None]
                 which, target = np.nonzero(visit)
                 offsets = np.searchsorted(which, np.arange(len(home) + 1)).astype(np.int32)
                 visits = pa.ListArray.from_arrays(
@@ -305,7 +364,6 @@ def visits_inside(visitors: DataFrame, inside: Inside, options: Options, dim: in
         if left.num_rows and right.num_rows:
             centres, inner = matrix(right.column("unit")), right.column("inner").to_numpy()
             low, high = right.column("low").to_numpy(), right.column("high").to_numpy()
-            gaps = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
             unit, found = matrix(left.column("unit")), []
             for start in range(0, len(unit), _ROWS):
                 cosine = unit[start : start + _ROWS] @ centres.T
@@ -314,10 +372,7 @@ def visits_inside(visitors: DataFrame, inside: Inside, options: Options, dim: in
                     row, column = np.repeat(np.arange(len(cosine)), close.shape[1]), close.ravel()
                 else:
                     reach = left.column("radius").to_numpy()[start : start + _ROWS, None] + SLACK
-                    lead = cosine.argmax(axis=1)
-                    ahead = cosine[np.arange(len(lead)), lead][:, None] - cosine
-                    dist = np.sqrt(np.maximum(2 - 2 * cosine, 0))
-                    row, column = np.nonzero((ahead <= reach * gaps[lead] + _TIE) & (dist - reach <= high) & (dist + reach >= low))
+                    row, column = np.nonzero(may_hold(cosine, centres, low, high, reach))
                 found.append((start + row, inner[column]))
             which, target = (np.concatenate(x) for x in zip(*found))
         return pa.table(

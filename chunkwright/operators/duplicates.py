@@ -20,6 +20,7 @@ from .cells import (
     choose_pivots,
     collapse_copies,
     matrix,
+    near,
     points_of,
     slice_rows,
     with_visits,
@@ -37,38 +38,33 @@ def _earliest(threshold: float):
     """For each visitor its earliest member within the limit."""
 
     def compare(member_ord, members, visitor_ord, visitors):
-        step = slice_rows(len(member_ord))
-        for start in range(0, len(visitor_ord), step):
-            ords = visitor_ord[start : start + step]
-            v, m, sim = at_least(visitors[start : start + step] @ members.T, threshold)
+        for v, m, sim in near(members, visitors, threshold):
             order = np.lexsort((member_ord[m], v))
-            order = order[member_ord[m[order]] < ords[v[order]]]
+            order = order[member_ord[m[order]] < visitor_ord[v[order]]]
             first = order[np.unique(v[order], return_index=True)[1]]
-            yield {"left_ord": member_ord[m[first]], "right_ord": ords[v[first]], "sim": sim[first]}
+            yield {"left_ord": member_ord[m[first]], "right_ord": visitor_ord[v[first]], "sim": sim[first]}
 
     return compare
 
 
 def _has_earlier(threshold: float):
     def compare(member_ord, members, visitor_ord, visitors):
-        step = slice_rows(len(member_ord))
-        for start in range(0, len(visitor_ord), step):
-            ords = visitor_ord[start : start + step]
-            v, m, _ = at_least(visitors[start : start + step] @ members.T, threshold)
-            yield {"ord": ords[np.unique(v[member_ord[m] < ords[v]])]}
+        for v, m, _ in near(members, visitors, threshold):
+            yield {"ord": visitor_ord[np.unique(v[member_ord[m] < visitor_ord[v]])]}
 
     return compare
 
 
-def _mark_near_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> DataFrame:
-    """Add ``near_leader``: an earlier row among the first rows of the cells is within the limit.
+def _with_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> DataFrame:
+    """Add ``leader`` and ``leader_sim``: the earliest among the first rows of the cells that is earlier and within the limit.
 
+    ``until`` is the leader's ``ord``, or else the row's own: an earlier match than the leader has a lower ``ord``.
     One leader per cell, so as many vectors as there are pivots are shared. All
     but the leader of a dense crowd of near copies are settled here in one pass
     over the rows, and are never compared with each other.
     """
     firsts_of_cells = list(cells.first.values())
-    leaders = firsts.filter(F.col("ord").isin(firsts_of_cells)).select("ord", "unit").collect()
+    leaders = firsts.filter(F.col("ord").isin(firsts_of_cells)).select("ord", "unit").orderBy("ord").collect()
     shared = firsts.sparkSession.sparkContext.broadcast(
         (np.array([r["ord"] for r in leaders]), np.array([r["unit"] for r in leaders]))
     )
@@ -80,16 +76,22 @@ def _mark_near_leaders(firsts: DataFrame, cells: Cells, threshold: float) -> Dat
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 ords = part.column("ord").to_numpy()
-                row, leader, _ = at_least(matrix(part.column("unit")) @ leader_unit.T, threshold)
-                near = np.zeros(len(ords), dtype=bool)
-                near[row[leader_ord[leader] < ords[row]]] = True
+                row, leader, sim = at_least(matrix(part.column("unit")) @ leader_unit.T, threshold)
+                earlier = leader_ord[leader] < ords[row]
+                row, leader, sim = row[earlier], leader[earlier], sim[earlier]
+                row, at = np.unique(row, return_index=True)  # leaders are in order, so the first is the earliest
+                until, cosine, none = ords.copy(), np.zeros(len(ords)), np.ones(len(ords), bool)
+                until[row], cosine[row], none[row] = leader_ord[leader[at]], sim[at], False
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("ord"), part.column("unit"), part.column("cell"), pa.array(near)],
-                    ["ord", "unit", "cell", "near_leader"],
-                )
+                    [
+                        part.column("ord"), part.column("unit"), part.column("cell"),
+                        pa.array(until, mask=none), pa.array(cosine, mask=none), pa.array(until),
+                    ],
+                    ["ord", "unit", "cell", "leader", "leader_sim", "until"],
+                )
 
     return firsts.select("ord", "unit", "cell").mapInArrow(
-        run, "ord bigint, unit array<double>, cell int, near_leader boolean"
+        run, "ord bigint, unit array<double>, cell int, leader bigint, leader_sim double, until bigint"
     )
 
 
@@ -122,15 +124,20 @@ def near_duplicate_pairs(
         ).select(F.col("golden_ord").alias("left_ord"), F.col("ord").alias("right_ord"), "sim")
     homes, firsts, pivots = _distinct_directions(chunks, options)
     cells = Cells.measure(firsts, pivots)
+    led = settle(_with_leaders(firsts, cells, threshold))
     between = cell_join(
         firsts.select("ord", "unit", "cell"),
-        with_visits(firsts, cells, _radius(threshold)),
+        with_visits(led, cells, _radius(threshold), before="until"),
         cells.rows,
         options,
         _earliest(threshold),
         pivots.shape[1],
         "left_ord bigint, right_ord bigint, sim double",
     )
+    by_leader = led.filter("leader IS NOT NULL").select(
+        F.col("leader").alias("left_ord"), F.col("ord").alias("right_ord"), F.col("leader_sim").alias("sim")
+    )
+    between = between.unionByName(by_leader)
     best = F.min(F.struct("left_ord", "sim")).alias("best")
     between = settle(between.groupBy("right_ord").agg(best).select("right_ord", "best.*"))
     return with_copies(homes, firsts, between)
@@ -162,17 +169,17 @@ def _without_earlier(firsts: DataFrame, pivots: np.ndarray, options: Options) ->
     """Split (ord, unit, cell, dist) rows by whether an earlier row is within the limit."""
     threshold = options.duplicate_cosine
     cells = Cells.measure(firsts, pivots)
-    marked = _mark_near_leaders(firsts, cells, threshold)
+    marked = _with_leaders(firsts, cells, threshold)
     later = cell_join(
         firsts.select("ord", "unit", "cell"),
-        with_visits(marked.filter(~F.col("near_leader")), cells, _radius(threshold)),
+        with_visits(marked.filter("leader IS NULL"), cells, _radius(threshold), before="until"),
         cells.rows,
         options,
         _has_earlier(threshold),
         pivots.shape[1],
         "ord bigint",
     ).distinct()
-    later = settle(later.unionByName(marked.filter("near_leader").select("ord")))
+    later = settle(later.unionByName(marked.filter("leader IS NOT NULL").select("ord")))
     return firsts.join(later, "ord", "left_anti"), firsts.join(later, "ord", "left_semi")
 
 

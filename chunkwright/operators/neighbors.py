@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..options import Options
 from ..session import settle
 from .cells import (
+    SLACK,
     Cells,
     assign_homes,
     at_least,
@@ -19,7 +20,9 @@ from .cells import (
     choose_pivots,
     collapse_copies,
     divide,
+    inner_cells,
     matrix,
+    may_hold,
     points_of,
     slice_rows,
     unit_rows,
@@ -50,10 +53,43 @@ def _entries(cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.nda
 
 
 def _nearest_members(k: int):
+    """The k nearest members of each visitor.
+
+    Members are divided into small cells inside the task. A visitor's nearest cell yields a
+    similarity that k members reach; other cells are looked at only if the bounds let them hold better ones.
+    """
+
     def compare(member_ord, members, visitor_ord, visitors):
+        if not len(members):
+            return
         step = slice_rows(len(member_ord))
+        pivots, rows, low, high = inner_cells(members)
         for start in range(0, len(visitor_ord), step):
-            v, m, sim = _entries(visitors[start : start + step] @ members.T, k)
+            part = visitors[start : start + step]
+            cosine = part @ pivots.T
+            lead = cosine.argmax(axis=1)
+            reach, found = np.full(len(part), _FARTHEST), []
+
+            def look(who, cell):
+                v, m, sim = _entries(part[who] @ members[rows[cell]].T, k)
+                found.append((who[v], rows[cell][m], sim))
+
+            for cell in np.unique(lead):
+                who = np.flatnonzero(lead == cell)
+                look(who, cell)
+                if len(rows[cell]) >= k:
+                    v, _, sim = found[-1]
+                    worst = np.full(len(part), 2.0)
+                    np.minimum.at(worst, v, sim)  # ties of the k-th are among them, nothing worse
+                    reach[who] = np.sqrt(np.maximum(2 - 2 * worst[who], 0))
+            visit = may_hold(cosine, pivots, low, high, reach[:, None] + SLACK)
+            if 2 * np.count_nonzero(visit) > visit.size:  # little to leave out
+                v, m, sim = _entries(part @ members.T, k)
+            else:
+                visit[np.arange(len(part)), lead] = False
+                for cell in np.flatnonzero(visit.any(axis=0)):
+                    look(np.flatnonzero(visit[:, cell]), cell)
+                v, m, sim = (np.concatenate(x) for x in zip(*found))
             keep = _best(v, member_ord[m], sim, k)
             v, m = v[keep], m[keep]
             yield {"visitor_ord": visitor_ord[start + v], "ord": member_ord[m], "sim": sim[keep]}

@@ -22,12 +22,11 @@ from ..session import settle
 from .cells import (
     Cells,
     assign_homes,
-    at_least,
     cell_join,
     choose_pivots,
     collapse_copies,
+    near,
     points_of,
-    slice_rows,
     with_visits,
 )
 from .duplicates import _radius, _without_earlier, greedy_rounds
@@ -83,10 +82,8 @@ def _any_member(threshold: float):
     """Visitors that have a member within the limit, whatever the order numbers of the two say."""
 
     def compare(member_ord, members, visitor_ord, visitors):
-        step = slice_rows(len(member_ord))
-        for start in range(0, len(visitor_ord), step):
-            v, _, _ = at_least(visitors[start : start + step] @ members.T, threshold)
-            yield {"ord": visitor_ord[start + np.unique(v)]}
+        for v, _, _ in near(members, visitors, threshold):
+            yield {"ord": visitor_ord[np.unique(v)]}
 
     return compare
 
