@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..options import Options
-from ..session import settle
+from ..session import fresh_dir, settle
 from .cells import (
     SLACK,
     Cells,
@@ -29,7 +29,7 @@ from .cells import (
     visits_inside,
     with_visits,
 )
-from .sampling import bucket_counts, cut_sample, top_k
+from .sampling import top_k
 
 _FARTHEST = 2.0  # chord length across the unit sphere
 
@@ -217,45 +217,15 @@ def knn_join(golden: DataFrame, corpus: DataFrame, k: int, options: Options) ->
 
 
 def knn_ivf(golden: DataFrame, corpus: DataFrame, k: int, options: Options) -> DataFrame:
-    """Approximate: k-means cells, the nearest ``ivf_nprobe`` searched.
+    """Approximate: an index of the corpus is built and its nearest ``ivf_nprobe`` cells searched.
 
-    There are ``ivf_nlist`` centres, or one per row where the corpus has fewer rows. They are
-    trained on ``ivf_training_rows`` sampled rows per centre; every row lands in a cell. With
-    ``ivf_nprobe`` at least the number of cells the result is exact.
+    For a corpus that is searched more than once, build the index with
+    :func:`~.vector_index.build_index` and keep it. With ``ivf_nprobe`` at least the number
+    of cells the result is exact.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
+    from .vector_index import build_index
 
-    golden, corpus = points_of(golden), points_of(corpus)
-    counts = bucket_counts(corpus, "ord", options.seed)
-    total = sum(n for _, n in counts)
-    nlist = min(options.ivf_nlist, total)
-    if nlist > 1:
-        training = cut_sample(corpus, "ord", options.seed, counts, options.ivf_training_rows * nlist)
-        model = KMeans(k=nlist, seed=options.seed, maxIter=10, distanceMeasure="cosine").fit(
-            training.select(array_to_vector("embedding").alias("features"))
-        )
-        centers = np.unique(unit_rows(np.array(model.clusterCenters())), axis=0)
-    else:
-        dim = len(corpus.select("embedding").first()["embedding"])
-        centers = np.eye(1, dim)
-    members = settle(assign_homes(corpus, centers).select("ord", "unit", "cell"))
-    homes = assign_homes(golden, centers)
-    firsts = settle(collapse_copies(homes))
-    visits = settle(_nearest_cells(firsts, centers, options.ivf_nprobe))
-    found = _ranked(
-        block_join(
-            members,
-            visits,
-            options,
-            _nearest_members(k + 1),
-            centers.shape[1],
-            _FOUND,
-        ),
-        "visitor_ord",
-        k + 1,
-    ).drop("rank")
-    return _to_golden(homes, firsts, found, k)
+    return build_index(corpus, fresh_dir(corpus.sparkSession, "index"), options).search(golden, k, options)
 
 
 def _nearest_cells(df: DataFrame, centers: np.ndarray, nprobe: int) -> DataFrame:
@@ -301,9 +271,17 @@ def vector_search(golden: DataFrame, corpus: DataFrame, results: DataFrame, k: i
 Strategy = Callable[[DataFrame, DataFrame, int, Options], DataFrame]
 
 
-def search_strategy(name: str, results: DataFrame | None = None) -> Strategy:
-    """Neighbour search by name. Any function of the same shape can stand in for it."""
+def search_strategy(name: str, results: DataFrame | None = None, index: str | None = None) -> Strategy:
+    """Neighbour search by name. Any function of the same shape can stand in for it.
+
+    ``ivf`` searches the index at ``index`` if one is named, and reads rows of it that the corpus does not hold as
+    well; without it, one is built for the search.
+    """
     from .hybrid import hybrid_search
+    from .vector_index import open_index
+
+    def saved(golden, corpus, k, options):
+        return open_index(golden.sparkSession, index).search(golden, k, options)
 
     def external(golden, corpus, k, options):
         if results is None:
@@ -312,7 +290,7 @@ def search_strategy(name: str, results: DataFrame | None = None) -> Strategy:
 
     known: dict[str, Strategy] = {
         "exact": knn_join,
-        "ivf": knn_ivf,
+        "ivf": knn_ivf if index is None else saved,
         "hybrid": hybrid_search,
         "external": external,
     }

@@ -560,6 +560,9 @@ ORACLES["judge_requests"] = _with(
     "SELECT DISTINCT request_key AS query_key, query, coalesce(answer, substr(chunk_text, 1, 256)) AS answer, "
     "chunk_text AS context FROM judged WHERE NOT ok AND picked AND score IS NULL",
 )
+ORACLES["backend_info"] = _with(
+    "chunks", "SELECT 'ivf' AS backend, count(*) AS rows, any_value(len(embedding))::INTEGER AS width FROM chunks"
+)
 ORACLES["knn_ivf"] = _with(
     "chunks",
     "SELECT ord AS golden_ord, 3::BIGINT AS rows, true AS holds FROM chunks "

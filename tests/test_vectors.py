@@ -5,9 +5,10 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from chunkwright.operators import duplicates, neighbors
+from chunkwright.operators import duplicates, neighbors, vector_index
 from chunkwright.operators.cells import unit_rows
 from chunkwright.options import Options
+from chunkwright.session import fresh_dir
 
 SCHEMA = "ord bigint, embedding array<double>"
 
@@ -121,7 +122,37 @@ def test_ivf_recall_and_exactness(spark):
         return {(r["golden_ord"], r["ord"]) for r in neighbors.knn_ivf(df, df, 3, options).collect()}
 
     assert found(12) == exact
-    assert len(found(4) & exact) / len(exact) > 0.6
+    assert len(found(4) & exact) / len(exact) > 0.6  # as many cells as named, whatever they yield
+
+
+def test_saved_index_reaches_the_recall_asked_for(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(20, 8))
+    vectors = centre[rng.integers(0, 20, 900)] + 0.4 * rng.normal(size=(900, 8))
+    df = frame(spark, vectors)
+    exact = {(r["golden_ord"], r["ord"]) for r in neighbors.knn_join(df, df, 5, Options()).collect()}
+    path = fresh_dir(spark, "index")
+    options = Options(ivf_nlist=24, block_rows=64)
+    vector_index.build_index(df, path, options)
+    monkeypatch.setattr(vector_index, "_fit", None)  # nothing is fitted from here on
+    index = vector_index.open_index(spark, path)
+    assert (np.diff(index.curve) >= 0).all() and index.curve[-1] == 1
+    assert index.info() == {"backend": "ivf", "rows": 900, "width": 8, "cells": len(index.centres)}
+    probes = {}
+    for recall in (0.9, 0.99):
+        found = {(r["golden_ord"], r["ord"]) for r in index.search(df, 5, options, recall).collect()}
+        probes[recall] = index.probes_for(recall)
+        assert len(found & exact) / len(exact) >= recall
+    assert probes[0.9] < probes[0.99] <= len(index.centres) or probes[0.9] < len(index.centres)
+    by_name = neighbors.search_strategy("ivf", index=path)(df, df, 5, replace(options, ivf_nprobe=24)).collect()
+    assert {(r["golden_ord"], r["ord"]) for r in by_name} == exact
+
+
+def test_index_of_no_row_and_of_one(spark):
+    for rows in (0, 1):
+        df = frame(spark, np.ones((1, 3))).limit(rows)
+        index = vector_index.build_index(df, fresh_dir(spark, "index"), Options())
+        assert index.info()["rows"] == rows and index.search(df, 2, Options(), 0.9).count() == 0
 
 
 def test_capped_pairs(spark):
