@@ -12,14 +12,16 @@ from .sampling import top_k
 
 # Usual BM25 parameters of text indexes, and the RRF constant.
 _K1, _B, _RRF = 1.2, 0.75, 60
+#: Rows with a term that meet its queries at a time.
+_POSTINGS = 10_000
 
 
 def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """(golden_ord, ord, score, rank): corpus rows that hold all key terms of the golden row.
 
-    Golden rows with the same key terms are searched once. Candidates are the
-    rows holding a query's rarest term, so a common word never joins all its
-    rows with all its queries; the other terms are then looked up by
+    Golden rows with the same key terms are searched once. Candidates hold the two rarest terms of a
+    query, and are found once for all queries that share the two: rows with the rarest term, in
+    parts of bounded size, that also hold the second. The other terms are then looked up by
     (row, term), which can only keep a candidate or drop it.
     """
     terms_of = settle(golden.select("ord", F.expr(key_terms("chunk_text")).alias("key_terms")))
@@ -42,10 +44,25 @@ def text_search(golden: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("terms"))  # five at most
         .filter(F.size("terms") == F.size(F.split("key_terms", " ")))
     )
-    rarest = F.col("terms")[0]["term"].alias("term")
+    heads = queries.select(
+        "key_terms", "terms", F.col("terms")[0].alias("head"), F.coalesce(F.get("terms", F.lit(1))["term"], F.lit("")).alias("second")
+    )
+    pairs = heads.select(
+        F.col("head.term").alias("term"), "second", F.ceil(F.col("head.df") / _POSTINGS).alias("parts")
+    ).distinct()
+    parted = postings.select("term", "ord").join(pairs.select("term", "parts").distinct(), "term").select(
+        "term", "ord", F.pmod(F.xxhash64("ord"), F.col("parts")).alias("part")
+    )
+    asked = pairs.select("term", "second", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    holding = parted.join(asked, ["term", "part"]).select("term", "second", "ord")
+    both = holding.filter("second = ''").unionByName(
+        holding.filter("second <> ''").join(
+            postings.select(F.col("term").alias("second"), "ord"), ["second", "ord"], "left_semi"
+        )
+    )
     candidates = (
-        queries.select("key_terms", "terms", rarest)
-        .join(postings.select("term", "ord"), "term")
+        heads.select("key_terms", "terms", F.col("head.term").alias("term"), "second")
+        .join(settle(both), ["term", "second"])
         .select("key_terms", "ord", F.size("terms").alias("asked"), F.inline("terms"))
     )
     idf = F.ln(1 + (docs_total - F.col("df") + 0.5) / (F.col("df") + 0.5))

@@ -219,6 +219,12 @@ def _with(needs: str, query: str, known: dict[str, tuple[str, str]] = _STEPS) ->
     return (f"WITH {steps}\n" if steps else "") + query
 
 
+# The same steps over all documents, with a vector or without.
+_ALL_STEPS = _STEPS | {
+    "copied": ("docs", "SELECT doc_id, chunk_id, chunk_text, embedding, ord FROM docs"),
+    "units": ("copied", _STEPS["units"][1] + " WHERE embedding IS NOT NULL"),
+}
+
 # The same steps for sets of two golden chunks or three, which ``goldens`` has as one row each.
 _SET_STEPS = _STEPS | {
     "types": ("", "SELECT unnest(['factual', 'keyword', 'comparison']) AS query_type"),
@@ -401,7 +407,9 @@ ORACLES: dict[str, str] = {
         "GROUP BY doc_id, term QUALIFY place <= 5) GROUP BY doc_id) t USING (doc_id)"
     ),
     "text_search": _with(
-        "text_hits", "SELECT golden_ord, ord, rank::INTEGER AS rank, round(score, 4) AS score FROM text_hits WHERE rank <= 13"
+        "text_hits",
+        "SELECT golden_ord, ord, rank::INTEGER AS rank, round(score, 4) AS score FROM text_hits WHERE rank <= 13",
+        _ALL_STEPS,
     ),
     "hybrid_search": _with(
         "text_hits,sims",
@@ -410,6 +418,7 @@ ORACLES: dict[str, str] = {
         "SELECT golden_ord, ord, rank FROM text_hits WHERE rank <= 13 UNION ALL SELECT l, r, row_number() OVER "
         "(PARTITION BY l ORDER BY sim DESC, r) AS place FROM sims QUALIFY place <= 8) GROUP BY golden_ord, ord) "
         "QUALIFY rank <= 3",
+        _ALL_STEPS,
     ),
     "sample_exact": _with(
         "chunks", "SELECT doc_id, chunk_id FROM chunks WHERE ord IN ("
@@ -541,7 +550,7 @@ ORACLES["ranking_metrics"] = """
 WITH found AS (
   SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS rank FROM documents
 ),
-wanted AS (SELECT source, doc_id FROM documents WHERE doc_id % 3 = 0),
+wanted AS (SELECT source, doc_id FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
 hits AS (SELECT w.source, f.rank FROM wanted w LEFT JOIN found f ON f.doc_id = w.doc_id AND f.rank <= 10),
 gains AS (
   SELECT source, coalesce(sum(1 / log2(rank + 1)), 0) AS gain, coalesce(max(1 / rank), 0) AS mrr, count(*) AS n
@@ -553,7 +562,9 @@ SELECT source AS query_key,
 FROM gains
 """
 ORACLES["target_bundles"] = (
-    "SELECT lang, count(*) AS rows, 1 AS bundles_0, 3 AS bundles_1, 20 AS bundles_2 FROM documents GROUP BY lang"
+    "SELECT lang, doc_id, bundles FROM (SELECT d.lang, d.doc_id, w.bundles, row_number() OVER (PARTITION BY d.lang ORDER BY "
+    "md5('42:' || d.doc_id), d.doc_id) AS place FROM documents d JOIN (SELECT lang, greatest(1, ceil(count(*) / 2))::INTEGER "
+    "AS bundles FROM documents JOIN labels USING (doc_id) GROUP BY lang) w ON w.lang = d.lang) WHERE place <= bundles"
 )
 ORACLES["judge_requests"] = _with(
     "judged",

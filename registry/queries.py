@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -346,13 +347,14 @@ def key_terms(v: Views) -> DataFrame:
 
 @register
 def text_search(v: Views) -> DataFrame:
-    found = hybrid.text_search(v.copied, v.copied, 13)
+    found = hybrid.text_search(v.documents, v.documents, 13)
     return found.select("golden_ord", "ord", "rank", F.round("score", 4).alias("score"))
 
 
 @register
 def hybrid_search(v: Views) -> DataFrame:
-    found = hybrid.hybrid_search(v.copied, v.copied, 3, OPTIONS)
+    """All documents; those without a vector are found by their text alone."""
+    found = hybrid.hybrid_search(v.documents, v.documents, 3, OPTIONS)
     return found.select("golden_ord", "ord", "rank", F.round("sim", 6).alias("sim"))
 
 
@@ -666,9 +668,10 @@ def stopword_ratio_filter(v: Views) -> DataFrame:
 
 @register
 def ranking_metrics(v: Views) -> DataFrame:
-    """Documents of one source as what is wanted, those of one language as what was found."""
+    """Of every source, documents labelled as good are wanted; the longest were found."""
     docs = v.table("documents")
-    expected = docs.select(F.col("source").alias("query_key"), "doc_id").filter("doc_id % 3 = 0")
+    good = v.table("labels").filter("quality = 1").select("doc_id").distinct()
+    expected = docs.select(F.col("source").alias("query_key"), "doc_id").join(good, "doc_id", "left_semi")
     place = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("n_chars"), "doc_id"))
     results = docs.select(F.col("source").alias("query_key"), "doc_id", place.alias("rank"))
     found = extensions.ranking_metrics(expected, results, k=10)
@@ -677,8 +680,13 @@ def ranking_metrics(v: Views) -> DataFrame:
 
 @register
 def target_bundles(v: Views) -> DataFrame:
-    """Bundles to sample for a range of wanted queries, per language of the documents."""
-    wanted = [sampling.target_bundles(Options(target_queries=n)) for n in (2, 5, 40)]
-    return v.table("documents").groupBy("lang").agg(
-        F.count("*").alias("rows"), *(F.lit(n).cast("int").alias(f"bundles_{k}") for k, n in enumerate(wanted))
-    )
+    """Sets to sample from each language so that as many queries come out as it has labelled documents."""
+    docs = v.table("documents")
+    wanted = docs.join(v.table("labels").select("doc_id"), "doc_id").groupBy("lang").agg(F.count("*").alias("wanted"))
+    counts = docs.groupBy("lang").agg(F.count("*").alias("rows")).join(wanted, "lang")
+    parts = []
+    for r in counts.collect():  # one for each language
+        options = Options(target_queries=r["wanted"])
+        chosen = sampling.sample_exact(docs.filter(F.col("lang") == r["lang"]), "doc_id", 42, sampling.sample_size(r["rows"], options))
+        parts.append(chosen.select("lang", "doc_id", F.lit(sampling.target_bundles(options)).cast("int").alias("bundles")))
+    return reduce(DataFrame.unionByName, parts)
