@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -161,6 +161,36 @@ def load_order(chunks: DataFrame, order_by: Sequence[str] = ("doc_id", "chunk_id
     return settle(ordered.withColumn("ord", F.monotonically_increasing_id()))
 
 
+#: Splits of input files whose numbers are sent to all tasks; beyond that they are joined.
+_SPLITS_SENT = 1_000_000
+
+
+def number_lines(parsed: DataFrame) -> DataFrame:
+    """Add ``ord`` BIGINT in the order of the input: by path, file, and place in the file.
+
+    Rows are written down where they are and never sorted. A split of a file (``_ORDER``) numbers its own rows; only one
+    row for each split is put into order, and their lengths are added up within and between the parts of that order.
+    """
+    spark = parsed.sparkSession
+    rows = settle(parsed)
+    split = [c for c in _ORDER if c != "line"]
+    sizes = rows.groupBy(*split).agg((F.max("line") - F.min("line") + 1).alias("n"), F.min("line").alias("first"))
+    ordered = settle(
+        sizes.orderBy(*split).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place"))
+    )
+    base, bases = 0, []
+    for r in ordered.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one for each task of a sort
+        bases.append((r["part"], base))
+        base += r["n"]
+    parts = F.broadcast(spark.createDataFrame(bases, "part int, base bigint"))
+    before = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")
+    starts = settle(ordered.join(parts, "part").select(*split, start.alias("start")))
+    if starts.count() <= _SPLITS_SENT:
+        starts = F.broadcast(starts)
+    return rows.join(starts, split).withColumn("ord", F.col("line") + F.col("start")).drop(*_ORDER, "start")
+
+
 def unique_keys(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(first row of every (doc_id, chunk_id), later rows of the same key).
 
@@ -207,7 +237,7 @@ def load_chunks(
         raise ValueError(f"unknown input type {input_type!r}")
     # The raw text is kept only for what goes to quarantine.
     parsed = parsed.withColumn("value", F.when(F.col("error").isNotNull(), F.col("value")))
-    ordered = load_order(parsed, _ORDER).drop(*_ORDER)
+    ordered = number_lines(parsed)
     chunks, repeated = unique_keys(good_rows(ordered))
     check_dims(chunks, embed_dim)
     bad = quarantine(ordered).unionByName(

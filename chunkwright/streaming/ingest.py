@@ -17,7 +17,7 @@ def stream_ingest(
 
     Each batch writes its own folder and overwrites it when retried, so a batch
     that is run twice leaves one copy. Rewritten files are not read again; use
-    ``incremental_load`` for those.
+    ``incremental_load`` for those, and ``upsert.stream_upsert`` where keys come again.
     """
     lines = (
         spark.readStream.schema("value string").option("pathGlobFilter", glob).text(folder)
@@ -25,10 +25,12 @@ def stream_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_chunks(batch).persist()
-        chunks = with_token_count(good_rows(parsed)).filter(length_ok(options)).drop("n_tokens")
-        chunks.write.mode("overwrite").parquet(f"{out}/chunks/batch={batch_id}")
-        quarantine(parsed).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
-        parsed.unpersist()
+        try:
+            chunks = with_token_count(good_rows(parsed)).filter(length_ok(options)).drop("n_tokens")
+            chunks.write.mode("overwrite").parquet(f"{out}/chunks/batch={batch_id}")
+            quarantine(parsed).write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id}")
+        finally:
+            parsed.unpersist()
 
     return (
         lines.writeStream.foreachBatch(write)

@@ -331,6 +331,11 @@ ORACLES: dict[str, str] = {
     "load_order": _with(
         "copied", "SELECT doc_id, string_agg(chunk_id, ',' ORDER BY chunk_id) AS chunk_ids FROM copied GROUP BY doc_id"
     ),
+    "number_lines": _with("chunks", "SELECT chunk_id, row_number() OVER (ORDER BY ord) - 1 AS place FROM chunks"),
+    "stream_upsert": _with(
+        "docs", "SELECT doc_id, chunk_id, chunk_text || CASE WHEN lang = 'en' THEN '!' ELSE '' END AS chunk_text FROM docs "
+        f"WHERE lang <> 'fr' AND embedding IS NOT NULL AND {_COUNT} BETWEEN 5 AND 350",
+    ),
     "incremental_load": _with("docs", _ALL_FIELDS),
     "stream_ingest": _with(
         "docs", "SELECT doc_id, chunk_id, chunk_text FROM docs WHERE lang <> 'fr' AND embedding IS NOT NULL "

@@ -16,6 +16,7 @@ from chunkwright.plans import testset
 from chunkwright.session import fresh_dir, settle
 from chunkwright.sources import chunks as sources
 from chunkwright.sources import incremental, sinks
+from chunkwright.streaming import upsert
 from chunkwright.streaming.ingest import stream_ingest as stream
 
 from .views import COPY_OFFSET, OPTIONS, PAIRED, Views
@@ -106,6 +107,16 @@ def load_order(v: Views) -> DataFrame:
     )
 
 
+@register
+def number_lines(v: Views) -> DataFrame:
+    """Chunks written in their order to several files, and their places when these are read."""
+    path = fresh_dir(v.spark, "ordered")
+    rows = v.chunks.repartitionByRange(7, "ord").sortWithinPartitions("ord")
+    rows.select(F.to_json(F.struct("doc_id", "chunk_id", "chunk_text", "embedding")).alias("value")).write.text(path)
+    parsed = sources.scan_jsonl(v.spark, path, glob="*.txt")
+    return sources.number_lines(parsed).select("chunk_id", F.col("ord").alias("place"))
+
+
 def _lines(v: Views, folder: str, english: bool) -> None:
     """Append JSON lines of the English or of the other documents to ``folder``."""
     part = v.documents.filter((F.col("lang") == "en") == english)
@@ -132,6 +143,18 @@ def stream_ingest(v: Views) -> DataFrame:
     return v.spark.read.parquet(f"{out}/chunks").select(*KEY, "chunk_text")
 
 
+@register
+def stream_upsert(v: Views) -> DataFrame:
+    """English documents, then the others, then the English ones again with a longer text: each key once."""
+    folder, out, seen = (fresh_dir(v.spark, name) for name in ("incoming", "upserts", "progress"))
+    longer = v.documents.filter("lang = 'en'").withColumn("chunk_text", F.concat("chunk_text", F.lit("!")))
+    english = F.col("lang") == "en"
+    for part in (v.documents.filter(english), v.documents.filter(~english), longer):
+        _json_lines(part).write.mode("append").text(folder)
+        upsert.stream_upsert(v.spark, folder, out, seen, OPTIONS, glob="*.txt", buckets=8).awaitTermination()
+    return upsert.read_upserts(v.spark, out).select(*KEY, "chunk_text")
+
+
 # --- projections, filters, row checks ----------------------------------------
 
 
