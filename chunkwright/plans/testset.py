@@ -18,11 +18,12 @@ from ..operators.evaluation import evaluate_queries, ground_truth_rows
 from ..operators.golden_sets import build_set_bundles, golden_sets, set_neighbors
 from ..operators.neighbors import search_strategy
 from ..operators.sampling import sample_golden
-from ..operators.validation import Validated, drop_vectors, stage_guard, validate
+from ..operators.validation import Validated, annotate, drop_vectors, stage_guard
 from ..options import Options
 from ..session import settle, spread
 from ..sources.chunks import check_dims
 from ..sources.sinks import write_ground_truth, write_rejected
+from .reuse import Stages
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,11 @@ class TestSet:
     ground_truth: DataFrame
 
 
+def _validating(options: Options) -> tuple:
+    """The settings that shape a verdict."""
+    return options.min_tokens, options.max_tokens, options.duplicate_cosine, options.duplicate_policy
+
+
 def select_bundles(
     validated: Validated, options: Options, search_results: DataFrame | None = None
 ) -> DataFrame:
@@ -60,15 +66,33 @@ def build_testset(
     completions: DataFrame | None = None,
     judge_scores: DataFrame | None = None,
     search_results: DataFrame | None = None,
+    stages: Stages | None = None,
 ) -> TestSet:
     """All stages on lazy tables; validated chunks and requests are written down once.
 
-    Without ``completions`` the queries are the extractive stand-ins.
+    Without ``completions`` the queries are the extractive stand-ins. With ``stages`` the validated chunks, the
+    bundles and the requests of an earlier run are read where the settings that shape them are the same.
+    Bundles from ``search_results`` are not kept, as these are an input of their own.
     """
-    check_dims(chunks, options.embed_dim)
-    validated = validate(chunks, options)
-    bundles = select_bundles(validated, options, search_results)
-    requests = spread(settle(build_requests(bundles, options)))
+    o = options
+    if stages is None or not stages.has("validated", _validating(o)):
+        check_dims(chunks, o.embed_dim)
+
+    def kept(name: str, settings: tuple, build) -> DataFrame:
+        return settle(build()) if stages is None else stages.keep(name, settings, build)
+
+    validated = Validated(kept("validated", _validating(o), lambda: annotate(chunks, o)))
+    if search_results is None and stages is not None:
+        choosing = (
+            o.sample_rate, o.sample_unit, o.target_queries, len(o.query_types), o.num_distractors, o.golden_chunks, o.seed,
+            o.strategy, o.distractor_pool, o.ivf_nlist, o.ivf_nprobe, o.hybrid_vector_extra, o.hybrid_text_extra,
+        )
+        bundles = kept("bundles", choosing, lambda: select_bundles(validated, o))
+        requests = kept("requests", (o.query_types, o.temperature, o.answer_tokens, o.config_hash()), lambda: build_requests(bundles, o))
+    else:
+        bundles = select_bundles(validated, o, search_results)
+        requests = settle(build_requests(bundles, o))
+    requests = spread(requests)
     pending = None
     if completions is None:
         completions = extractive_queries(requests, options)

@@ -584,3 +584,6 @@ ORACLES["knn_ivf"] = _with(
     "SELECT ord AS golden_ord, 3::BIGINT AS rows, true AS holds FROM chunks "
     "UNION ALL SELECT -1, 3 * count(*), true FROM chunks",
 )
+ORACLES["stage_reuse"] = (
+    "SELECT *, true AS validated_reused, true AS bundles_reused, false AS requests_reused FROM (" + ORACLES["whole_run"] + ")"
+)

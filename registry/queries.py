@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chunkwright.functions import keys, text, vectors
 from chunkwright.operators import bundles, duplicates, evaluation, extensions, golden_sets, hybrid, lsh, neighbors, revalidation, sampling, validation, vector_index
 from chunkwright.options import Options
-from chunkwright.plans import testset
+from chunkwright.plans import reuse, testset
 from chunkwright.session import fresh_dir, settle
 from chunkwright.sources import chunks as sources
 from chunkwright.sources import incremental, sinks
@@ -668,6 +668,18 @@ def whole_run(v: Views) -> DataFrame:
     return flagship(v.copied, replace(OPTIONS, sample_rate=0.25))
 
 
+@register
+def stage_reuse(v: Views) -> DataFrame:
+    """The same run at another temperature, after one whose validated chunks and bundles it takes over."""
+    store, taken = fresh_dir(v.spark, "stages"), reuse.snapshot(v.copied)
+    options = replace(OPTIONS, sample_rate=0.25)
+    testset.build_testset(v.copied, options, stages=reuse.Stages(v.spark, store, taken))
+    stages = reuse.Stages(v.spark, store, reuse.snapshot(v.copied))
+    again = testset.build_testset(v.copied, replace(options, temperature=0.9), stages=stages)
+    reused = [F.lit(stages.reused[name]).alias(f"{name}_reused") for name in ("validated", "bundles", "requests")]
+    return again.evaluated.select(*ROW, "query", "golden_rank", F.round("margin", 4).alias("margin"), "accepted", *reused)
+
+
 def flagship(chunks: DataFrame, options: Options) -> DataFrame:
     result = testset.build_testset(chunks, options)
     return result.evaluated.select(
