@@ -271,14 +271,24 @@ def _by_word(texts: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[
     return flat, totals[ends[1:]] - totals[ends[:-1]], wrong[ends[1:]] == wrong[ends[:-1]]
 
 
-def _agrees(ids: pa.Array, texts: pa.Array, data: bytes, threads: int) -> list[bool]:
-    """Whether the other library gives these ids for the whole texts."""
-    same, at = [], 0
+def _agrees(ids: pa.Array, texts: pa.Array, data: bytes, threads: int) -> np.ndarray:
+    """Whether the other library gives these ids for the whole texts; ids are compared end to end."""
+    starts, values = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy()
+    same, at = [np.zeros(0, bool)], 0
     for part in _slices(texts.to_pylist()):
-        own = ids.slice(at, len(part)).to_pylist()
-        same += map(eq, own, _reference(data).encode(part, num_threads=threads))
+        wanted = _reference(data).encode(part, num_threads=threads)
+        sizes = np.fromiter(map(len, wanted), np.int64, len(part))
+        flat = np.fromiter(chain.from_iterable(wanted), np.int32, int(sizes.sum()))
+        own = starts[at : at + len(part) + 1]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        if np.array_equal(np.diff(own), sizes):
+            wrong = np.concatenate(([0], np.cumsum(flat != values[own[0] : own[-1]])))
+            same.append(wrong[ends[1:]] == wrong[ends[:-1]])
+        else:
+            rows = zip(own[:-1], own[1:], ends[:-1], ends[1:])
+            same.append(np.array([np.array_equal(values[i:j], flat[k:n]) for i, j, k, n in rows], bool))
         at += len(part)
-    return same
+    return np.concatenate(same)
 
 
 def _encoded(column: pa.Array, data: bytes, threads: int, parity: bool) -> tuple[pa.Array, pa.Array]:

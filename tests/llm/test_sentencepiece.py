@@ -93,3 +93,23 @@ def test_whole_texts_are_compared(monkeypatch):
 
     monkeypatch.setattr(own, "_by_word", faulty)
     assert not all(own._encoded(own.pa.array(texts[1:]), data, 1, True)[1].to_pylist())
+
+
+def test_other_ids_do_not_agree():
+    import numpy as np
+    import pyarrow as pa
+
+    from chunkwright.llm import sentencepiece as sp
+    from chunkwright.llm.queries import MODEL
+
+    with open(MODEL, "rb") as file:
+        data = file.read()
+    texts = pa.array(["one two", "", "three four five", "six"])
+    ids = [sp._reference(data).encode(t) for t in texts.to_pylist()]
+    assert sp._agrees(pa.array(ids, pa.list_(pa.int32())), texts, data, 1).tolist() == [True] * 4
+    other = [ids[0][::-1], ids[1], ids[2], ids[3]]  # as many, but not the same
+    assert sp._agrees(pa.array(other, pa.list_(pa.int32())), texts, data, 1).tolist() == [False, True, True, True]
+    longer = [ids[0], [5], ids[2], ids[3] + [7]]
+    assert sp._agrees(pa.array(longer, pa.list_(pa.int32())), texts, data, 1).tolist() == [True, False, True, False]
+    part = pa.array([[9], *ids], pa.list_(pa.int32())).slice(1)
+    assert np.all(sp._agrees(part, texts, data, 1))
