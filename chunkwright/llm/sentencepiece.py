@@ -242,12 +242,14 @@ class _Words:
         """Places of the words; those not met before are encoded."""
         if len(self.place) + len(words) > KNOWN_WORDS:
             self.clear()
-        new = [w for w in words if w not in self.place]
+        places = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        new = [words[i] for i in np.flatnonzero(places < 0)]
         if new:
             more = _coded(new, *self.settings)
+            places[places < 0] = np.arange(len(self.place), len(self.place) + len(new))
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             self.ids, self.counts, self.same = map(np.concatenate, zip((self.ids, self.counts, self.same), more))
-        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        return places
 
 
 @lru_cache(maxsize=4)
@@ -276,9 +278,9 @@ def _agrees(ids: pa.Array, texts: pa.Array, data: bytes, threads: int) -> np.nda
     starts, values = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy()
     same, at = [np.zeros(0, bool)], 0
     for part in _slices(texts.to_pylist()):
-        wanted = _reference(data).encode(part, num_threads=threads)
+        wanted = _reference(data).encode(part, num_threads=threads, return_type="numpy")
         sizes = np.fromiter(map(len, wanted), np.int64, len(part))
-        flat = np.fromiter(chain.from_iterable(wanted), np.int32, int(sizes.sum()))
+        flat = np.concatenate(wanted)
         own = starts[at : at + len(part) + 1]
         ends = np.concatenate(([0], np.cumsum(sizes)))
         if np.array_equal(np.diff(own), sizes):
