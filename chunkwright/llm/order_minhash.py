@@ -8,18 +8,21 @@ same order. Texts that share a sketch are candidates.
 A candidate is verified by aligning the labelled k-mers of both texts in order, inside the band of
 shifts that the required similarity leaves. Similarity is matched k-mers over all k-mers of both.
 
-Texts with the same words are one node from the start. In a small bucket every pair is a candidate;
-in a large one every node meets the bucket's centre, the node whose sketches are shared most often,
-and the nodes meet again by how they differ from it. So work stays linear in the size of a bucket.
+Texts with the same words are one node from the start. In a small bucket every pair is a candidate.
+A large one is cut into blocks of nodes; inside a block an index of its k-mers finds what can be
+alike, and alignment stops as soon as two parts are connected. What lies in different blocks of one
+bucket meets its most shared node, and then by sketches of more k-mers, under which texts that are
+merely similar fall apart; only nodes outside the main part of such a bucket are compared with its
+blocks. The number of passes is fixed, whatever the data.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from dataclasses import dataclass
-from functools import lru_cache
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +30,15 @@ from pyspark.sql import functions as F
 from ..session import settle
 from .batches import add_columns, lists, mixed, word_hashes
 
-#: Nodes of a bucket up to which all pairs are candidates, in the first round and in later ones;
-#: larger buckets go through rounds.
-SMALL_BUCKET, SMALL_LATER = 24, 40
-#: Sketches of how a node differs from a centre: at least, and the chance that two alike nodes share none.
-LEAST, MISSED = 10, 1e-6
+#: Nodes of a bucket up to which all pairs are candidates.
+SMALL_BUCKET = 24
+#: Nodes of a block, and bytes of their words (four each); larger buckets are cut into several.
+BLOCK, BLOCK_BYTES = 1000, 4 << 20
+#: Sketches and k-mers of each for nodes of buckets with several blocks; at similarity 0.8 all
+#: of them are missed with a chance of one in a million, too.
+FINE = (45, 6)
+#: Holders of k-mers counted at once.
+COUNTED = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -83,14 +90,6 @@ def sketch(found: np.ndarray, settings: OrderSettings) -> np.ndarray:
 _MOST = np.uint64((1 << 64) - 1)
 
 
-def _least(found: np.ndarray, count: int, salt: int) -> np.ndarray:
-    """Sketches of a set of k-mers without order; none if it is empty."""
-    if not len(found):
-        return np.zeros(0, np.uint64)
-    values = mixed(found ^ np.uint64(salt))[None, :] * _factors(count)[:, None]
-    return mixed((_factors(count) ^ np.uint64(salt)) + values.min(axis=1))
-
-
 def _factors(count: int) -> np.ndarray:
     return mixed(np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -151,53 +150,69 @@ def _powers(count: int) -> np.ndarray:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
-    """The pairs (node, other, star) with ``similarity`` (0 if too small) and ``apart``.
-
-    ``apart`` sketches how the node of a star differs from its centre: what it has more and what it lacks.
-    """
+    """(left, right): the pairs (node, other) that are alike."""
     left = texts.select("node", F.col("words").alias("node_words"))
     right = texts.select(F.col("node").alias("other"), F.col("words").alias("other_words"))
     both = pairs.join(left, "node").join(right, "other")
 
     def compute(batch: pa.RecordBatch) -> list:
-        found, apart = [], []
-        columns = (batch.column(c).to_pylist() for c in ("node_words", "other_words", "star"))
-        for one, two, star in zip(*columns):
-            a, b = _kmers_of(one, settings), _kmers_of(two, settings)
-            found.append(aligned(a, b, settings.similarity))
-            apart.append(_apart(a, b, settings.similarity) if star else np.zeros(0, np.uint64))
-        sizes = np.array([len(x) for x in apart], np.int64)
-        flat = np.concatenate([np.zeros(0, np.uint64), *apart])
-        return [pa.array(found, pa.float64()), lists(flat.view(np.int64), sizes, pa.int64())]
-
-    return add_columns(both, "similarity double, apart array<bigint>", compute).select(
-        "node", "other", "star", "similarity", "apart"
-    )
+        known: dict[bytes, np.ndarray] = {}  # of one batch, so bounded in bytes
+        found = []
+        for one, two in zip(*(batch.column(c).to_pylist() for c in ("node_words", "other_words"))):
+            for words in (one, two):
+                if words not in known:
+                    known[words] = _kmers_of(words, settings)
+            found.append(aligned(known[one], known[two], settings.similarity))
+        return [pa.array(found, pa.float64())]
 
+    found = add_columns(both, "similarity double", compute).filter("similarity > 0")
+    return found.select(F.col("node").alias("left"), F.col("other").alias("right"))
 
-def _apart(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Sketches of how ``a`` differs from the centre ``b``.
 
-    Of what ``a`` has more than the centre, a node like ``a`` lacks at most ``(1 - least) * len(a)``:
-    a sketch of it misses with that over ``len(more)`` at most. Of the whole difference, more and
-    less, two nodes that are alike but unlike the centre share ``least / (2 + least)`` or more. The
-    whole is told only where the first is the worse: what texts far from a centre lack is the same.
-    """
-    more, less = np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
-    most = 1 - least / (2 + least)
-    miss = (1 - least) * len(a) / max(len(more), 1)
-    if miss <= most:
-        return _least(more, _sketches(miss), 1)
-    return np.concatenate((_least(more, _sketches(most), 1), _least(np.concatenate((more, less)), _sketches(most), 2)))
+def _kmers_of(words: bytes, settings: OrderSettings) -> np.ndarray:
+    return kmers(mixed(np.frombuffer(words, np.uint32).astype(np.uint64)), settings.kmer)
 
 
-def _sketches(miss: float) -> int:
-    return max(LEAST, int(np.ceil(np.log(MISSED) / np.log(miss)))) if miss > 0 else LEAST
+def links_of_block(found: list[np.ndarray], parts: np.ndarray, left: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links (row, row) that connect whatever is alike among the rows of a block, one of the two in ``left``.
 
+    ``found`` holds the k-mers of each row; rows of one part are connected already. A row that is
+    like another holds at least ``least`` of its k-mers, so one of its rarest k-mers, too; the
+    others need not be counted.
+    """
+    sizes = np.array([len(f) for f in found])
+    _, codes = np.unique(np.concatenate(found), return_inverse=True)
+    count = np.bincount(codes)
+    holders = np.repeat(np.arange(len(found)), sizes)[np.argsort(codes, kind="stable")]
+    starts, ends = np.cumsum(count) - count, np.cumsum(sizes)
+    step = max(1, COUNTED // len(found))
+
+    def held(wanted: np.ndarray) -> np.ndarray:
+        """How many of the wanted k-mers each row holds."""
+        out = np.zeros(len(found), np.int64)
+        for first in range(0, len(wanted), step):
+            some = wanted[first : first + step]
+            lengths = count[some]
+            at = np.arange(lengths.sum()) + np.repeat(starts[some] - np.cumsum(lengths) + lengths, lengths)
+            out += np.bincount(holders[at], minlength=len(found))
+        return out
 
-@lru_cache(maxsize=1000)
-def _kmers_of(words: bytes, settings: OrderSettings) -> np.ndarray:
-    return kmers(mixed(np.frombuffer(words, np.uint32).astype(np.uint64)), settings.kmer)
+    parts, links, rows = parts.copy(), [], np.arange(len(found))
+    for a in np.flatnonzero(left):
+        own = codes[ends[a] - sizes[a] : ends[a]]
+        own = own[np.argsort(count[own], kind="stable")]
+        open_ = (parts != parts[a]) & ~(left & (rows < a))
+        open_ &= (sizes >= least * sizes[a] - 1e-6) & (sizes[a] >= least * sizes - 1e-6)
+        if open_.any():
+            open_ &= held(own[: int((1 - least) * len(own) + 1e-6) + 1]) > 0
+        if not open_.any():
+            continue
+        open_ &= held(own) * (1 + least) >= least * (sizes + sizes[a]) - 1e-6
+        for b in np.flatnonzero(open_):
+            if parts[a] != parts[b] and aligned(found[a], found[b], least):
+                links.append((a, b))
+                parts[parts == parts[b]] = parts[a]
+    return links
 
 
 def _words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -214,57 +229,101 @@ def _words_of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> DataFrame:
-    """Links (left, right) between nodes (node, doc_id, sketches) that keep all classes connected.
+    """Links (left, right) between nodes (node, doc_id, sketches) that keep all classes connected."""
+    posts = nodes.select("node", F.explode("sketches").alias("bucket"))
+    sizes = posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    posts = settle(posts.join(settle(sizes), "bucket"))
+    texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(posts.select("node").distinct(), "node"))
+    posts = posts.withColumn("label", F.col("node"))
+    large = _cut(posts, texts)
+    several = large.filter("blocks > 1")
+    scores = posts.groupBy("node").agg(F.sum("size").alias("score"))
+    best = F.max(F.struct("score", "node")).getField("node").alias("other")
+    centres = settle(several.join(scores, "node").groupBy("bucket").agg(best))
+    stars = several.join(centres, "bucket").filter("node != other").select("node", "other")
+    pairs = _small_pairs(posts).unionByName(stars).distinct()
+    places = [F.col("block").alias("row"), F.col("block").alias("column")]
+    inside = large.select("bucket", "node", "label", *places, F.lit(True).alias("wanted"))
+    links = settle(_verified(pairs, texts, settings).unionByName(_links_of_blocks(inside, texts, settings)))
+    again = settle(several.select("node").distinct())
+    if again.isEmpty():
+        return links
+    return links.unionByName(_links_across(again, links, texts, settings))
+
+
+def _links_across(nodes: DataFrame, links: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
+    """Links (left, right) among ``nodes`` that ``links`` do not connect, by sketches of more k-mers."""
+    fine = replace(settings, sketches=FINE[0], depth=FINE[1])
 
-    Two nodes that are alike, but not like their bucket's centre, share at least two sevenths of what
-    sets them apart from it (at similarity 0.8, see :func:`_apart`). So the members of a large bucket meet again in buckets of these differences,
-    where independent edits of one text fall apart, and the next round has little to do.
-    """
-    posts = nodes.select("node", F.lit(False).alias("linked"), F.explode("sketches").alias("bucket"))
-    open_ = _open(posts)
-    scores = settle(open_.groupBy("node").agg(F.sum("size").alias("score")))
-    texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(scores.select("node"), "node"))
-    tried, most = None, SMALL_BUCKET
-    while True:
-        little = open_.filter(F.col("size") <= most).select("bucket", "node", "linked")
-        others = little.withColumnsRenamed({"node": "other", "linked": "other_linked"})
-        # Two nodes that are like the same centre are connected already.
-        pairs = little.join(others, "bucket").filter("node < other AND NOT (linked AND other_linked)")
-        large = open_.filter(F.col("size") > most).select("bucket", "node", "linked")
-        best = F.max(F.struct("score", "node")).getField("node").alias("other")
-        centres = settle(large.join(scores, "node").groupBy("bucket").agg(best))
-        stars = large.join(centres, "bucket").filter("node != other")
-        new = (
-            pairs.select("node", "other", F.lit(False).alias("star"))
-            .unionByName(stars.select("node", "other", F.lit(True).alias("star")))
-            .groupBy("node", "other")
-            .agg(F.max("star").alias("star"))
-        )
-        if tried is not None:
-            # A pair tried in a small bucket has no differences yet; a star needs them.
-            seen = tried.select("node", "other", F.col("star").alias("seen"))
-            of_pair = [new[c] == seen[c] for c in ("node", "other")]
-            new = new.join(seen, [*of_pair, seen["seen"] | ~new["star"]], "left_anti")
-        found = settle(_verified(new, texts, settings))
-        apart = found.filter("star")
-        if tried is not None:
-            # Members that met this centre before meet those that meet it now.
-            again = stars.select("node", "other").distinct()
-            apart = apart.unionByName(tried.filter("star").join(again, ["node", "other"], "left_semi"))
-        tried, most = found if tried is None else tried.unionByName(found), SMALL_LATER
-        differences = apart.select(
-            "node", "other", (F.col("similarity") > 0).alias("linked"), F.explode("apart").alias("sketch")
-        )
-        open_ = _open(differences.select("node", "linked", F.xxhash64("other", "sketch").alias("bucket")))
-        if open_.isEmpty():
-            links = tried.filter("similarity > 0").select(F.col("node").alias("left"), F.col("other").alias("right"))
-            return links.distinct()  # a pair may have been tried twice, the second time for its differences
-
-
-def _open(posts: DataFrame) -> DataFrame:
-    """(bucket, node, linked, size) of the buckets that hold two nodes not yet connected."""
-    sizes = posts.groupBy("bucket").agg(F.count("*").alias("size"), F.count_if(~F.col("linked")).alias("loose"))
-    return settle(posts.join(settle(sizes.filter("size > 1 AND loose > 0").select("bucket", "size")), "bucket"))
+    def compute(batch: pa.RecordBatch) -> list:
+        out = [sketch(_kmers_of(words, fine), fine) for words in batch.column("words").to_pylist()]
+        sizes = np.full(len(out), fine.sketches, np.int64)
+        return [lists(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64), sizes, pa.int64())]
+
+    sketched = add_columns(texts.join(nodes, "node"), "sketches array<bigint>", compute).select("node", "sketches")
+    named = sketched.join(connected(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    posts = named.select("node", "label", F.explode("sketches").alias("bucket"))
+    sizes = posts.groupBy("bucket").agg(
+        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
+    )
+    sizes = settle(sizes.filter("least < most").select("bucket", "size"))
+    posts = settle(posts.join(sizes, "bucket"))
+    pairs = _small_pairs(posts).distinct()
+    large = _cut(posts, texts)
+    # The label that most nodes of a bucket have is its main part; its nodes are connected.
+    shares = large.groupBy("bucket", "label").agg(F.count("*").alias("share"))
+    main = shares.groupBy("bucket").agg(F.max(F.struct("share", "label")).getField("label").alias("main"))
+    large = settle(large.join(main, "bucket"))
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    wanted = large.filter("label != main").select(
+        "bucket", "node", "label", F.col("block").alias("row"), all_blocks.alias("column"), F.lit(True).alias("wanted")
+    )
+    rows = settle(wanted.select("bucket", "row").distinct())
+    others = large.join(rows, "bucket").select(
+        "bucket", "node", "label", "row", F.col("block").alias("column"), F.lit(False).alias("wanted")
+    )
+    return settle(
+        _verified(pairs, texts, settings).unionByName(_links_of_blocks(wanted.unionByName(others), texts, settings))
+    )
+
+
+def _small_pairs(posts: DataFrame) -> DataFrame:
+    """(node, other) of the small buckets, each not yet connected to the other."""
+    little = posts.filter(F.col("size") <= SMALL_BUCKET).select("bucket", "node", "label")
+    others = little.withColumnsRenamed({"node": "other", "label": "other_label"})
+    return little.join(others, "bucket").filter("node < other AND label != other_label").select("node", "other")
+
+
+def _cut(posts: DataFrame, texts: DataFrame) -> DataFrame:
+    """(bucket, node, label, blocks, block) of the large buckets, in blocks bounded in nodes and bytes."""
+    large = posts.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node", "label")
+    large = settle(large.join(texts.select("node", F.length("words").alias("bytes")), "node"))
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    large = large.join(large.groupBy("bucket").agg(blocks), "bucket")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    return settle(large.select("bucket", "node", "label", "blocks", block))
+
+
+def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
+    """Links (left, right) inside each group (bucket, row, column) of members with a wanted one."""
+
+    def compute(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("wanted", ascending=False, kind="stable").drop_duplicates(["a", "b"])
+        found = [_kmers_of(words, settings) for words in group["words"]]
+        parts = group.groupby(["label_a", "label_b"], sort=False).ngroup().to_numpy()
+        links = links_of_block(found, parts, group["wanted"].to_numpy(bool), settings.similarity)
+        names = group[["a", "b"]].to_numpy()
+        ends = np.array(links, np.int64).reshape(-1, 2)
+        return pd.DataFrame(np.hstack((names[ends[:, 0]], names[ends[:, 1]])), columns=["a", "b", "c", "d"])
+
+    flat = members.join(texts, "node").select(
+        "bucket", "row", "column", "wanted", "words", "node.a", "node.b",
+        F.col("label.a").alias("label_a"), F.col("label.b").alias("label_b"),
+    )
+    found = flat.groupBy("bucket", "row", "column").applyInPandas(compute, "a bigint, b bigint, c bigint, d bigint")
+    return found.select(
+        F.struct("a", "b").alias("left"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("right")
+    )
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -165,3 +165,34 @@ def test_families_that_lack_a_passage_against_brute_force(spark, seed):
     rows = [(k, " ".join(w)) for k, w in enumerate(rows)]
     found = {r.doc_id: r.class_id for r in om.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found == brute(rows, 0.8)
+
+
+@pytest.mark.parametrize("seed, copies, most, block", [(4, 80, 25, 20), (5, 120, 12, 7)])
+def test_buckets_of_several_blocks_against_brute_force(spark, monkeypatch, seed, copies, most, block):
+    monkeypatch.setattr(om, "BLOCK", block)
+    monkeypatch.setattr(om, "SMALL_BUCKET", 5)
+    rows = family(seed, 1, copies, most)
+    found = {r.doc_id: r.class_id for r in om.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == brute(rows, 0.8)
+
+
+def test_links_of_a_block_connect_what_all_pairs_connect():
+    rng, nprng = random.Random(9), np.random.default_rng(9)
+    names = nprng.integers(1, 2**63, 2000).astype(np.uint64)
+    base = [rng.randrange(1000) for _ in range(120)]
+    found = []
+    for _ in range(60):
+        words = [w if rng.random() > rng.choice([0.005, 0.02, 0.04]) else rng.randrange(1000, 2000) for w in base]
+        found.append(om.kmers(names[words], 5))
+    left = np.array([k % 3 > 0 for k in range(60)])
+    links = om.links_of_block(found, np.arange(60), left, 0.8)
+    assert all(om.aligned(found[a], found[b], 0.8) for a, b in links) and len(links) < 60
+
+    def parts(pairs):
+        label = list(range(60))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return {frozenset(k for k in range(60) if label[k] == x) for x in label}
+
+    pairs = [(a, b) for a in range(60) for b in range(a) if (left[a] or left[b]) and om.aligned(found[a], found[b], 0.8)]
+    assert parts(links) == parts(pairs) and 1 < len(parts(pairs)) < 60
