@@ -320,6 +320,9 @@ def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettin
         "bucket", "row", "column", "wanted", "words", "node.a", "node.b",
         F.col("label.a").alias("label_a"), F.col("label.b").alias("label_b"),
     )
+    # A block's work does not follow its bytes, by which small partitions would be put together.
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    flat = flat.repartition(parts, "bucket", "row", "column")
     found = flat.groupBy("bucket", "row", "column").applyInPandas(compute, "a bigint, b bigint, c bigint, d bigint")
     return found.select(
         F.struct("a", "b").alias("left"), F.struct(F.col("c").alias("a"), F.col("d").alias("b")).alias("right")
