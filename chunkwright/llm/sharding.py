@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 GROUP_ROWS = 2_000
 #: The driver holds one row of the matrix per source group; more rows make larger groups instead.
 MAX_GROUPS = 1 << 16
+#: Rows from which on the generator's own hypergeometric draw is not defined.
+LARGE = 1_000_000_000
 
 
 def shard_sizes(rows: int, shards: int) -> np.ndarray:
@@ -44,16 +46,48 @@ def communication_matrix(groups: list[int], sizes: np.ndarray, seed: int) -> np.
 
 
 def _draw(rng: np.random.Generator, good: int, bad: int, taken: int) -> int:
-    """One hypergeometric count; split where numbers pass what the generator takes."""
+    """One hypergeometric count; by inversion where numbers pass what the generator takes."""
     if not good or not taken:
         return 0
     if not bad:
         return taken
-    if good + bad < 1_000_000_000:
+    if good + bad < LARGE:
         return int(rng.hypergeometric(good, bad, taken))
-    mean = taken * good / (good + bad)  # beyond a billion rows the normal limit, kept within what is possible
-    spread = math.sqrt(mean * bad / (good + bad) * (good + bad - taken) / max(good + bad - 1, 1))
-    return int(min(max(round(rng.normal(mean, spread)), taken - bad, 0), good, taken))
+    return _inverted(rng.random(), good, bad, taken)
+
+
+def _inverted(chance: float, good: int, bad: int, taken: int) -> int:
+    """The count at which the distribution, added up from its mode outwards, passes ``chance``.
+
+    The steps are of the order of the standard deviation, however many rows there are.
+    """
+    least, most = max(0, taken - bad), min(taken, good)
+    mode = min(max((taken + 1) * (good + 1) // (good + bad + 2), least), most)
+    up = down = mode
+    upper = lower = weight = math.exp(
+        _choose(good, mode) + _choose(bad, taken - mode) - _choose(good + bad, taken)
+    )
+    while chance >= weight:
+        chance -= weight
+        after = upper * (good - up) / (up + 1) * (taken - up) / (bad - taken + up + 1) if up < most else 0.0
+        before = lower * down / (good - down + 1) * (bad - taken + down) / (taken - down + 1) if down > least else 0.0
+        if not after and not before:  # what rounding leaves over
+            return mode
+        if after >= before:
+            up, upper, weight, found = up + 1, after, after, up + 1
+        else:
+            down, lower, weight, found = down - 1, before, before, down - 1
+        if chance < weight:
+            return found
+    return mode
+
+
+def _choose(all_: int, some: int) -> float:
+    """Logarithm of the number of ways to take ``some`` of ``all_``; only the smaller part's factors count."""
+    some = min(some, all_ - some)
+    if some > 1_000_000:  # log factorials; the factors would be too many
+        return math.lgamma(all_ + 1) - math.lgamma(some + 1) - math.lgamma(all_ - some + 1)
+    return float(np.log((all_ - np.arange(some)) / (np.arange(some) + 1.0)).sum())
 
 
 def _content(df: DataFrame) -> list[Column]:

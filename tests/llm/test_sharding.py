@@ -1,6 +1,9 @@
+import math
+
 import numpy as np
 import pytest
 
+from chunkwright.llm import sharding
 from chunkwright.llm.sharding import communication_matrix, shard_sizes, shuffle_to_shards
 
 
@@ -41,3 +44,22 @@ def test_every_row_reaches_every_shard(spark):
         for r in shuffle_to_shards(spark.range(20).coalesce(1), 4, seed, 7).collect():
             hits[r.id, r.shard] += 1
     assert hits.min() > 0
+
+
+@pytest.mark.parametrize("good, bad, taken", [(5, 7, 4), (30, 3, 20), (1, 1, 1), (40, 60, 50)])
+def test_inverted_draw_has_the_exact_law(good, bad, taken):
+    """Every chance is mapped to a count; the share of chances per count is its probability."""
+    chances = (np.arange(4000) + 0.5) / 4000
+    found = np.bincount([sharding._inverted(c, good, bad, taken) for c in chances], minlength=taken + 1) / 4000
+    ways = [math.comb(good, k) * math.comb(bad, taken - k) / math.comb(good + bad, taken) for k in range(taken + 1)]
+    assert np.abs(found - ways).max() < 1e-3
+
+
+def test_draws_beyond_what_the_generator_takes(monkeypatch):
+    monkeypatch.setattr(sharding, "LARGE", 1)
+    for seed in range(50):
+        matrix = communication_matrix([10, 0, 30], np.array([15, 25]), seed)
+        assert matrix.sum(axis=1).tolist() == [10, 0, 30] and matrix.sum(axis=0).tolist() == [15, 25]
+    rng = np.random.default_rng(1)
+    many = [sharding._draw(rng, 10**11, 15 * 10**11, 2000) for _ in range(2000)]
+    assert abs(np.mean(many) - 125) < 1.5 and abs(np.std(many) - 10.8) < 0.8
