@@ -90,10 +90,10 @@ def _any_member(threshold: float):
 
 def _near_old(firsts: DataFrame, old: DataFrame, pivots: np.ndarray, options: Options) -> DataFrame:
     """``ord`` of the new rows within the limit of an old one; old cells that no new row visits are not read."""
-    figures = Cells.measure(old, pivots)
-    visitors = settle(with_visits(firsts, figures, _radius(options.duplicate_cosine)))
-    visited = [r["cell"] for r in visitors.select("cell").distinct().collect()]  # one per pivot at most
-    members = old.filter(F.col("cell").isin(visited)).select("ord", "unit", "cell")
+    figures = Cells.measure(old, pivots, options)
+    visitors = with_visits(firsts, figures, _radius(options.duplicate_cosine))
+    visited = [r["cell"] for r in visitors.select("cell").distinct().collect()]  # one per bin at most
+    members = figures.in_bins(old.filter(F.col("cell").isin(np.flatnonzero(np.isin(figures.bins, visited)).tolist())))
     found = cell_join(
         members, visitors, figures.rows, options, _any_member(options.duplicate_cosine), pivots.shape[1], "ord bigint"
     )

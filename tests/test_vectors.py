@@ -5,10 +5,10 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from chunkwright.operators import duplicates, neighbors, vector_index
+from chunkwright.operators import cells, duplicates, neighbors, vector_index
 from chunkwright.operators.cells import unit_rows
 from chunkwright.options import Options
-from chunkwright.session import fresh_dir
+from chunkwright.session import fresh_dir, settle
 
 SCHEMA = "ord bigint, embedding array<double>"
 
@@ -172,3 +172,33 @@ def test_partitions_do_not_matter(spark):
     vectors = crowd(6)
     kept = [ords(duplicates.dedup_any_earlier(frame(spark, vectors, n), SMALL)) for n in (1, 7)]
     assert kept[0] == kept[1]
+
+
+@pytest.mark.parametrize("rows", [500, 4000])
+def test_a_row_is_sent_to_few_bins_however_many_rows_there_are(spark, rows):
+    df = frame(spark, np.random.default_rng(7).normal(size=(rows, 24)))
+    options = Options(block_rows=16)
+    pivots = cells.choose_pivots(df, options)
+    homes = settle(cells.assign_homes(df, pivots))
+    figures = cells.Cells.measure(homes, pivots, options)
+    visits = cells.with_visits(homes, figures, 2.0)  # everything is near
+    assert rows <= visits.count() <= 24 * rows
+    assert sum(figures.rows.values()) == rows and len(figures.rows) <= 24
+
+
+def test_pairs_and_neighbours_over_several_bins_and_divided_ones(spark):
+    rng = np.random.default_rng(8)
+    dense = rng.normal(size=16) + 0.01 * rng.normal(size=(1500, 16))
+    vectors = np.concatenate([dense, rng.normal(size=(500, 16))])
+    rng.shuffle(vectors)
+    sims, df = sims_of(vectors), frame(spark, vectors)
+    options = Options(block_rows=16, max_pivots=40, broadcast_rows=1, duplicate_cosine=0.99995)
+    pairs = {(r["left_ord"], r["right_ord"]) for r in duplicates.near_duplicate_pairs(df, options).collect()}
+    earlier = {j: np.flatnonzero(sims[:j, j] >= 0.99995) for j in range(len(vectors))}
+    assert pairs == {(int(i[0]), j) for j, i in earlier.items() if len(i)}
+    found = {}
+    for r in neighbors.knn_join(df, df, 3, options).collect():
+        found.setdefault(r["golden_ord"], {})[r["rank"]] = r["ord"]
+    np.fill_diagonal(sims, -2)
+    for g in range(len(vectors)):
+        assert [found[g][rank] for rank in (1, 2, 3)] == np.lexsort((np.arange(len(sims)), -sims[g]))[:3].tolist()
