@@ -9,9 +9,10 @@ A candidate is verified by aligning the labelled k-mers of both texts in order,
 shifts that the required similarity leaves. Similarity is matched k-mers over all k-mers of both.
 
 Texts with the same words are one node from the start. In a small bucket every pair is a candidate.
-A large one is cut into blocks of nodes; inside a block an index of its k-mers finds what can be
-alike, and alignment stops as soon as two parts are connected. What lies in different blocks of one
-bucket meets its most shared node, and then by sketches of more k-mers, under which texts that are
+In a large one all nodes meet its most shared node first, which settles a crowd of near copies in linear work;
+then it is cut into blocks of nodes, and inside a block an index of its k-mers finds what can be
+alike to a node that is not in the block's main part, and alignment stops as soon as two parts are connected. What lies in
+different blocks of one bucket meets by sketches of more k-mers, under which texts that are
 merely similar fall apart; only nodes outside the main part of such a bucket are compared with its
 blocks. The number of passes is fixed, whatever the data.
 """
@@ -232,20 +233,28 @@ def find_links(docs: DataFrame, nodes: DataFrame, settings: OrderSettings) -> Da
     """Links (left, right) between nodes (node, doc_id, sketches) that keep all classes connected."""
     posts = nodes.select("node", F.explode("sketches").alias("bucket"))
     sizes = posts.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    posts = settle(posts.join(settle(sizes), "bucket"))
-    texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(posts.select("node").distinct(), "node"))
-    posts = posts.withColumn("label", F.col("node"))
-    large = _cut(posts, texts)
-    several = large.filter("blocks > 1")
-    scores = posts.groupBy("node").agg(F.sum("size").alias("score"))
+    listed = F.collect_list(F.struct("bucket", "size")).alias("posts")  # one for each sketch
+    shared = posts.join(settle(sizes), "bucket").groupBy("node").agg(F.sum("size").alias("score"), listed)
+    shared = settle(shared)
+    texts = _words_of_nodes(docs, nodes.select("doc_id", "node").join(shared.select("node"), "node"))
+    shared = settle(shared.join(texts.select("node", F.length("words").alias("bytes")), "node"))
+    posts = shared.select("node", F.col("node").alias("label"), "score", F.inline("posts"))
+    large = posts.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node", "score")
     best = F.max(F.struct("score", "node")).getField("node").alias("other")
-    centres = settle(several.join(scores, "node").groupBy("bucket").agg(best))
-    stars = several.join(centres, "bucket").filter("node != other").select("node", "other")
-    pairs = _small_pairs(posts).unionByName(stars).distinct()
+    centres = settle(large.groupBy("bucket").agg(best))
+    stars = large.join(centres, "bucket").filter("node != other")
+    stars = stars.select(F.least("node", "other").alias("node"), F.greatest("node", "other").alias("other"))
+    links = settle(_verified(_small_pairs(posts).unionByName(stars).distinct(), texts, settings))
+    if centres.isEmpty():
+        return links
+    # What is like the centre of a bucket is connected; blocks are compared for the rest.
+    named = shared.join(connected(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    large = named.select("node", "label", "bytes", F.inline("posts")).filter(F.col("size") > SMALL_BUCKET).drop("size")
+    large = settle(_cut(large))
     places = [F.col("block").alias("row"), F.col("block").alias("column")]
-    inside = large.select("bucket", "node", "label", *places, F.lit(True).alias("wanted"))
-    links = settle(_verified(pairs, texts, settings).unionByName(_links_of_blocks(inside, texts, settings)))
-    again = settle(several.select("node").distinct())
+    inside = large.select("bucket", "node", "label", *places, (F.col("label") != F.col("main")).alias("wanted"))
+    links = links.unionByName(settle(_links_of_blocks(inside, texts, settings).distinct()))
+    again = settle(large.filter("blocks > 1").select("node").distinct())
     if again.isEmpty():
         return links
     return links.unionByName(_links_across(again, links, texts, settings))
@@ -260,20 +269,13 @@ def _links_across(nodes: DataFrame, links: DataFrame, texts: DataFrame, settings
         sizes = np.full(len(out), fine.sketches, np.int64)
         return [lists(np.concatenate([np.zeros(0, np.uint64), *out]).view(np.int64), sizes, pa.int64())]
 
-    sketched = add_columns(texts.join(nodes, "node"), "sketches array<bigint>", compute).select("node", "sketches")
+    sketched = add_columns(texts.join(nodes, "node"), "sketches array<bigint>", compute)
+    sketched = sketched.select("node", F.length("words").alias("bytes"), "sketches")
     named = sketched.join(connected(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    posts = named.select("node", "label", F.explode("sketches").alias("bucket"))
-    sizes = posts.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.min("label").alias("least"), F.max("label").alias("most")
-    )
-    sizes = settle(sizes.filter("least < most").select("bucket", "size"))
-    posts = settle(posts.join(sizes, "bucket"))
+    posts = named.select("node", "label", "bytes", F.explode("sketches").alias("bucket"))
+    posts = settle(_cut(posts))
     pairs = _small_pairs(posts).distinct()
-    large = _cut(posts, texts)
-    # The label that most nodes of a bucket have is its main part; its nodes are connected.
-    shares = large.groupBy("bucket", "label").agg(F.count("*").alias("share"))
-    main = shares.groupBy("bucket").agg(F.max(F.struct("share", "label")).getField("label").alias("main"))
-    large = settle(large.join(main, "bucket"))
+    large = posts.filter(F.col("size") > SMALL_BUCKET)
     all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     wanted = large.filter("label != main").select(
         "bucket", "node", "label", F.col("block").alias("row"), all_blocks.alias("column"), F.lit(True).alias("wanted")
@@ -294,20 +296,26 @@ def _small_pairs(posts: DataFrame) -> DataFrame:
     return little.join(others, "bucket").filter("node < other AND label != other_label").select("node", "other")
 
 
-def _cut(posts: DataFrame, texts: DataFrame) -> DataFrame:
-    """(bucket, node, label, blocks, block) of the large buckets, in blocks bounded in nodes and bytes."""
-    large = posts.filter(F.col("size") > SMALL_BUCKET).select("bucket", "node", "label")
-    large = settle(large.join(texts.select("node", F.length("words").alias("bytes")), "node"))
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
-    large = large.join(large.groupBy("bucket").agg(blocks), "bucket")
+def _cut(posts: DataFrame) -> DataFrame:
+    """(bucket, node, label, size, main, blocks, block) of the buckets with several labels, in blocks bounded in nodes and bytes.
+
+    ``main`` is the label that most nodes of a bucket have: its main part, whose nodes are connected.
+    """
+    shares = posts.groupBy("bucket", "label").agg(F.count("*").alias("share"), F.sum("bytes").alias("bytes"))
+    blocks = F.ceil(F.greatest(F.sum("share") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks")
+    main = F.max(F.struct("share", "label")).getField("label").alias("main")
+    buckets = shares.groupBy("bucket").agg(F.sum("share").alias("size"), main, blocks, F.count("*").alias("labels"))
+    buckets = settle(buckets.filter("labels > 1").drop("labels"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-    return settle(large.select("bucket", "node", "label", "blocks", block))
+    return posts.join(buckets, "bucket").select("bucket", "node", "label", "size", "main", "blocks", block)
 
 
 def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
     """Links (left, right) inside each group (bucket, row, column) of members with a wanted one."""
 
     def compute(group: pd.DataFrame) -> pd.DataFrame:
+        if not group["wanted"].any():
+            return pd.DataFrame({name: np.zeros(0, np.int64) for name in "abcd"})
         group = group.sort_values("wanted", ascending=False, kind="stable").drop_duplicates(["a", "b"])
         found = [_kmers_of(words, settings) for words in group["words"]]
         parts = group.groupby(["label_a", "label_b"], sort=False).ngroup().to_numpy()
@@ -332,7 +340,9 @@ def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettin
 def connected(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected part of ``links`` (left, right)."""
     edges = settle(
-        links.select("left", "right").unionByName(links.select(F.col("right").alias("left"), F.col("left").alias("right")))
+        links.select("left", "right")
+        .unionByName(links.select(F.col("right").alias("left"), F.col("left").alias("right")))
+        .distinct()
     )
     labels = settle(edges.groupBy("left").agg(F.least(F.min("right"), F.col("left")).alias("label")))
     labels = labels.select(F.col("left").alias("node"), "label")

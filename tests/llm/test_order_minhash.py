@@ -196,3 +196,21 @@ def test_links_of_a_block_connect_what_all_pairs_connect():
 
     pairs = [(a, b) for a in range(60) for b in range(a) if (left[a] or left[b]) and om.aligned(found[a], found[b], 0.8)]
     assert parts(links) == parts(pairs) and 1 < len(parts(pairs)) < 60
+
+
+def test_copies_of_a_centre_are_settled_by_it(spark, monkeypatch):
+    """A crowd in many buckets is linked to its centre and sent to no block; what is unlike the centre still meets all."""
+    body, sent = unique("p", 200), []
+    texts = {k: body + unique(f"o{k}x", 3) for k in range(40)} | {40: unique("q", 200), 41: unique("q", 199) + ["last"]}
+    blocks = om._links_of_blocks
+    monkeypatch.setattr(om, "_links_of_blocks", lambda rows, *rest: sent.append(rows.count()) or blocks(rows, *rest))
+    assert len(links_of(spark, texts, [list(range(40))] * 20)) == 39 and sent == [0]
+    assert len(links_of(spark, texts, [list(texts), *[list(range(40))] * 19])) == 40 and sent[1:] == [42]
+
+
+def test_a_link_found_twice_is_followed_once(spark, monkeypatch):
+    links = spark.createDataFrame([((a, 0), (a + 1, 0)) for a in (1, 2) for _ in range(50)],
+                                  "left struct<a bigint, b bigint>, right struct<a bigint, b bigint>")
+    written, settle = [], om.settle
+    monkeypatch.setattr(om, "settle", lambda df: written.append(settle(df)) or written[-1])
+    assert {r.label.a for r in om.connected(links).collect()} == {1} and written[0].count() == 4
