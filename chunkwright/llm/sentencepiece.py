@@ -12,7 +12,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain, repeat
 from operator import eq
 
@@ -29,7 +29,7 @@ MODEL_BYTES = 64 << 20
 #: Bytes of rows worked on at once; the more, the fewer words are met again.
 BATCH_BYTES = 6 << 20
 #: Words a worker keeps at most; beyond that it starts anew.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 800_000
 #: Bytes of text handed to the encoder at once.
 SLICE_BYTES = 1 << 18
 MARK = "▁"
@@ -106,7 +106,7 @@ class Model:
             raise ValueError("user-defined pieces are not supported")
         return model
 
-    @property
+    @cached_property
     def splits_at_blanks(self) -> bool:
         """Whether no piece reaches over the start of a run of blanks, so words can be encoded one by one."""
         return not any(
@@ -242,7 +242,8 @@ class _Words:
         """Places of the words; those not met before are encoded."""
         if len(self.place) + len(words) > KNOWN_WORDS:
             self.clear()
-        places = np.fromiter((self.place.get(w, -1) for w in words), np.int64, len(words))
+        known = self.place.get
+        places = np.array([known(w, -1) for w in words], np.int64)
         new = [words[i] for i in np.flatnonzero(places < 0)]
         if new:
             more = _coded(new, *self.settings)

@@ -113,3 +113,15 @@ def test_other_ids_do_not_agree():
     assert sp._agrees(pa.array(longer, pa.list_(pa.int32())), texts, data, 1).tolist() == [True, False, True, False]
     part = pa.array([[9], *ids], pa.list_(pa.int32())).slice(1)
     assert np.all(sp._agrees(part, texts, data, 1))
+
+
+def test_pieces_are_searched_for_blanks_once():
+    looked = []
+
+    class Pieces(list):
+        def __iter__(self):
+            looked.append(1)
+            return super().__iter__()
+
+    model = own.Model(Pieces([("ab", 0.0, own.NORMAL)]))
+    assert model.splits_at_blanks and model.splits_at_blanks and len(looked) == 1
