@@ -310,6 +310,13 @@ def _cut(posts: DataFrame) -> DataFrame:
     return posts.join(buckets, "bucket").select("bucket", "node", "label", "size", "main", "blocks", block)
 
 
+def _with_words(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``members`` with the words of their nodes, which are looked up once for all buckets of a node and row."""
+    listed = F.collect_list(F.struct("bucket", "column", "wanted", "label")).alias("posts")
+    found = members.groupBy("node", "row").agg(listed).join(texts, "node")
+    return found.select("node", "row", "words", F.inline("posts"))
+
+
 def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettings) -> DataFrame:
     """Links (left, right) inside each group (bucket, row, column) of members with a wanted one."""
 
@@ -324,7 +331,7 @@ def _links_of_blocks(members: DataFrame, texts: DataFrame, settings: OrderSettin
         ends = np.array(links, np.int64).reshape(-1, 2)
         return pd.DataFrame(np.hstack((names[ends[:, 0]], names[ends[:, 1]])), columns=["a", "b", "c", "d"])
 
-    flat = members.join(texts, "node").select(
+    flat = _with_words(members, texts).select(
         "bucket", "row", "column", "wanted", "words", "node.a", "node.b",
         F.col("label.a").alias("label_a"), F.col("label.b").alias("label_b"),
     )

@@ -214,3 +214,17 @@ def test_a_link_found_twice_is_followed_once(spark, monkeypatch):
     written, settle = [], om.settle
     monkeypatch.setattr(om, "settle", lambda df: written.append(settle(df)) or written[-1])
     assert {r.label.a for r in om.connected(links).collect()} == {1} and written[0].count() == 4
+
+
+def test_words_are_looked_up_once_for_all_buckets_of_a_node(spark):
+    node = "node struct<a bigint, b bigint>"
+    texts = spark.createDataFrame([((k, 0), bytes([k] * 4)) for k in range(3)], f"{node}, words binary")
+    rows = [((k, 0), bucket, 0, column, k == 1, (k, 1)) for k in range(3) for bucket in range(40) for column in range(2)]
+    schema = f"{node}, bucket bigint, row int, column int, wanted boolean, label struct<a bigint, b bigint>"
+    members = spark.createDataFrame(rows, schema)
+    found = om._with_words(members, texts)
+    names = ["node", "bucket", "row", "column", "wanted", "label", "words"]
+    same = members.join(texts, "node").select(*names).exceptAll(found.select(*names))
+    assert found.count() == len(rows) and same.isEmpty()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")  # rows are multiplied after the join only
