@@ -47,6 +47,24 @@ def _earliest(threshold: float):
     return compare
 
 
+#: Pairs handed over at a time.
+_PAIRS = 100_000
+
+
+def _all_earlier(threshold: float):
+    """For each visitor all its earlier members within the limit."""
+
+    def compare(member_ord, members, visitor_ord, visitors):
+        for v, m, sim in near(members, visitors, threshold):
+            left, right = member_ord[m], visitor_ord[v]
+            earlier = np.flatnonzero(left < right)
+            for start in range(0, len(earlier), _PAIRS):
+                at = earlier[start : start + _PAIRS]
+                yield {"left_ord": left[at], "right_ord": right[at], "sim": sim[at]}
+
+    return compare
+
+
 def _has_earlier(threshold: float):
     def compare(member_ord, members, visitor_ord, visitors):
         for v, m, _ in near(members, visitors, threshold):
@@ -105,23 +123,52 @@ def _distinct_directions(
     return homes, settle(collapse_copies(homes)), pivots
 
 
+def _every_pair(chunks: DataFrame, options: Options) -> DataFrame:
+    """(left_ord, right_ord, sim) of all pairs within the limit: each row meets the rows of the cells that begin before it.
+
+    Nothing is collapsed or settled by leaders, as a crowd's pairs are all wanted; blocks bound what a task holds.
+    """
+    threshold = options.duplicate_cosine
+    points = points_of(chunks).filter("ord IS NOT NULL")
+    if threshold > 0:  # the zero vector is like nothing
+        points = points.filter(F.exists("embedding", lambda x: x != 0))
+    pivots = choose_pivots(points, options)
+    homes = settle(assign_homes(points, pivots))
+    cells = Cells.measure(homes, pivots, options)
+    return cell_join(
+        cells.in_bins(homes),
+        with_visits(homes.withColumn("until", F.col("ord")), cells, _radius(threshold), before="until"),
+        cells.rows,
+        options,
+        _all_earlier(threshold),
+        pivots.shape[1],
+        "left_ord bigint, right_ord bigint, sim double",
+    )
+
+
 def near_duplicate_pairs(
-    chunks: DataFrame, options: Options, max_neighbors: int | None = None
+    chunks: DataFrame, options: Options, max_neighbors: int | None = None, every: bool = False
 ) -> DataFrame:
     """(left_ord, right_ord, sim): every row that has an earlier one within the limit, with its earliest.
 
     One row per later row, so a crowd of copies gives as many rows as it has members, and whether two
     copies are equal to the last bit makes no difference. It is all that removing duplicates needs.
 
+    With ``every``, all pairs within the limit; a crowd of n rows then has n (n - 1) / 2 of them.
+
     With ``max_neighbors`` the pairs are those among each row's nearest
     neighbours, as a capped index search finds them.
     """
+    if every and max_neighbors is not None:
+        raise ValueError("every pair or those of max_neighbors, not both")
     threshold = options.duplicate_cosine
     if max_neighbors is not None:
         near = knn_join(chunks, chunks, max_neighbors, options)
         return near.filter(
             (F.col("sim") >= threshold) & (F.col("ord") > F.col("golden_ord"))
         ).select(F.col("golden_ord").alias("left_ord"), F.col("ord").alias("right_ord"), "sim")
+    if every:
+        return _every_pair(chunks, options)
     homes, firsts, pivots = _distinct_directions(chunks, options)
     cells = Cells.measure(firsts, pivots, options)
     led = settle(_with_leaders(firsts, cells, threshold))

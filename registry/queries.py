@@ -251,7 +251,7 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 @register
 def cosine_matrix_join(v: Views) -> DataFrame:
-    return _pairs(duplicates.near_duplicate_pairs(v.chunks, LOOSE))
+    return _pairs(duplicates.near_duplicate_pairs(v.chunks, LOOSE, every=True))
 
 
 @register

@@ -91,6 +91,27 @@ def test_copies_of_any_scale_are_pairs_with_the_first(spark, scale):
     assert sorted((r["left_ord"], r["right_ord"]) for r in pairs.collect()) == [(0, 1), (0, 2), (0, 3)]
 
 
+@pytest.mark.parametrize("options", [Options(), SMALL])
+@pytest.mark.parametrize("limit", [0.3, 0.98, 1.0, -0.2])
+def test_every_pair_is_found(spark, options, limit):
+    vectors = np.concatenate([crowd(3, rows=150), np.zeros((3, 8))])
+    sims = sims_of(vectors)
+    found = duplicates.near_duplicate_pairs(frame(spark, vectors), replace(options, duplicate_cosine=limit), every=True).collect()
+    pairs = {(r["left_ord"], r["right_ord"]): r["sim"] for r in found}
+    left, right = np.nonzero(np.triu(sims >= limit, 1))
+    assert len(found) == len(pairs) and set(pairs) == set(zip(left.tolist(), right.tolist()))
+    assert all(sim == pytest.approx(sims[pair], abs=1e-9) for pair, sim in pairs.items())
+
+
+def test_registered_pairs_are_all_pairs(spark, tmp_path):
+    from registry.queries import QUERIES
+
+    vectors = np.ones((4, 3)).tolist()
+    spark.createDataFrame([(i, "a text", "de") for i in range(4)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert QUERIES["cosine_matrix_join"](spark, str(tmp_path)).count() == 6
+
+
 @pytest.mark.parametrize("options", [Options(), replace(SMALL, broadcast_rows=1)])
 def test_knn_is_exact_on_both_routes(spark, options):
     vectors = crowd(4, rows=150)
