@@ -110,6 +110,7 @@ def test_registered_pairs_are_all_pairs(spark, tmp_path):
     spark.createDataFrame([(i, "a text", "de") for i in range(4)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(list(enumerate(vectors)), "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert QUERIES["cosine_matrix_join"](spark, str(tmp_path)).count() == 6
+    assert QUERIES["near_duplicate_pairs"](spark, str(tmp_path)).count() == 28  # each once more, twice as long
 
 
 @pytest.mark.parametrize("options", [Options(), replace(SMALL, broadcast_rows=1)])
