@@ -82,3 +82,16 @@ def test_rows_of_one_ord_and_no_rows(spark):
     assert [(r.golden_ord, r.ord) for r in text_search(golden, df, 9).orderBy("rank").collect()] == [(1, 4), (1, 3)]
     assert text_search(golden, df.limit(0), 3).count() == 0
     assert text_search(df.limit(0), df, 3).count() == 0
+
+
+def test_hybrid_adds_up_both_lists(spark):
+    from chunkwright.operators.hybrid import hybrid_search
+    from chunkwright.options import Options
+
+    rows = [(i, f"alpha beta gamma {'omega ' * i}", [1.0, i / 10]) for i in range(12)]
+    df = spark.createDataFrame(rows, f"{SCHEMA}, embedding array<double>").repartition(4)
+    options = Options(hybrid_vector_extra=9, hybrid_text_extra=9)
+    by_text = {r.ord: r["rank"] for r in text_search(df.filter("ord = 0"), df, 11).collect()}
+    got = hybrid_search(df.filter("ord = 0"), df, 2, options).collect()
+    fused = {o: round(1 / (60 + o) + (1 / (60 + by_text[o]) if o in by_text else 0), 10) for o in range(1, 12)}
+    assert {(r.ord, r["rank"]) for r in got} == {(o, i) for i, o in enumerate(sorted(fused, key=lambda o: (-fused[o], o))[:2], 1)}
