@@ -224,3 +224,16 @@ def test_pairs_and_neighbours_over_several_bins_and_divided_ones(spark):
     np.fill_diagonal(sims, -2)
     for g in range(len(vectors)):
         assert [found[g][rank] for rank in (1, 2, 3)] == np.lexsort((np.arange(len(sims)), -sims[g]))[:3].tolist()
+
+
+@pytest.mark.parametrize("limit", [0.5, 0.95, -0.3])
+@pytest.mark.parametrize("options", [Options(), replace(SMALL, broadcast_rows=1), Options(block_rows=40, broadcast_rows=1)])
+def test_neighbours_above_a_floor(spark, options, limit):
+    vectors = crowd(9, rows=240)
+    sims, df = sims_of(vectors), frame(spark, vectors)
+    found = {(r["golden_ord"], r["ord"], r["rank"]) for r in neighbors.knn_join(df, df, 5, options, floor=limit).collect()}
+    wanted = set()
+    for g in range(len(vectors)):
+        order = sorted((j for j in range(len(vectors)) if j != g), key=lambda j: (-sims[g, j], j))[:5]
+        wanted |= {(g, j, rank) for rank, j in enumerate(order, 1) if sims[g, j] >= limit}
+    assert found == wanted
